@@ -1,0 +1,66 @@
+"""The ``events`` table read as station messages.
+
+A user is a station, the event value is the reading, and the remaining fields
+follow from the ids, so every result can be stated over ``events`` itself.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from obslayers import storage
+from obslayers.functions.messages import encode
+from obslayers.schemas import EVENT_TIME, STATION, TIME_PATTERN
+from obslayers.sources.topic import Topic, topic_records
+
+EVENTS = "events.parquet"
+STAND_IN_TOPIC = Topic(name="events", folder="events")
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{EVENTS}")
+
+
+def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a stream, whether it is one file or a folder of them."""
+    schema = events(spark, sf_dir).schema
+    reader = spark.readStream.schema(schema)
+    path = f"{sf_dir}/{EVENTS}"
+    if storage.is_folder(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", EVENTS).parquet(sf_dir)
+
+
+def observation_fields(df: DataFrame) -> DataFrame:
+    """The fields of an observation message, beside the event they come from."""
+    number = F.col("event_id")
+    return df.select(
+        number.alias("offset"),
+        (F.col("user_id") % 20 + 40).cast("double").alias("lat"),
+        (F.col("user_id") % 10).cast("double").alias("lon"),
+        F.col("user_id").cast("string").alias(STATION),
+        F.date_format("ts", TIME_PATTERN).alias(EVENT_TIME),
+        (F.col("value") + 273.15).alias("t"),
+        F.when(number % 2 == 0, F.col("value") + 283.15).alias("t_10"),
+        (number % 101).alias("u"),
+        F.col("value").alias("ff"),
+        (number % 360).alias("dd"),
+        ((number % 7) / 10).alias("rr_per"),
+        (number % 500 + 101000).cast("double").alias("pres"),
+    )
+
+
+def observation_messages(df: DataFrame) -> DataFrame:
+    """One JSON observation per event, in column ``json``."""
+    fields = observation_fields(df)
+    return encode(fields, [name for name in fields.columns if name != "offset"])
+
+
+def observation_records(df: DataFrame) -> DataFrame:
+    """The same messages as records of a topic with one partition, offset by event."""
+    fields = observation_fields(df)
+    message = F.to_json(F.struct(*[name for name in fields.columns if name != "offset"]))
+    return topic_records(
+        fields.select("offset", F.lit(0).alias("partition"), message.alias("json")), STAND_IN_TOPIC
+    )

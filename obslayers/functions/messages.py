@@ -4,7 +4,8 @@ A message is decoded once per row. Catalyst pushes a filter on a decoded field
 below the projection that decodes it, and then the parser runs again for every
 such filter; a generator is a barrier for that push-down. So the struct form uses
 ``inline`` and the text form ``json_tuple``, both of which parse each message a
-single time whatever is filtered afterwards.
+single time whatever is filtered afterwards. ``computed_once`` does the same for any
+other column.
 """
 
 from __future__ import annotations
@@ -57,6 +58,16 @@ def extract_paths(df: DataFrame, fields: Sequence[str], column: str = "json") ->
     return df.select(*[F.get_json_object(F.col(column), f"$.{name}").alias(name) for name in fields])
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Column ``name`` as ``value``, evaluated a single time per row.
+
+    For a costly value that later steps filter on: as a plain projection it would be
+    evaluated in the pushed-down filter and again for its result.
+    """
+    others = [column for column in df.columns if column != name]
+    return df.select(*others, F.explode(F.array(value)).alias(name))
+
+
 def to_double(column: Column, strict: bool = False) -> Column:
     """Text as a double; text that is no number gives null, or fails when strict."""
     return column.cast("double") if strict else column.try_cast("double")

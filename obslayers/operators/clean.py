@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from obslayers.functions.messages import decode, extract, extract_paths, json_column, to_double
+from obslayers.functions.messages import (
+    computed_once,
+    decode,
+    extract,
+    extract_paths,
+    json_column,
+    to_double,
+)
 from obslayers.functions.times import in_zone, parse_time
 from obslayers.functions.units import best_celsius, celsius, kmh
 from obslayers.schemas import (
@@ -57,7 +64,8 @@ def clean_messages(
     ``pattern=None`` reads times by the ISO default instead of the offset pattern.
     ``zone`` shifts times to that zone's wall clock.
     """
-    decoded = decode(df, schema, column)
+    time = parse_time(F.col(EVENT_TIME), pattern, strict)
+    decoded = computed_once(decode(df, schema, column), EVENT_TIME, time)
     wind = kmh if wind_in_kmh else (lambda value: value)
     convert = {"t": celsius, "ff": wind}
     measures = [
@@ -66,8 +74,8 @@ def clean_messages(
         if name in decoded.columns
     ]
     where = [F.col("lat"), F.col("lon")] if position else []
-    time = in_zone(parse_time(F.col(EVENT_TIME), pattern, strict), zone)
-    cleaned = decoded.select(F.col(STATION), *where, time.alias(EVENT_TIME), *measures)
+    shown = in_zone(F.col(EVENT_TIME), zone).alias(EVENT_TIME)
+    cleaned = decoded.select(F.col(STATION), *where, shown, *measures)
     return with_station(cleaned) if station_required else cleaned
 
 
@@ -125,11 +133,12 @@ def daily_observations(
     """
     take = extract_paths if by_path else extract
     fields = take(df, DAILY_FIELDS, column or json_column(df))
+    fields = computed_once(fields, EVENT_TIME, parse_time(F.col(EVENT_TIME), TIME_PATTERN, strict))
     t_10, t, u, ff = (to_double(F.col(name), strict) for name in ("t_10", "t", "u", "ff"))
     return with_station_and_time(
         fields.select(
             F.col(STATION),
-            parse_time(F.col(EVENT_TIME), TIME_PATTERN, strict).alias(EVENT_TIME),
+            F.col(EVENT_TIME),
             best_celsius(t_10, t).alias("temperature_c"),
             u.alias("humidity"),
             kmh(ff).alias("wind_speed"),

@@ -14,7 +14,11 @@ def spark():
         "tests",
         "local[8]",
         shuffle_partitions=4,
-        conf={"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
+        conf={
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.sql.maxMetadataStringLength": "2000",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

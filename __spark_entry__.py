@@ -35,7 +35,7 @@ from obslayers.operators.clean import (
 )
 from obslayers.operators.inspect import first_by, first_days
 from obslayers.operators.report import report_lines
-from obslayers.plans.daily import daily_table, daily_view
+from obslayers.plans.daily import add_new_parts, daily_table, daily_view
 from obslayers.plans.hourly import run_hourly
 from obslayers.plans.raw import ingest_all, ingest_new, raw_messages
 from obslayers.plans.speed import run_speed, speed_table
@@ -183,6 +183,18 @@ def daily_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(read_table(spark, table))
 
 
+def daily_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table arrives in pieces, and each is read once."""
+    raw, parts = storage.new_folder(spark, "raw"), storage.new_folder(spark, "parts")
+    checkpoint, target = storage.new_folder(spark, "checkpoint"), daily_table(storage.new_folder(spark, "daily"))
+    messages = observation_fields(events(spark, sf_dir))
+    for odd in (0, 1):
+        part = messages.filter(F.col("offset") % 2 == odd)
+        append_table(encode(part, [name for name in part.columns if name != "offset"]), raw)
+        wait(add_new_parts(spark, raw, parts, checkpoint, target))
+    return _comparable(target.latest(spark))
+
+
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(hourly_rollup(archive_observations(_messages(spark, sf_dir))))
 
@@ -346,6 +358,7 @@ QUERIES: dict[str, Query] = {
     "daily_station": daily_station,
     "daily_station_by_path": daily_station_by_path,
     "daily_appended": daily_appended,
+    "daily_incremental": daily_incremental,
     "hourly_rollup": hourly,
     "hourly_table": hourly_table,
     "station_summary": summary,
@@ -477,6 +490,7 @@ def oracle_sql() -> dict[str, str]:
         "daily_station": daily,
         "daily_station_by_path": daily,
         "daily_appended": daily,
+        "daily_incremental": daily,
         "hourly_rollup": hourly_sql,
         "hourly_table": hourly_sql,
         "station_summary": f"""

@@ -20,13 +20,12 @@ SPEED_WINDOW = "6 minutes"
 SPEED_WATERMARK = "7 minutes"
 TRIAL_WINDOW = "10 minutes"
 
+# Averaged measures of the daily and the live view, and their names there.
+DAILY_MEASURES = {"temperature_c": "avg_temp", "wind_speed": "avg_wind", "humidity": "avg_humidity"}
+
 
 def _averages() -> list[Column]:
-    return [
-        F.avg("temperature_c").alias("avg_temp"),
-        F.avg("wind_speed").alias("avg_wind"),
-        F.avg("humidity").alias("avg_humidity"),
-    ]
+    return [F.avg(name).alias(shown) for name, shown in DAILY_MEASURES.items()]
 
 
 def _bounded_state(df: DataFrame, unbounded_state: bool) -> None:
@@ -39,6 +38,25 @@ def daily_averages(df: DataFrame) -> DataFrame:
     return df.groupBy(F.col(STATION), calendar_day(F.col(EVENT_TIME)).alias("date")).agg(*_averages())
 
 
+def daily_parts(df: DataFrame) -> DataFrame:
+    """Sums and counts behind the daily averages, which add up over disjoint inputs."""
+    sums = []
+    for name in DAILY_MEASURES:
+        sums += [F.sum(name).alias(f"{name}_sum"), F.count(name).alias(f"{name}_count")]
+    return df.groupBy(F.col(STATION), calendar_day(F.col(EVENT_TIME)).alias("date")).agg(*sums)
+
+
+def daily_from_parts(parts: DataFrame) -> DataFrame:
+    """The daily averages of all the inputs that ``parts`` were taken from."""
+
+    def average(name: str) -> Column:
+        return F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_count"))
+
+    return parts.groupBy(STATION, "date").agg(
+        *[average(name).alias(shown) for name, shown in DAILY_MEASURES.items()]
+    )
+
+
 def hourly_rollup(df: DataFrame) -> DataFrame:
     """Eight measures per station and hour, over rows with station and time."""
     hourly = with_station_and_time(df).withColumn("hour_bucket", hour_bucket(F.col(EVENT_TIME)))

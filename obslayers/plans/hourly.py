@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from obslayers.operators.aggregates import hourly_rollup, station_summary
 from obslayers.operators.inspect import schema_text, show_preview
-from obslayers.sources.tables import read_table, replace_table
+from obslayers.sources.tables import read_table, replace_days, replace_table
 
 
 def run_hourly(spark: SparkSession, clean: str, table: str) -> None:
@@ -14,6 +15,18 @@ def run_hourly(spark: SparkSession, clean: str, table: str) -> None:
     replace_table(hourly_rollup(read_table(spark, clean)), table)
 
 
+def run_hourly_days(spark: SparkSession, clean: str, table: str, since: str, until: str) -> None:
+    """Rebuild the days ``since`` to ``until`` (inclusive) of an hourly table filed by day.
+
+    Only those days of a clean table archived by day are read, and only those
+    partitions of ``table`` that have rows are replaced. An hour lies within one day,
+    so the rows are those of a whole rebuild.
+    """
+    day = F.col("reference_date")
+    days = read_table(spark, clean).filter(day.between(F.lit(since).cast("date"), F.lit(until).cast("date")))
+    replace_days(hourly_rollup(days).withColumn("day", F.to_date("hour_bucket")), table, "day")
+
+
 def run_summary(spark: SparkSession, clean: str, show: bool = False) -> DataFrame:
     """Count and averages per station of the clean table."""
     observations = read_table(spark, clean)

@@ -30,3 +30,14 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Rebuild the whole table."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
+
+
+def replace_days(df: DataFrame, path: str, day: str) -> None:
+    """Replace the partitions of ``day`` that ``df`` has rows for, and leave the others."""
+    (
+        df.hint("rebalance", day)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(day)
+        .parquet(path)
+    )

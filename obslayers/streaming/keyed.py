@@ -11,9 +11,9 @@ A ``KeyedTable`` folder holds
 * ``generations/G`` -- one empty file per generation handed out.
 
 The newest row is the one with the highest generation and, within it, the highest
-epoch. Every copy of a row carries that position, so reading a row twice, from the
-log and from the base, cannot change the result. Compaction needs no switch-over
-for that reason: it adds files first and removes the ones they replace a run later.
+epoch; one writer at a time holds the newest generation. Compaction only adds files:
+a finished run names the epochs it folded, readers then take those from the base,
+and the files it replaces are removed a compaction later.
 """
 
 from __future__ import annotations
@@ -21,7 +21,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,23 +95,49 @@ class KeyedTable:
 
     # -- reading -----------------------------------------------------------------
 
-    def _log_rows(self, spark: SparkSession, paths: Sequence[str] | None = None) -> DataFrame | None:
+    def _finished_runs(self, spark: SparkSession) -> list[int]:
+        """Compaction runs that completed, newest first."""
+        root = f"{self.path}/base"
+        runs = [int(name.split("=")[1]) for name in storage.children(spark, root)]
+        return sorted((run for run in runs if storage.exists(spark, f"{root}/run={run}/{FOLDED_FILE}")), reverse=True)
+
+    def _folded_by(self, spark: SparkSession, run: int) -> list[str]:
+        return storage.read_text(spark, f"{self.path}/base/run={run}/{FOLDED_FILE}").split()
+
+    def _days_of(self, spark: SparkSession, run: int) -> list[str]:
+        return [name for name in storage.children(spark, f"{self.path}/base/run={run}") if name.startswith("day=")]
+
+    def _epochs(self, spark: SparkSession, runs: Sequence[int]) -> list[str]:
+        """Log folders not folded yet, oldest first."""
+        folded = {epoch for run in runs for epoch in self._folded_by(spark, run)}
+        found = []
+        for generation in storage.children(spark, f"{self.path}/log"):
+            for epoch in storage.children(spark, f"{self.path}/log/{generation}"):
+                if f"{generation}/{epoch}" not in folded:
+                    found.append((int(generation.split("=")[1]), int(epoch.split("=")[1])))
+        return [f"generation={generation}/epoch={epoch}" for generation, epoch in sorted(found)]
+
+    def _log_rows(self, spark: SparkSession, epochs: Sequence[str]) -> DataFrame:
         root = f"{self.path}/log"
-        if not storage.children(spark, root):
-            return None
-        rows = spark.read.option("basePath", root).parquet(*(paths or [root]))
+        rows = spark.read.option("basePath", root).parquet(*[f"{root}/{epoch}" for epoch in epochs])
         position = F.shiftleft(F.col("generation").cast("long"), EPOCH_BITS) + F.col("epoch")
         return rows.withColumn(POSITION, position).drop("generation", "epoch")
 
-    def _base_rows(self, spark: SparkSession) -> DataFrame | None:
-        root = f"{self.path}/base"
-        if not storage.children(spark, root):
-            return None
-        try:
-            return spark.read.parquet(root).drop("run")
-        except AnalysisException:
-            # Only a run that never finished, without a single file.
+    def _base_rows(
+        self, spark: SparkSession, runs: Sequence[int], days: set[str] | None = None
+    ) -> DataFrame | None:
+        """Folded rows, one per key: each day as the newest run that touched it left it.
+
+        Only the folders of ``days`` are read when given.
+        """
+        root, newest = f"{self.path}/base", {}
+        for run in runs:
+            for day in self._days_of(spark, run):
+                if days is None or day in days:
+                    newest.setdefault(day, f"{root}/run={run}/{day}")
+        if not newest:
             return None
+        return spark.read.option("basePath", root).parquet(*newest.values()).drop("run")
 
     def _newest(self, rows: DataFrame) -> DataFrame:
         # One max_by per column over a long position keeps this a hash aggregate;
@@ -127,91 +152,79 @@ class KeyedTable:
         return calendar_day(F.col(self.time_key))
 
     def latest(self, spark: SparkSession, since: str | None = None, until: str | None = None) -> DataFrame:
-        """The newest row per key; ``since`` and ``until`` (inclusive days) prune the files read."""
-        log, base = self._log_rows(spark), self._base_rows(spark)
-        if log is None and base is None:
+        """The newest row per key; ``since`` and ``until`` (inclusive days) prune the files read.
+
+        Only the log is aggregated. The base holds one row per key already and gives
+        those that the log does not replace, without a shuffle while the log is small.
+        """
+        runs = self._finished_runs(spark)
+        epochs, base = self._epochs(spark, runs), self._base_rows(spark, runs)
+        if not epochs and base is None:
             raise ValueError(f"nothing written to {self.path} yet")
         if base is not None:
             if since is not None:
                 base = base.filter(F.col("day") >= F.lit(since).cast("date"))
             if until is not None:
                 base = base.filter(F.col("day") <= F.lit(until).cast("date"))
-            base = base.drop("day")
-        if log is not None:
-            if since is not None:
-                log = log.filter(F.col(self.time_key) >= F.lit(since).cast("date"))
-            if until is not None:
-                log = log.filter(F.col(self.time_key) < F.date_add(F.lit(until).cast("date"), 1))
-        if log is None:
-            rows = base
-        elif base is None:
-            rows = log
-        else:
-            rows = log.unionByName(base)
-        return self._newest(rows).drop(POSITION)
+            base = base.drop("day", POSITION)
+            if not epochs:
+                return base
+        log = self._log_rows(spark, epochs)
+        if since is not None:
+            log = log.filter(F.col(self.time_key) >= F.lit(since).cast("date"))
+        if until is not None:
+            log = log.filter(F.col(self.time_key) < F.date_add(F.lit(until).cast("date"), 1))
+        newest = self._newest(log).drop(POSITION)
+        if base is None:
+            return newest
+        replaced = log.select(*self.keys).distinct()
+        return newest.unionByName(base.join(replaced, list(self.keys), "left_anti"))
 
     # -- compaction --------------------------------------------------------------
 
-    def _closed_epochs(self, spark: SparkSession) -> list[str]:
-        """Log folders that no retry can touch: all but the newest of the newest generation."""
-        epochs = []
-        for generation in storage.children(spark, f"{self.path}/log"):
-            for epoch in storage.children(spark, f"{self.path}/log/{generation}"):
-                epochs.append((int(generation.split("=")[1]), int(epoch.split("=")[1])))
-        return [f"generation={generation}/epoch={epoch}" for generation, epoch in sorted(epochs)[:-1]]
-
-    def _finished_runs(self, spark: SparkSession) -> list[int]:
-        root = f"{self.path}/base"
-        return sorted(
-            int(name.split("=")[1])
-            for name in storage.children(spark, root)
-            if name.startswith("run=") and storage.exists(spark, f"{root}/{name}/{FOLDED_FILE}")
-        )
-
     def drop_replaced(self, spark: SparkSession) -> None:
         """Remove files that a finished compaction has replaced.
 
         Called at the start of the next compaction, which leaves readers of the old
         files the time in between.
         """
-        root = f"{self.path}/base"
-        runs = self._finished_runs(spark)
+        root, runs = f"{self.path}/base", self._finished_runs(spark)
         for name in storage.children(spark, root):
             # A run that broke off: the log and the older base still hold all its rows.
-            if name.startswith("run=") and int(name.split("=")[1]) not in runs:
+            if int(name.split("=")[1]) not in runs:
                 storage.delete(spark, f"{root}/{name}")
         newer: set[str] = set()
-        for run in reversed(runs):
-            folder = f"{root}/run={run}"
-            for epoch in storage.read_text(spark, f"{folder}/{FOLDED_FILE}").split():
+        for run in runs:
+            for epoch in self._folded_by(spark, run):
                 storage.delete(spark, f"{self.path}/log/{epoch}")
-            days = {name for name in storage.children(spark, folder) if name.startswith("day=")}
+            days = set(self._days_of(spark, run))
             for day in days & newer:
-                storage.delete(spark, f"{folder}/{day}")
-            if run != runs[-1] and days <= newer:
-                storage.delete(spark, folder)
+                storage.delete(spark, f"{root}/run={run}/{day}")
+            if run != runs[0] and days <= newer:
+                storage.delete(spark, f"{root}/run={run}")
             newer |= days
 
     def compact(self, spark: SparkSession) -> int:
         """Fold closed epochs into the base; returns how many were folded.
 
         Only days that the folded epochs touch are rewritten. Safe beside a running
-        stream, since its newest epoch is left alone; two compactions must not
-        overlap.
+        stream, since its newest epoch, the only one a retry can write again, is left
+        alone; two compactions must not overlap.
         """
         self.drop_replaced(spark)
-        epochs = self._closed_epochs(spark)
+        runs = self._finished_runs(spark)
+        epochs = self._epochs(spark, runs)[:-1]
         if not epochs:
             return 0
-        folded = self._log_rows(spark, [f"{self.path}/log/{epoch}" for epoch in epochs])
-        rows, base = folded, self._base_rows(spark)
+        rows = self._log_rows(spark, epochs)
+        # At most one value per calendar day, so that the base is pruned by folder.
+        touched = {f"day={row.day}" for row in rows.select(self._day().alias("day")).distinct().collect()}
+        base = self._base_rows(spark, runs, touched)
         if base is not None:
-            touched = folded.select(self._day().alias("day")).distinct()
-            rows = folded.unionByName(base.join(touched, "day", "left_semi").drop("day"))
+            rows = rows.unionByName(base.drop("day"))
         merged = self._newest(rows).withColumn("day", self._day())
-        # A rebalance by day gives few files per day and splits a day that is too large.
-        runs = [int(name.split("=")[1]) for name in storage.children(spark, f"{self.path}/base")]
         target = f"{self.path}/base/run={max(runs, default=0) + 1}"
+        # A rebalance by day gives few files per day and splits a day that is too large.
         merged.hint("rebalance", "day").write.partitionBy("day").parquet(target)
         storage.write_text(spark, f"{target}/{FOLDED_FILE}", "\n".join(epochs))
         return len(epochs)

@@ -10,6 +10,9 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from obslayers import storage
 
+# State partitions whose changed groups share a file, unless a sink is told otherwise.
+PARTITIONS_PER_FILE = 16
+
 
 def to_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataStreamWriter:
     """Append rows to a parquet table, each exactly once."""
@@ -25,14 +28,15 @@ def to_console(df: DataFrame, truncate: bool = False, rows: int = 20) -> DataStr
 def to_keyed(df: DataFrame, target, generation: int = 0, files: int | None = None) -> DataStreamWriter:
     """Upsert each micro-batch into a keyed ``target``.
 
-    Update mode sends the groups that changed. ``files`` gathers a micro-batch into
-    that many files; groups are unique in a batch, so the added shuffle is small and
-    even, and saves a file per state partition.
+    Update mode sends the groups that changed. They are gathered into ``files`` files
+    instead of one per state partition; groups are unique in a batch, so that shuffle
+    is even and carries aggregates only.
     """
 
     def upsert(batch: DataFrame, epoch: int) -> None:
-        rows = batch if files is None else batch.repartition(files, *target.keys)
-        target.upsert(rows, generation, epoch)
+        state_partitions = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        count = files or max(1, state_partitions // PARTITIONS_PER_FILE)
+        target.upsert(batch.repartition(count, *target.keys), generation, epoch)
 
     return df.writeStream.foreachBatch(upsert)
 

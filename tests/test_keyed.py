@@ -7,9 +7,11 @@ from pathlib import Path
 import pytest
 from helpers import message, rows, texts
 
+from pyspark.sql import functions as F
+
 from obslayers import storage
-from obslayers.plans.daily import daily_table, run_daily
-from obslayers.plans.hourly import run_hourly, run_summary
+from obslayers.plans.daily import add_new_parts, daily_of_parts, daily_table, daily_view, run_daily
+from obslayers.plans.hourly import run_hourly, run_hourly_days, run_summary
 from obslayers.operators.clean import archive_observations
 from obslayers.sources.tables import append_table, read_table, replace_table
 from obslayers.streaming.keyed import CassandraTable, KeyedTable, serve
@@ -117,6 +119,9 @@ def test_broken_off_compaction_is_harmless(spark, tmp_path):
     storage.delete(spark, f"{table.path}/base/run=1/_folded")
     assert content(table, spark) == {("s", day(0)): (2.0, None)}
     assert table.compact(spark) == 2
+    table.upsert(frame(spark, {("s", day(0)): (3.0, None)}), 1, 3)
+    assert content(table, spark) == {("s", day(0)): (3.0, None)}
+    table.upsert(frame(spark, {("s", day(0)): (2.0, None)}), 1, 3)
     table.drop_replaced(spark)
     assert content(table, spark) == {("s", day(0)): (2.0, None)}
 
@@ -177,6 +182,49 @@ def test_daily_job(spark, tmp_path, capsys):
     assert target.latest(spark).count() == 2
 
 
+def test_incremental_daily_equals_the_whole(spark, tmp_path):
+    raw, parts, checkpoint = (str(tmp_path / name) for name in ("raw", "parts", "checkpoint"))
+    target, rng = daily_table(str(tmp_path / "keyed")), random.Random(3)
+    for _ in range(3):
+        messages = [
+            message(
+                # One station sends most of the messages, and some carry nothing to average.
+                geo_id_insee=rng.choice(["hot", "hot", "hot", "a", "b"]),
+                reference_time=f"2024-01-0{rng.randint(1, 3)}T{rng.randint(0, 23):02d}:00:00Z",
+                t=rng.choice([None, 280 + rng.random()]),
+                t_10=rng.choice([None, 290 + rng.random()]),
+                u=None,
+                ff=rng.choice([None, "3.5", 1.25]),
+            )
+            for _ in range(40)
+        ]
+        append_table(texts(spark, [*messages, "hello", message(drop=["reference_time"])]).coalesce(2), raw)
+        add_new_parts(spark, raw, parts, checkpoint, target, per_trigger=1).awaitTermination()
+        results = [
+            rows(
+                df.select("geo_id_insee", "date", F.round("avg_temp", 9), F.round("avg_wind", 9), "avg_humidity"),
+                "geo_id_insee",
+                "date",
+            )
+            for df in (daily_view(read_table(spark, raw)), target.latest(spark), daily_of_parts(spark, parts))
+        ]
+        assert results[0] == results[1] == results[2]
+    add_new_parts(spark, raw, parts, checkpoint, target).awaitTermination()
+    assert daily_of_parts(spark, parts).count() == len(results[0])
+
+
+def test_hourly_rebuild_of_some_days(spark, tmp_path):
+    clean, whole, table = (str(tmp_path / name) for name in ("clean", "whole", "hourly"))
+    messages = [message(reference_time=f"2024-01-0{d}T{h:02d}:30:00Z", t=270 + d + h) for d in (1, 2, 3) for h in (0, 23)]
+    archived = archive_observations(texts(spark, messages)).withColumn("reference_date", F.to_date("reference_time"))
+    append_table(archived, clean, ["reference_date"])
+    run_hourly(spark, clean, whole)
+    run_hourly_days(spark, clean, table, "2024-01-01", "2024-01-03")
+    run_hourly_days(spark, clean, table, "2024-01-02", "2024-01-02")
+    rebuilt = read_table(spark, table).drop("day")
+    assert rows(rebuilt, "hour_bucket") == rows(read_table(spark, whole).select(*rebuilt.columns), "hour_bucket")
+
+
 def test_hourly_and_summary_jobs(spark, tmp_path, capsys):
     clean, out = str(tmp_path / "clean"), str(tmp_path / "hourly")
     append_table(archive_observations(texts(spark, [message(), message(reference_time=None)])), clean)

@@ -96,4 +96,6 @@ def test_keyed_table_reads_with_hash_aggregates(spark, clean, tmp_path):
     table.compact(spark)
     bounded = plan(table.latest(spark, since="2024-01-01", until="2024-01-01"))
     assert re.search(r"PartitionFilters: \[[^\]]*day#\d+ >= 2024-01-01", bounded)
+    # The base is not aggregated, and a small log reaches it without a shuffle of the base.
+    assert "BroadcastHashJoin" in bounded and "LeftAnti" in bounded and count(r"max_by", bounded) == 16
     assert re.search(r"PushedFilters: \[[^\]]*hour_bucket", bounded)

@@ -55,6 +55,8 @@ def _stream(args: argparse.Namespace, interval: str | None = None) -> dict:
 
 
 def _target(args: argparse.Namespace, keyed, keys: tuple[str, ...]):
+    if args.keyspace and args.view:
+        raise SystemExit("give either --view or --keyspace")
     if args.keyspace:
         return CassandraTable(args.keyspace, args.table_name, keys)
     return keyed(args.view) if args.view else None
@@ -79,6 +81,7 @@ def parser() -> argparse.ArgumentParser:
     speed.add_argument("--mode", default="update", choices=["update", "append"])
     speed.add_argument("--per-trigger", type=int)
     speed.add_argument("--partitions", type=int)
+    speed.add_argument("--compact-every", type=int, help="micro-batches between compactions of --view")
 
     daily = jobs.add_parser("daily", help="raw table to daily view")
     daily.add_argument("--raw", required=True)
@@ -141,6 +144,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             mode=args.mode,
             per_trigger=args.per_trigger,
             partitions=args.partitions,
+            compact_every=args.compact_every if args.view else None,
             **_stream(args, SPEED_INTERVAL),
         )
         wait(query)

@@ -35,6 +35,7 @@ def run_speed(
     per_trigger: int | None = None,
     partitions: int | None = None,
     files: int | None = None,
+    compact_every: int | None = None,
     strict: bool = False,
 ) -> StreamingQuery:
     """Start the live view.
@@ -47,5 +48,5 @@ def run_speed(
     records = stream_topic(spark, topic, starting, since, per_trigger)
     averages = windowed_averages(averaged_observations(message_text(records), strict=strict), width, watermark)
     generation = target.open_generation(spark, checkpoint)
-    writer = to_keyed(averages, target, generation, files)
+    writer = to_keyed(averages, target, generation, files, compact_every)
     return start(spark, writer, mode, every, checkpoint, partitions)

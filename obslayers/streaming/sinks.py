@@ -25,18 +25,30 @@ def to_console(df: DataFrame, truncate: bool = False, rows: int = 20) -> DataStr
     return df.writeStream.format("console").option("truncate", truncate).option("numRows", rows)
 
 
-def to_keyed(df: DataFrame, target, generation: int = 0, files: int | None = None) -> DataStreamWriter:
+def to_keyed(
+    df: DataFrame,
+    target,
+    generation: int = 0,
+    files: int | None = None,
+    compact_every: int | None = None,
+) -> DataStreamWriter:
     """Upsert each micro-batch into a keyed ``target``.
 
     Update mode sends the groups that changed. They are gathered into ``files`` files
     instead of one per state partition; groups are unique in a batch, so that shuffle
-    is even and carries aggregates only.
+    is even and carries aggregates only. With ``compact_every`` a keyed parquet table
+    is compacted after every so many micro-batches, which bounds the files a reader
+    has to open.
     """
+    # The stream's own session has adaptive execution off.
+    session = df.sparkSession
 
     def upsert(batch: DataFrame, epoch: int) -> None:
         state_partitions = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         count = files or max(1, state_partitions // PARTITIONS_PER_FILE)
         target.upsert(batch.repartition(count, *target.keys), generation, epoch)
+        if compact_every and (epoch + 1) % compact_every == 0:
+            target.compact(session)
 
     return df.writeStream.foreachBatch(upsert)
 

@@ -1,9 +1,10 @@
 """Streams over numbered topic files, one file per micro-batch."""
 
 import datetime
+from pathlib import Path
 
 import pytest
-from helpers import TopicFolder, at, message, rows
+from helpers import TopicFolder, at, message, rows, texts
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -155,10 +156,31 @@ def test_rows_without_time_open_no_window(view):
     assert len(view.latest()) == 1
 
 
-def test_fewer_files_per_epoch(view):
+def test_windows_have_a_start(spark):
+    clean = averaged_observations(texts(spark, [at("00:00:00"), message(reference_time="garbage")]))
+    windows = windowed_averages(clean)
+    assert windows.count() == 1 and windows.filter("window_start IS NULL").count() == 0
+
+
+def test_files_per_epoch(view):
     view.folder.add(*[at(f"{h:02d}:00:00", 280, f"s{h}") for h in range(20)])
-    view.run(files=1)
+    view.run(files=3)
     assert len(view.latest()) == 20
+    assert len(list(Path(view.table.path).glob("log/generation=1/epoch=0/part-*.parquet"))) <= 3
+
+
+def test_compaction_beside_the_stream(view):
+    for minute in range(0, 30, 6):
+        view.folder.add(at(f"00:{minute:02d}:00", 280 + minute), at("00:01:00", 280 + minute))
+    query = view.run(watermark="1 day", compact_every=2)
+    average = sum(280 + minute for minute in [0, *range(0, 30, 6)]) / 6
+    assert view.latest() == [
+        ("00:00", round(average, 6)),
+        *[(f"00:{minute:02d}", 280.0 + minute) for minute in range(6, 30, 6)],
+    ]
+    assert list(Path(view.table.path).glob("base/run=*/_folded"))
+    epochs = list(Path(view.table.path).glob("log/generation=1/epoch=*"))
+    assert len(epochs) < query.lastProgress["batchId"] + 1
 
 
 def test_update_and_append_need_a_bound_on_state(spark, tmp_path):

@@ -16,7 +16,8 @@ from obslayers.operators.aggregates import daily_averages, hourly_rollup, row_co
 from obslayers.operators.clean import archive_observations, clean_messages, daily_observations, speed_observations
 from obslayers.operators.inspect import first_days, preview, schema_text, show_preview
 from obslayers.operators.report import report_lines
-from obslayers.schemas import DAILY_FIELDS, OBSERVATION, OBSERVATION_WHOLE, SPEED_FIELDS, only
+from obslayers.functions.times import parse_time
+from obslayers.schemas import DAILY_FIELDS, OBSERVATION, OBSERVATION_WHOLE, SPEED_FIELDS, TIME_PATTERN, only
 from obslayers.session import settings
 from obslayers.sources.topic import Topic, topic_records
 
@@ -114,6 +115,19 @@ def test_time_patterns(spark, time, by_pattern, by_default):
         assert seconds(archive_observations(texts(spark, [text]))) == expected[1:]
 
 
+def test_usual_times_parse_like_the_pattern(spark):
+    dates = ["2024-02-29", "2023-02-29", "2024-04-31", "0000-01-01", "0001-01-01", "1582-10-10", "9999-12-31", "2024-13-01"]
+    clocks = ["00:00:00", "23:59:59", "24:00:00", "12:60:00", "12:00:60", "1:00:00", "12:00"]
+    ends = ["Z", "z", "+01", "-0530", "+00", "Z\n", " Z", "Z ", "", ".5Z", "Zulu", "+01:00"]
+    times = [f"{date}{t}{clock}{end}" for date in dates for t in "Tt " for clock in clocks for end in ends]
+    times += ["", " 2024-01-01T00:00:00Z", "+024-01-01T00:00:00Z", "-024-01-01T00:00:00Z", "２０２４-01-01T00:00:00Z"]
+    df = spark.createDataFrame([(time,) for time in times], "time string")
+    plain = F.try_to_timestamp("time", F.lit(TIME_PATTERN))
+    differ = df.filter(~parse_time(F.col("time")).eqNullSafe(plain))
+    assert rows(differ) == []
+    assert df.filter(parse_time(F.col("time")).isNotNull()).count() > 20
+
+
 @pytest.mark.parametrize("time", ["2024-01-01T00:00:00+01:00", "2024-01-01T00:00:00.5Z", "garbage"])
 def test_strict_times_fail(spark, time):
     with pytest.raises(PySparkException):

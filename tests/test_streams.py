@@ -277,7 +277,7 @@ def test_waiting_and_interval_trigger(spark, tmp_path):
     folder.add(at("00:00:00"))
     rows_ = archive_observations(message_text(stream_topic(spark, folder.topic, "earliest")))
     writer = rows_.writeStream.format("memory")
-    query = start(spark, writer, every="1 minute", name="interval")
+    query = start(spark, writer, every="1 second", name="interval")
     try:
         assert not wait(query, 0.1)
         query.processAllAvailable()

@@ -50,8 +50,8 @@ from obslayers.standin import (
     observation_records,
     stream_events,
 )
-from obslayers.streaming.keyed import serve
-from obslayers.streaming.runs import UNTIL_CAUGHT_UP, start, wait, wait_all
+from obslayers.streaming.keyed import KeyedTable, serve
+from obslayers.streaming.runs import UNTIL_CAUGHT_UP, drop_checkpoint, start, wait, wait_all
 from obslayers.streaming.sinks import Snapshots, to_keyed, to_parquet, to_snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -282,20 +282,23 @@ def dual_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- keyed tables and serving ------------------------------------------------------
 
 
-def _live_table(spark: SparkSession, sf_dir: str):
+def _live_table(spark: SparkSession, sf_dir: str, resets: int = 0) -> KeyedTable:
     topic, per_trigger = _published(spark, _messages(spark, sf_dir))
-    table = speed_table(storage.new_folder(spark, "speed"))
-    query = run_speed(
-        spark,
-        topic,
-        table,
-        storage.new_folder(spark, "checkpoint"),
-        starting="earliest",
-        every=UNTIL_CAUGHT_UP,
-        watermark=WHOLE_SPAN,
-        per_trigger=per_trigger,
-    )
-    wait(query)
+    table, checkpoint = speed_table(storage.new_folder(spark, "speed")), storage.new_folder(spark, "checkpoint")
+    for again in range(resets + 1):
+        if again:
+            drop_checkpoint(spark, checkpoint)
+        query = run_speed(
+            spark,
+            topic,
+            table,
+            checkpoint,
+            starting="earliest",
+            every=UNTIL_CAUGHT_UP,
+            watermark=WHOLE_SPAN,
+            per_trigger=per_trigger,
+        )
+        wait(query)
     return table
 
 
@@ -303,6 +306,11 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(_live_table(spark, sf_dir).latest(spark))
 
 
+def upsert_after_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream runs again from an empty checkpoint into the same table."""
+    return _comparable(_live_table(spark, sf_dir, resets=1).latest(spark))
+
+
 def upsert_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _live_table(spark, sf_dir)
     table.compact(spark)
@@ -372,6 +380,7 @@ QUERIES: dict[str, Query] = {
     "stream_to_parquet": stream_to_parquet,
     "dual_stream": dual_stream,
     "upsert_latest": upsert_latest,
+    "upsert_after_reset": upsert_after_reset,
     "upsert_compacted": upsert_compacted,
     "upsert_batch": upsert_batch,
     "serving_preview": serving_preview,
@@ -514,6 +523,7 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL
             SELECT 'observations' AS part, count(*) AS n FROM events WHERE user_id IS NOT NULL""",
         "upsert_latest": windows(6),
+        "upsert_after_reset": windows(6),
         "upsert_compacted": windows(6),
         "upsert_batch": f"""
             SELECT {station}, CAST(ts AS DATE) AS date, {averages.format(temp="value")}

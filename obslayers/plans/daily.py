@@ -12,6 +12,7 @@ from obslayers.operators.clean import daily_observations
 from obslayers.operators.inspect import first_days, show_preview
 from obslayers.schemas import DAILY_KEYS, RAW
 from obslayers.sources.tables import append_table, read_table
+from obslayers.streaming.generations import open_generation
 from obslayers.streaming.keyed import KeyedTable
 from obslayers.streaming.runs import UNTIL_CAUGHT_UP, start
 
@@ -62,35 +63,39 @@ def add_new_parts(
 ) -> StreamingQuery:
     """Fold what the raw table gained into the daily view, reading each message once.
 
-    Every micro-batch adds its sums and counts per station and day to ``parts``, in a
+    With a new checkpoint the raw table is read from its start into new parts. Every
+    micro-batch adds its sums and counts per station and day to ``parts``, in a
     folder of its own so that a repeat replaces it, and upserts the days it touched
-    into ``target``, reading the parts of those days only. The result is that of ``run_daily`` over the whole raw table,
-    for the cost of the new part of it. ``per_trigger`` bounds the raw files of one
-    micro-batch.
+    into ``target``, reading the parts of those days only. The result is that of
+    ``run_daily`` over the whole raw table, for the cost of the new part of it.
+    ``per_trigger`` bounds the raw files of one micro-batch.
     """
     reader = spark.readStream.schema(RAW)
     if per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
     observations = daily_observations(reader.parquet(raw), by_path=by_path, strict=strict)
+    home = f"{parts}/generation={open_generation(spark, parts, checkpoint, 'parts')}"
     generation = None if target is None else target.open_generation(spark, checkpoint)
 
     def add(batch: DataFrame, epoch: int) -> None:
-        session, folder = batch.sparkSession, f"{parts}/epoch={epoch}"
+        session, folder = batch.sparkSession, f"{home}/epoch={epoch}"
         sums = daily_parts(batch).hint("rebalance", "date")
         sums.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("date").parquet(folder)
         days = [name.removeprefix("date=") for name in storage.children(session, folder) if name.startswith("date=")]
         if target is not None and days:
-            touched = read_parts(session, parts).filter(F.col("date").isin(days))
+            touched = _read_parts(session, home).filter(F.col("date").isin(days))
             target.upsert(daily_from_parts(touched), generation, epoch)
 
     return start(spark, observations.writeStream.foreachBatch(add), every=UNTIL_CAUGHT_UP, checkpoint=checkpoint)
 
 
-def read_parts(spark: SparkSession, parts: str) -> DataFrame:
-    rows = spark.read.parquet(parts).drop("epoch")
+def _read_parts(spark: SparkSession, home: str) -> DataFrame:
+    rows = spark.read.parquet(home).drop("epoch")
     return rows.withColumn("date", F.col("date").cast("date"))
 
 
 def daily_of_parts(spark: SparkSession, parts: str) -> DataFrame:
-    """The daily view as of the last ``add_new_parts``."""
-    return daily_from_parts(read_parts(spark, parts))
+    """The daily view as of the last ``add_new_parts``, from its newest generation."""
+    names = [name for name in storage.children(spark, parts) if name.startswith("generation=")]
+    newest = max(names, key=lambda name: int(name.removeprefix("generation=")))
+    return daily_from_parts(_read_parts(spark, f"{parts}/{newest}"))

@@ -8,7 +8,7 @@ A ``KeyedTable`` folder holds
 * ``log/generation=G/epoch=E`` -- the rows one micro-batch or batch run wrote. The
   folder is replaced when the epoch is repeated, so a repeat changes nothing.
 * ``base/run=R/day=D`` -- rows folded out of the log by compaction, by day.
-* ``generations/G`` -- one empty file per generation handed out.
+* ``_generations/G`` -- one empty file per generation handed out.
 
 The newest row is the one with the highest generation and, within it, the highest
 epoch; one writer at a time holds the newest generation. Compaction only adds files:
@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 
 from obslayers import storage
 from obslayers.functions.times import calendar_day
+from obslayers.streaming.generations import open_generation
 
 POSITION = "position"
 # Epochs stay below 2**40 in one generation.
 EPOCH_BITS = 40
-GENERATION_FILE = "_keyed_generation"
 FOLDED_FILE = "_folded"
 
 
@@ -74,21 +74,8 @@ class KeyedTable:
     # -- writing -----------------------------------------------------------------
 
     def open_generation(self, spark: SparkSession, checkpoint: str | None = None) -> int:
-        """The generation to write with.
-
-        A stream keeps one generation for the life of its checkpoint. It is noted in
-        the checkpoint folder, so dropping a checkpoint to reset a stuck stream also
-        starts a new generation, whose rows win over all earlier ones.
-        """
-        note = f"{checkpoint}/{GENERATION_FILE}" if checkpoint else None
-        if note and storage.exists(spark, note):
-            return int(storage.read_text(spark, note))
-        taken = [int(name) for name in storage.children(spark, f"{self.path}/generations")]
-        generation = max(taken, default=0) + 1
-        storage.write_text(spark, f"{self.path}/generations/{generation}", "")
-        if note:
-            storage.write_text(spark, note, str(generation))
-        return generation
+        """The generation to write with: the checkpoint's own, else a new one that wins over all earlier."""
+        return open_generation(spark, self.path, checkpoint)
 
     def upsert(self, df: DataFrame, generation: int, epoch: int = 0) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/log/generation={generation}/epoch={epoch}")

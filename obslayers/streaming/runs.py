@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from obslayers import storage
 from obslayers.session import settings
 
 UNTIL_CAUGHT_UP = "available now"
@@ -68,6 +69,11 @@ def wait_all(queries: Iterable[StreamingQuery]) -> None:
         query.awaitTermination()
 
 
+def drop_checkpoint(spark: SparkSession, checkpoint: str) -> None:
+    """Forget a stuck stream's progress and state; its next start begins a new generation."""
+    storage.delete(spark, checkpoint)
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows dropped so far because their window had closed."""
     return sum(

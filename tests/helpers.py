@@ -22,11 +22,11 @@ NORMAL = {
 
 # Carries none of the expected fields.
 OFF_SCHEMA = {
-    "station_id": "TEST_STATION_001",
+    "station_id": "x-1",
     "timestamp": "2024-01-01T00:00:00+00:00",
-    "temperature_c": 12.3,
-    "humidity_pct": 78,
-    "wind_kph": 14.2,
+    "temperature_c": 9.5,
+    "humidity_pct": 60,
+    "wind_kph": 11.0,
 }
 
 UNUSABLE = ['{"geo_id_insee":"a",', "hello", "", '[{"geo_id_insee":"a"},{"geo_id_insee":"b"}]', None]

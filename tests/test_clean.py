@@ -116,11 +116,11 @@ def test_time_patterns(spark, time, by_pattern, by_default):
 
 
 def test_usual_times_parse_like_the_pattern(spark):
-    dates = ["2024-02-29", "2023-02-29", "2024-04-31", "0000-01-01", "0001-01-01", "1582-10-10", "9999-12-31", "2024-13-01"]
+    dates = "2024-02-29 2023-02-29 2024-04-31 0000-01-01 0001-01-01 1582-10-10 9999-12-31 2024-13-01".split()
     clocks = ["00:00:00", "23:59:59", "24:00:00", "12:60:00", "12:00:60", "1:00:00", "12:00"]
     ends = ["Z", "z", "+01", "-0530", "+00", "Z\n", " Z", "Z ", "", ".5Z", "Zulu", "+01:00"]
     times = [f"{date}{t}{clock}{end}" for date in dates for t in "Tt " for clock in clocks for end in ends]
-    times += ["", " 2024-01-01T00:00:00Z", "+024-01-01T00:00:00Z", "-024-01-01T00:00:00Z", "２０２４-01-01T00:00:00Z"]
+    times += ["", *[f"{year}-01-01T00:00:00Z" for year in (" 2024", "+024", "-024", "２０２４", "02024")]]
     df = spark.createDataFrame([(time,) for time in times], "time string")
     plain = F.try_to_timestamp("time", F.lit(TIME_PATTERN))
     differ = df.filter(~parse_time(F.col("time")).eqNullSafe(plain))

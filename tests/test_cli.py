@@ -10,7 +10,8 @@ from obslayers.sources.tables import read_table
 def test_layers_end_to_end(spark, tmp_path, capsys):
     folder = TopicFolder(spark, tmp_path / "topic")
     folder.add(at("00:00:00", 280, "a"), at("00:07:00", 282, "b"), "hello", None)
-    where = {name: str(tmp_path / name) for name in "raw new clean hourly speed daily daily2 table parts c1 c2 c3 c4".split()}
+    names = "raw new clean hourly speed daily daily2 table parts c1 c2 c3 c4".split()
+    where = {name: str(tmp_path / name) for name in names}
 
     def job(*words):
         run(spark, parser().parse_args([str(word) for word in words]))
@@ -22,8 +23,10 @@ def test_layers_end_to_end(spark, tmp_path, capsys):
     assert read_table(spark, where["raw"]).count() == read_table(spark, where["new"]).count() == 3
     live = [*topic, "--starting", "earliest", "--once"]
     job("speed", *live, "--view", where["speed"], "--checkpoint", where["c2"])
-    assert "rows: 2" in job("daily", "--raw", where["raw"], "--table", where["table"], "--view", where["daily"], "--show")
-    job("daily", "--raw", where["new"], "--parts", where["parts"], "--checkpoint", where["c3"], "--view", where["daily2"])
+    whole = ["--raw", where["raw"], "--table", where["table"], "--view", where["daily"]]
+    assert "rows: 2" in job("daily", *whole, "--show")
+    new = ["--raw", where["new"], "--parts", where["parts"], "--checkpoint", where["c3"]]
+    job("daily", *new, "--view", where["daily2"])
     job("archive", *live, "--table", where["clean"], "--checkpoint", where["c4"], "--by-day")
     job("hourly", "--clean", where["clean"], "--table", where["hourly"])
     assert read_table(spark, where["hourly"]).count() == 2

@@ -18,7 +18,16 @@ from obslayers.plans.raw import ingest_all, ingest_new, raw_messages
 from obslayers.plans.speed import run_speed, speed_table
 from obslayers.sources.tables import append_table, read_table
 from obslayers.sources.topic import Topic, publish, read_topic, stream_topic
-from obslayers.streaming.runs import UNTIL_CAUGHT_UP, late_rows, start, state_partitions, wait, wait_all, wait_any
+from obslayers.streaming.runs import (
+    UNTIL_CAUGHT_UP,
+    drop_checkpoint,
+    late_rows,
+    start,
+    state_partitions,
+    wait,
+    wait_all,
+    wait_any,
+)
 from obslayers.streaming.sinks import Snapshots, to_snapshots
 
 
@@ -132,6 +141,17 @@ def test_new_checkpoint_starts_a_generation_that_wins(view, tmp_path):
     assert view.latest() == [("00:00", 280.0), ("00:12", 300.0), ("00:24", 302.0)]
 
 
+def test_dropping_the_checkpoint_resets_the_stream(view):
+    view.folder.add(at("00:00:00", 280))
+    view.folder.add(at("00:14:00", 290))
+    view.run()
+    drop_checkpoint(view.spark, view.checkpoint)
+    view.folder.add(at("00:01:00", 284))
+    view.run()
+    assert view.epoch(0, generation=2) == [("00:00", 280.0)]
+    assert view.latest() == [("00:00", 282.0), ("00:12", 290.0)]
+
+
 def test_result_does_not_depend_on_the_split_into_files(view, tmp_path):
     messages = [at(f"00:{m:02d}:00", 280 + m % 7, f"s{m % 3}") for m in range(0, 60, 2)]
     for begin in range(0, 30, 7):

@@ -72,7 +72,7 @@ def parser() -> argparse.ArgumentParser:
     _add_topic(raw)
     raw.add_argument("--table", required=True)
     raw.add_argument("--checkpoint", help="take only what is new since the last run")
-    raw.add_argument("--min-partitions", type=int)
+    raw.add_argument("--min-partitions", type=int, help="least number of read tasks, for Kafka")
 
     speed = jobs.add_parser("speed", help="topic to live view")
     _add_stream(speed)
@@ -80,7 +80,8 @@ def parser() -> argparse.ArgumentParser:
     speed.add_argument("--checkpoint", required=True)
     speed.add_argument("--mode", default="update", choices=["update", "append"])
     speed.add_argument("--per-trigger", type=int)
-    speed.add_argument("--partitions", type=int)
+    speed.add_argument("--min-partitions", type=int, help="least number of read tasks, for Kafka")
+    speed.add_argument("--partitions", type=int, help="state partitions")
     speed.add_argument("--compact-every", type=int, help="micro-batches between compactions of --view")
 
     daily = jobs.add_parser("daily", help="raw table to daily view")
@@ -129,7 +130,7 @@ def parser() -> argparse.ArgumentParser:
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "raw":
         if args.checkpoint:
-            wait(ingest_new(spark, _topic(args), args.table, args.checkpoint))
+            wait(ingest_new(spark, _topic(args), args.table, args.checkpoint, min_partitions=args.min_partitions))
         else:
             ingest_all(spark, _topic(args), args.table, args.min_partitions)
     elif args.job == "speed":
@@ -143,6 +144,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             args.checkpoint,
             mode=args.mode,
             per_trigger=args.per_trigger,
+            min_partitions=args.min_partitions,
             partitions=args.partitions,
             compact_every=args.compact_every if args.view else None,
             **_stream(args, SPEED_INTERVAL),

@@ -15,6 +15,12 @@ def run_hourly(spark: SparkSession, clean: str, table: str) -> None:
     replace_table(hourly_rollup(read_table(spark, clean)), table)
 
 
+def clean_days(spark: SparkSession, clean: str, since: str, until: str) -> DataFrame:
+    """The days ``since`` to ``until`` (inclusive) of a clean table archived by day."""
+    first, last = F.lit(since).cast("date"), F.lit(until).cast("date")
+    return read_table(spark, clean).filter(F.col("reference_date").between(first, last))
+
+
 def run_hourly_days(spark: SparkSession, clean: str, table: str, since: str, until: str) -> None:
     """Rebuild the days ``since`` to ``until`` (inclusive) of an hourly table filed by day.
 
@@ -22,9 +28,8 @@ def run_hourly_days(spark: SparkSession, clean: str, table: str, since: str, unt
     partitions of ``table`` that have rows are replaced. An hour lies within one day,
     so the rows are those of a whole rebuild.
     """
-    day = F.col("reference_date")
-    days = read_table(spark, clean).filter(day.between(F.lit(since).cast("date"), F.lit(until).cast("date")))
-    replace_days(hourly_rollup(days).withColumn("day", F.to_date("hour_bucket")), table, "day")
+    hourly = hourly_rollup(clean_days(spark, clean, since, until))
+    replace_days(hourly.withColumn("day", F.to_date("hour_bucket")), table, "day")
 
 
 def run_summary(spark: SparkSession, clean: str, show: bool = False) -> DataFrame:

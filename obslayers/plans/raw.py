@@ -30,6 +30,7 @@ def ingest_new(
     checkpoint: str,
     by_day: bool = True,
     per_trigger: int | None = None,
+    min_partitions: int | None = None,
     every: str | None = UNTIL_CAUGHT_UP,
 ) -> StreamingQuery:
     """Append what the topic gained since the last run, each message once.
@@ -37,7 +38,7 @@ def ingest_new(
     ``by_day`` files messages under the day they reached the topic. A topic is read
     in arrival order, so that costs no shuffle and few open files.
     """
-    records = stream_topic(spark, topic, starting="earliest", per_trigger=per_trigger)
+    records = stream_topic(spark, topic, "earliest", None, per_trigger, min_partitions)
     if by_day:
         day = F.to_date("timestamp").alias("ingest_date")
         rows = present(records.select(F.col("value").cast("string").alias("json"), day))

@@ -33,6 +33,7 @@ def run_speed(
     width: str = SPEED_WINDOW,
     watermark: str = SPEED_WATERMARK,
     per_trigger: int | None = None,
+    min_partitions: int | None = None,
     partitions: int | None = None,
     files: int | None = None,
     compact_every: int | None = None,
@@ -43,9 +44,10 @@ def run_speed(
     In update mode a window is written whenever it changes, in append mode once,
     after the watermark has passed its end. With a new checkpoint the stream starts
     at the latest messages, so a window in progress is computed again from part of
-    its rows and the newer, partial row wins.
+    its rows and the newer, partial row wins. ``min_partitions`` spreads a busy Kafka partition over
+    that many tasks; ``partitions`` is the number of state partitions.
     """
-    records = stream_topic(spark, topic, starting, since, per_trigger)
+    records = stream_topic(spark, topic, starting, since, per_trigger, min_partitions)
     averages = windowed_averages(averaged_observations(message_text(records), strict=strict), width, watermark)
     generation = target.open_generation(spark, checkpoint)
     writer = to_keyed(averages, target, generation, files, compact_every)

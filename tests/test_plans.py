@@ -5,10 +5,13 @@ import re
 import pytest
 from helpers import message, texts
 
+from pyspark.sql import functions as F
+
 from obslayers.operators.aggregates import daily_averages, hourly_rollup, station_summary, windowed_averages
 from obslayers.operators.clean import archive_observations, averaged_observations, daily_observations
 from obslayers.operators.inspect import first_days
 from obslayers.operators.report import report_lines
+from obslayers.plans.hourly import clean_days
 from obslayers.sources.tables import append_table, read_table
 from obslayers.sources.topic import Topic, publish, read_topic
 from obslayers.functions.messages import message_text
@@ -71,6 +74,15 @@ def test_hourly_reads_needed_columns_and_pushes_filters(spark, clean):
     assert count(r"Exchange", text) == 1 and "SortAggregate" not in text
 
 
+def test_days_of_the_hourly_table_prune_the_clean_table(spark, clean, tmp_path):
+    table = str(tmp_path / "by_day")
+    rows = read_table(spark, clean).withColumn("reference_date", F.to_date("reference_time"))
+    append_table(rows, table, ["reference_date"])
+    text = plan(hourly_rollup(clean_days(spark, table, "2024-01-01", "2024-01-02")))
+    assert re.search(r"PartitionFilters: \[[^\]]*reference_date#\d+ >= 2024-01-01", text)
+    assert re.search(r"PartitionFilters: \[[^\]]*reference_date#\d+ <= 2024-01-02", text)
+
+
 def test_summary_reads_three_columns(spark, clean):
     text = plan(station_summary(read_table(spark, clean)))
     assert "ReadSchema: struct<geo_id_insee:string,temperature_c:double,humidity:double>" in text

@@ -21,6 +21,7 @@ from obslayers.schemas import DAILY_KEYS, SPEED_KEYS
 from obslayers.session import build_session
 from obslayers.sources.topic import Topic
 from obslayers.streaming.keyed import CassandraTable, serve
+from obslayers.streaming.parts import DailyParts
 from obslayers.streaming.runs import UNTIL_CAUGHT_UP, wait, wait_all
 
 
@@ -119,8 +120,8 @@ def parser() -> argparse.ArgumentParser:
 
     compact = jobs.add_parser("compact", help="fold the log of a keyed table")
     serving = jobs.add_parser("query", help="run SQL over keyed tables, as views speed and batch_view")
-    compact.add_argument("kind", choices=["speed", "daily"])
-    compact.add_argument("--view", required=True)
+    compact.add_argument("kind", choices=["speed", "daily", "parts"])
+    compact.add_argument("--view", required=True, help="folder of the keyed table, or of the parts")
     serving.add_argument("sql")
     serving.add_argument("--speed", help="folder of the live view")
     serving.add_argument("--daily", help="folder of the daily view")
@@ -183,8 +184,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "replay":
         print_replay(spark, _topic(args), args.rows)
     elif args.job == "compact":
-        table = (speed_table if args.kind == "speed" else daily_table)(args.view)
-        print(f"epochs folded: {table.compact(spark)}")
+        if args.kind == "parts":
+            folded = DailyParts(args.view).fold(spark)
+        else:
+            folded = (speed_table if args.kind == "speed" else daily_table)(args.view).compact(spark)
+        print(f"epochs folded: {folded}")
     elif args.job == "query":
         tables = {}
         if args.speed:

@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from obslayers import storage
-from obslayers.operators.aggregates import daily_averages, daily_from_parts, daily_parts
+from obslayers.operators.aggregates import daily_averages, daily_from_parts
 from obslayers.operators.clean import daily_observations
 from obslayers.operators.inspect import first_days, show_preview
 from obslayers.schemas import DAILY_KEYS, RAW
 from obslayers.sources.tables import append_table, read_table
-from obslayers.streaming.generations import open_generation
 from obslayers.streaming.keyed import KeyedTable
+from obslayers.streaming.parts import DailyParts
 from obslayers.streaming.runs import UNTIL_CAUGHT_UP, start
 
 
@@ -74,28 +73,19 @@ def add_new_parts(
     if per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
     observations = daily_observations(reader.parquet(raw), by_path=by_path, strict=strict)
-    home = f"{parts}/generation={open_generation(spark, parts, checkpoint, 'parts')}"
+    table = DailyParts(parts)
+    home = table.open_generation(spark, checkpoint)
     generation = None if target is None else target.open_generation(spark, checkpoint)
 
     def add(batch: DataFrame, epoch: int) -> None:
-        session, folder = batch.sparkSession, f"{home}/epoch={epoch}"
-        sums = daily_parts(batch).hint("rebalance", "date")
-        sums.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("date").parquet(folder)
-        days = [name.removeprefix("date=") for name in storage.children(session, folder) if name.startswith("date=")]
+        days = table.add(batch, home, epoch)
         if target is not None and days:
-            touched = _read_parts(session, home).filter(F.col("date").isin(days))
-            target.upsert(daily_from_parts(touched), generation, epoch)
+            target.upsert(daily_from_parts(table.read(batch.sparkSession, home, days)), generation, epoch)
 
     return start(spark, observations.writeStream.foreachBatch(add), every=UNTIL_CAUGHT_UP, checkpoint=checkpoint)
 
 
-def _read_parts(spark: SparkSession, home: str) -> DataFrame:
-    rows = spark.read.parquet(home).drop("epoch")
-    return rows.withColumn("date", F.col("date").cast("date"))
-
-
 def daily_of_parts(spark: SparkSession, parts: str) -> DataFrame:
-    """The daily view as of the last ``add_new_parts``, from its newest generation."""
-    names = [name for name in storage.children(spark, parts) if name.startswith("generation=")]
-    newest = max(names, key=lambda name: int(name.removeprefix("generation=")))
-    return daily_from_parts(_read_parts(spark, f"{parts}/{newest}"))
+    """The daily view as of the last ``add_new_parts``, from the newest generation of parts."""
+    table = DailyParts(parts)
+    return daily_from_parts(table.read(spark, table.newest_generation(spark)))

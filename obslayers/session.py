@@ -26,13 +26,16 @@ DEFAULTS = {
 
 # Additional settings for a large cluster: fewer, larger scan tasks keep the map
 # side of the aggregations effective and the task count manageable, and output
-# partitions follow a size target rather than the core count.
+# partitions follow a size target rather than the core count. The state stores of one
+# executor share a bounded amount of memory.
 CLUSTER = {
     "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
     "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "2000",
 }
 
 

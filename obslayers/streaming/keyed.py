@@ -218,6 +218,6 @@ class KeyedTable:
 
 
 def serve(spark: SparkSession, views: dict[str, KeyedTable]) -> None:
-    """Register the newest rows of each table as a temporary view of that name."""
+    """Register the newest rows of each table, as of now, as a temporary view of that name."""
     for name, table in views.items():
         table.latest(spark).createOrReplaceTempView(name)

@@ -33,6 +33,7 @@ def test_layers_end_to_end(spark, tmp_path, capsys):
     assert "|b" in job("summary", "--clean", where["clean"])
     assert "T=6.85°C" in job("replay", *topic, "--rows", 5)
     assert "epochs folded" in job("compact", "speed", "--view", where["speed"])
+    assert "epochs folded: 0" in job("compact", "parts", "--view", where["parts"])
     for sql in ("SELECT * FROM speed LIMIT 10", "SELECT * FROM batch_view LIMIT 10"):
         assert "|b" in job("query", sql, "--speed", where["speed"], "--daily", where["daily"])
     assert "|b" in job("query", "SELECT * FROM batch_view", "--daily", where["daily2"])

@@ -15,6 +15,7 @@ from obslayers.plans.hourly import run_hourly, run_hourly_days, run_summary
 from obslayers.operators.clean import archive_observations
 from obslayers.sources.tables import append_table, read_table, replace_table
 from obslayers.streaming.keyed import CassandraTable, KeyedTable, serve
+from obslayers.streaming.parts import DailyParts
 from obslayers.streaming.runs import drop_checkpoint
 
 SCHEMA = "station string, date date, reading double, note string"
@@ -186,7 +187,9 @@ def test_daily_job(spark, tmp_path, capsys):
 
 def test_incremental_daily_equals_the_whole(spark, tmp_path):
     raw, parts, checkpoint = (str(tmp_path / name) for name in ("raw", "parts", "checkpoint"))
-    target, rng = daily_table(str(tmp_path / "keyed")), random.Random(3)
+    target, rng, folded = daily_table(str(tmp_path / "keyed")), random.Random(3), []
+    with pytest.raises(ValueError):
+        daily_of_parts(spark, parts)
     for _ in range(3):
         messages = [
             message(
@@ -211,6 +214,11 @@ def test_incremental_daily_equals_the_whole(spark, tmp_path):
             for df in (daily_view(read_table(spark, raw)), target.latest(spark), daily_of_parts(spark, parts))
         ]
         assert results[0] == results[1] == results[2]
+        folded.append(DailyParts(parts).fold(spark))
+    # Two files, so two epochs, each time; the newest epoch stays.
+    assert folded == [1, 2, 2] and DailyParts(parts).fold(spark) == 0
+    epochs = [path.name for path in Path(parts).glob("generation=1/*=*")]
+    assert sorted(epochs) == ["epoch=5", "folded=4"]
     # Nothing new, and then everything again under a new checkpoint.
     add_new_parts(spark, raw, parts, checkpoint, target).awaitTermination()
     drop_checkpoint(spark, checkpoint)
@@ -220,6 +228,21 @@ def test_incremental_daily_equals_the_whole(spark, tmp_path):
         assert rows(df.select(*columns), "geo_id_insee", "date") == results[0]
 
 
+def test_broken_off_fold_does_not_count(spark, tmp_path):
+    raw, parts, checkpoint = (str(tmp_path / name) for name in ("raw", "parts", "checkpoint"))
+    for t in (280, 282, 287):
+        append_table(texts(spark, [message(t=t)]).coalesce(1), raw)
+        add_new_parts(spark, raw, parts, checkpoint).awaitTermination()
+    before = rows(daily_of_parts(spark, parts))
+    assert DailyParts(parts).fold(spark) == 2
+    assert rows(daily_of_parts(spark, parts)) == before
+    storage.delete(spark, f"{parts}/generation=1/folded=1/_done")
+    assert rows(daily_of_parts(spark, parts)) == before
+    assert DailyParts(parts).fold(spark) == 2
+    assert DailyParts(parts).fold(spark) == 0
+    assert rows(daily_of_parts(spark, parts)) == before
+
+
 def test_hourly_rebuild_of_some_days(spark, tmp_path):
     clean, whole, table = (str(tmp_path / name) for name in ("clean", "whole", "hourly"))
     hours = [(d, h) for d in (1, 2, 3) for h in (0, 23)]

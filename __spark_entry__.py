@@ -87,14 +87,20 @@ def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return message_text(observation_records(stream_events(spark, sf_dir)))
 
 
-def _published(spark: SparkSession, messages: DataFrame) -> tuple[Topic, int]:
-    """Messages in a new topic folder, and the files per trigger that make ``EPOCHS`` epochs."""
-    topic = Topic(folder=storage.new_folder(spark, "topic"))
+def _in_pieces(messages: DataFrame) -> tuple[DataFrame, int]:
+    """Messages in enough files for ``EPOCHS`` epochs, and the files per trigger that make them."""
     files = messages.rdd.getNumPartitions()
     if files < MIN_FILES:
         files, messages = MIN_FILES, messages.repartition(MIN_FILES)
-    publish(messages, topic)
-    return topic, -(-files // EPOCHS)
+    return messages, -(-files // EPOCHS)
+
+
+def _published(spark: SparkSession, messages: DataFrame) -> tuple[Topic, int]:
+    """Messages in a new topic folder, and the files per trigger."""
+    topic = Topic(folder=storage.new_folder(spark, "topic"))
+    pieces, per_trigger = _in_pieces(messages)
+    publish(pieces, topic)
+    return topic, per_trigger
 
 
 # -- raw layer ---------------------------------------------------------------------
@@ -184,14 +190,12 @@ def daily_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw table arrives in pieces, and each is read once."""
+    """The raw table is taken in piece by piece, each read once."""
     raw, parts = storage.new_folder(spark, "raw"), storage.new_folder(spark, "parts")
     checkpoint, target = storage.new_folder(spark, "checkpoint"), daily_table(storage.new_folder(spark, "daily"))
-    messages = observation_fields(events(spark, sf_dir))
-    for odd in (0, 1):
-        part = messages.filter(F.col("offset") % 2 == odd)
-        append_table(encode(part, [name for name in part.columns if name != "offset"]), raw)
-        wait(add_new_parts(spark, raw, parts, checkpoint, target))
+    pieces, per_trigger = _in_pieces(_messages(spark, sf_dir))
+    append_table(pieces, raw)
+    wait(add_new_parts(spark, raw, parts, checkpoint, target, per_trigger))
     return _comparable(target.latest(spark))
 
 

@@ -104,6 +104,9 @@ class KeyedTable:
                     found.append((int(generation.split("=")[1]), int(epoch.split("=")[1])))
         return [f"generation={generation}/epoch={epoch}" for generation, epoch in sorted(found)]
 
+    def _has_rows(self, spark: SparkSession, epoch: str) -> bool:
+        return any(name.startswith("part-") for name in storage.children(spark, f"{self.path}/log/{epoch}"))
+
     def _log_rows(self, spark: SparkSession, epochs: Sequence[str]) -> DataFrame:
         root = f"{self.path}/log"
         rows = spark.read.option("basePath", root).parquet(*[f"{root}/{epoch}" for epoch in epochs])
@@ -146,6 +149,9 @@ class KeyedTable:
         """
         runs = self._finished_runs(spark)
         epochs, base = self._epochs(spark, runs), self._base_rows(spark, runs)
+        if epochs and not self._has_rows(spark, epochs[-1]):
+            # The newest micro-batch is still being written.
+            epochs = epochs[:-1]
         if not epochs and base is None:
             raise ValueError(f"nothing written to {self.path} yet")
         if base is not None:

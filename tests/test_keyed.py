@@ -3,6 +3,7 @@
 import datetime
 import random
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from helpers import message, rows, texts
@@ -81,6 +82,16 @@ def test_empty_epoch(spark, tmp_path):
     assert content(table, spark) == {}
 
 
+def test_epoch_being_written_is_left_out(spark, tmp_path):
+    table = table_at(tmp_path / "t")
+    unfinished = Path(table.path) / "log/generation=1/epoch=1/_temporary"
+    unfinished.mkdir(parents=True)
+    with pytest.raises(ValueError):
+        table.latest(spark)
+    table.upsert(frame(spark, {("s", day(0)): (1.0, "x")}), 1, 0)
+    assert content(table, spark) == {("s", day(0)): (1.0, "x")}
+
+
 def test_compaction_keeps_the_content(spark, tmp_path):
     rng, table, expected = random.Random(11), table_at(tmp_path / "t"), {}
     assert table.compact(spark) == 0
@@ -272,6 +283,15 @@ def test_shared_folder(spark, tmp_path):
     before = spark.conf.get(storage.SHARED_DIR_SETTING, None)
     if before is not None:
         assert storage.new_folder(spark, "x").startswith(before.rstrip("/") + "/x-")
+    cluster = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master="spark://host:7077")
+    )
+    with pytest.raises(ValueError, match=storage.SHARED_DIR_SETTING):
+        storage.shared_dir(cluster)
+    cluster.sparkContext.master = "local[2]"
+    assert Path(storage.shared_dir(cluster)).is_dir()
+    cluster.conf.get = lambda key, default: "hdfs://host/shared/"
+    assert storage.new_folder(cluster, "x").startswith("hdfs://host/shared/x-")
     df = storage.materialize(spark.range(3), "numbers")
     assert sorted(r.id for r in df.collect()) == [0, 1, 2]
     assert not storage.is_folder(spark, str(tmp_path / "none"))

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from obslayers import storage
+from obslayers.functions.messages import json_column
 from obslayers.operators.aggregates import daily_averages, daily_from_parts
 from obslayers.operators.clean import daily_observations
 from obslayers.operators.inspect import first_days, show_preview
-from obslayers.schemas import DAILY_KEYS, RAW
+from obslayers.schemas import DAILY_KEYS
 from obslayers.sources.tables import append_table, read_table
 from obslayers.streaming.keyed import KeyedTable
 from obslayers.streaming.parts import DailyParts
@@ -69,7 +70,7 @@ def add_new_parts(
     ``run_daily`` over the whole raw table, for the cost of the new part of it.
     ``per_trigger`` bounds the raw files of one micro-batch.
     """
-    reader = spark.readStream.schema(RAW)
+    reader = spark.readStream.schema(f"{json_column(read_table(spark, raw))} string")
     if per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
     observations = daily_observations(reader.parquet(raw), by_path=by_path, strict=strict)

@@ -36,8 +36,6 @@ TOPIC_RECORD = StructType(
     ]
 )
 
-RAW = StructType([StructField("json", StringType())])
-
 # The canonical message: every measure is a double.
 OBSERVATION = StructType(
     [

@@ -9,6 +9,7 @@ would meet exact ties: event values have two, and their mean over 64 has up to e
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -393,6 +394,19 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def _extra() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the optional subpackage, and the pipeline over it; none where it is missing."""
+    if not importlib.util.find_spec("obslayers.llm") or not importlib.util.find_spec("corpus_pipeline"):
+        return {}, {}
+    import corpus_pipeline
+    from obslayers.llm import queries as extra
+
+    sql = dict(extra.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**extra.QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
 def _in_utc(query: Query) -> Query:
     """Days and hours are taken in the session zone, so the queries pin it."""
 
@@ -409,7 +423,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _in_utc(query) for name, query in QUERIES.items()}
+    return {name: _in_utc(query) for name, query in {**QUERIES, **_extra()[0]}.items()}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -535,4 +549,5 @@ def oracle_sql() -> dict[str, str]:
         "serving_preview": f"SELECT * FROM ({daily}) AS d ORDER BY date, geo_id_insee LIMIT 10",
         "topic_report": report,
         "replay_preview": f'SELECT * FROM ({report}) AS r ORDER BY "offset" LIMIT 20',
+        **_extra()[1],
     }

@@ -7,6 +7,7 @@ cluster can reach.
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -23,12 +24,13 @@ def _local_shared_dir() -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local session may leave it unset; it then gets a temporary folder.
+    A session whose executors are the driver itself (master ``local`` or ``local[n]``,
+    as in tests) may leave it unset; it then gets a temporary folder.
     """
     configured = spark.conf.get(SHARED_DIR_SETTING, None)
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         return _local_shared_dir()
     raise ValueError(f"set {SHARED_DIR_SETTING} to a folder that all executors share")
 

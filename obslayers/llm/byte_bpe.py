@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 
 from obslayers.llm.batches import map_texts
 from obslayers.llm.pairs import NO_PAIR, PairTable
-from obslayers.llm.pieces import PieceMemory, compiled
+from obslayers.llm.pieces import PieceMemory, Splitter
 
 FIELDS = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 # Pre-tokens of more bytes are merged alone, in the same order, by a heap: a matrix row
@@ -50,7 +50,7 @@ class ByteBpe:
                     merged.append(rank)
         columns = [np.array(x, np.int32) for x in (left, right, merged, merged)]
         self._table = PairTable(*columns)
-        self._memory = PieceMemory(compiled(pattern).findall, self._encode)
+        self._memory = PieceMemory(Splitter(pattern), self._encode)
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         """Ids of each pre-token as little-endian 32-bit integers."""
@@ -140,7 +140,9 @@ class ByteBpe:
         return b"".join(map(self._tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-encoder = functools.cache(ByteBpe)
+@functools.cache
+def encoder(path: str, pattern: str) -> ByteBpe:
+    return ByteBpe(path, pattern)
 
 
 def encode_documents(

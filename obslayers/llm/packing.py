@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obslayers.llm.batches import map_texts
-from obslayers.llm.pieces import PieceMemory, compiled
+from obslayers.llm.pieces import PieceMemory, Splitter
 from obslayers.storage import materialize
 
 FIELDS = "piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -33,6 +33,8 @@ FIELDS = "piece int, start bigint, length bigint, ids_crc32 bigint"
 SHARD_PIECES = 8192
 # Rows of a plan up to which every executor gets a copy (some 50 bytes a row).
 BROADCAST_ROWS = 200_000
+# Pre-tokens that the library gets in one call.
+AT_ONCE = 1000
 # Fixed value: the split of byte-level vocabularies, as the tokenizers library has it.
 BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -52,7 +54,7 @@ class LibraryIds:
         special = {t.content: i for i, t in self._tokenizer.get_added_tokens_decoder().items()}
         self._special = special
         self._at_special = regex.compile("|".join(f"({regex.escape(s)})" for s in special) or "(?!)")
-        self._split = compiled(BYTE_LEVEL_SPLIT).findall
+        self._split = Splitter(BYTE_LEVEL_SPLIT)
         self._memory = PieceMemory(self._pieces, self._encode)
 
     def _pieces(self, text: str) -> list[str]:
@@ -64,14 +66,22 @@ class LibraryIds:
         return out
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch(pieces, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        out: list[bytes] = []
+        for begin in range(0, len(pieces), AT_ONCE):
+            part = pieces[begin : begin + AT_ONCE]
+            found = self._tokenizer.encode_batch([part], is_pretokenized=True, add_special_tokens=False)[0]
+            ids = np.array(found.ids, "<u4").tobytes()
+            bounds = (4 * np.searchsorted(found.word_ids, np.arange(len(part) + 1))).tolist()
+            out += [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+        return out
 
     def ids(self, texts: list[str]):
         return map(b"".join, self._memory.values(texts))
 
 
-library_ids = functools.cache(LibraryIds)
+@functools.cache
+def library_ids(path: str) -> LibraryIds:
+    return LibraryIds(path)
 
 
 def cuts(length: int, capacity: int) -> list[tuple[int, int]]:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 
 from obslayers.llm.batches import map_texts
 from obslayers.llm.pairs import NO_PAIR, PairTable
-from obslayers.llm.pieces import PieceMemory, compiled
+from obslayers.llm.pieces import PieceMemory, Splitter
 
 FIELDS = "n_bytes bigint, n_tokens bigint, over_limit boolean"
 
@@ -82,7 +82,7 @@ class WordCounter:
             raise ValueError(f"{path}: a word-level BPE with NFC and lower case is expected")
         self._special = [t["content"] for t in spec["added_tokens"]]
         self._at_special = regex.compile("|".join(map(regex.escape, self._special)) or "(?!)")
-        self._words = compiled(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        words = Splitter(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         vocabulary = dict(model["vocab"])
         letters = byte_characters()
         self._inner = np.array([vocabulary[c] for c in letters], np.int32)
@@ -93,7 +93,7 @@ class WordCounter:
             for column in ([a for a, _ in merges], [b for _, b in merges], [a + b for a, b in merges])
         )
         self._table = PairTable(left, right, np.arange(len(merges), dtype=np.int32), both)
-        self._memory = PieceMemory(self._words.findall, self._encode)
+        self._memory = PieceMemory(words, self._encode)
 
     def _encode(self, words: list[str]) -> list[int]:
         if not words:
@@ -126,7 +126,9 @@ class WordCounter:
             yield mark + sum(values)
 
 
-counter = functools.cache(WordCounter)
+@functools.cache
+def counter(path: str) -> WordCounter:
+    return WordCounter(path)
 
 
 def count_tokens(

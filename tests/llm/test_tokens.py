@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -56,10 +57,9 @@ def test_counts_equal_library(some):
 
 @given(texts)
 @settings(max_examples=150, deadline=None)
-def test_library_ids_by_piece_equal_whole_texts(some):
+def test_vocabulary_ids_equal_library(some):
     expected = [e.ids for e in Tokenizer.from_file(BYTES).encode_batch(some, add_special_tokens=False)]
-    got = [np.frombuffer(x, "<u4").tolist() for x in packing.library_ids(BYTES).ids(some)]
-    assert got == expected
+    assert [packing.vocabulary_ids(BYTES).ids(text).tolist() for text in some] == expected
 
 
 @given(texts)
@@ -71,6 +71,12 @@ def test_ids_equal_library(library, some):
         assert own.decode(ids) == text.encode("utf-8")
 
 
+def test_vocabulary_ids_equal_library_on_documents():
+    texts_ = pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist()
+    expected = [e.ids for e in Tokenizer.from_file(BYTES).encode_batch(texts_, add_special_tokens=False)]
+    assert [packing.vocabulary_ids(BYTES).ids(text).tolist() for text in texts_] == expected
+
+
 def test_count_rows(spark):
     expected = Tokenizer.from_file(WORDS)
     for row in token_counts.count_tokens(rows(spark), WORDS, limit=100).collect():

@@ -7,18 +7,45 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from obslayers.llm import packing
+from obslayers.llm import near_duplicates, packing, quality_classifier
+from obslayers.llm import quality_rules as rules
 from obslayers.storage import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the risk-controlled rules reject go."""
+    return rules.keep_good(docs, _labels(spark, sf_dir))
+
+
+def quality_classes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the discriminant predicts to be bad go."""
+    return quality_classifier.keep_good(docs, _labels(spark, sf_dir))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return near_duplicates.keep_one(docs)
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents left, packed into sequences of 1024 tokens."""
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
 
 
-STAGES: list[tuple[str, Stage]] = [("best_fit_packing", best_fit_packing)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("quality_classifier", quality_classes),
+    ("near_dedup", near_dedup),
+    ("best_fit_packing", best_fit_packing),
+]
 
+# Neither the classifier nor the packing can be said in SQL; tests/llm has brute force.
 ORACLE_SQL = None
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from obslayers.llm import byte_bpe, packing, token_counts
+from obslayers.llm import byte_bpe, near_duplicates, packing, quality_classifier, quality_rules, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ def op2_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048
@@ -33,10 +37,22 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encoding_digests(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"), threshold=0.8)
+    return found.select("doc_id", "class_id", "n_links")
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_pack_documents": op2_pack_documents,
+    "op3_quality_rules": op3_quality_rules,
     "op4_count_tokens": op4_count_tokens,
     "op6_byte_bpe": op6_byte_bpe,
+    "op8_near_duplicates": op8_near_duplicates,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_quality_rules": quality_rules.ORACLE_SQL}

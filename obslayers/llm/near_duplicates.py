@@ -103,7 +103,7 @@ def shingle_weights(docs: DataFrame, text_column: str = "text") -> np.ndarray:
 
     counts = np.zeros((1 << (SKETCH_BITS - PART_BITS), 1 << PART_BITS), np.int64)
     documents = 0
-    for row in spread.mapInArrow(add, "part int, packed binary").toLocalIterator():
+    for row in spread.mapInArrow(add, "part int, packed binary").collect():
         values = np.frombuffer(zlib.decompress(row.packed), np.int64)
         if row.part < 0:
             documents = int(values[0])

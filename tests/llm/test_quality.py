@@ -1,0 +1,140 @@
+"""Quality rules and classifier against brute force."""
+
+import math
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from obslayers.llm import quality_classifier, quality_rules
+
+SF = "/root/testdata/sf0.01"
+TEXTS = [
+    "",
+    " \n\t ",
+    "one",
+    "a b c d e " * 4,
+    "a b c d e f a b c d e f",
+    "x x x x x x x x x x x x",
+    "line one is here\nline one is here\n\n \nother",
+    "#*$%&|<> " * 12,
+    "w" * 3000,
+    "é\x0b漢 字\r\nß " * 9,
+    " ".join(f"w{i}" for i in range(40000)) + " w1 w2 w3 w4 w5 w6",
+]
+
+
+def counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    runs = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    seen: dict = {}
+    for i, run in enumerate(runs):
+        seen.setdefault(run, []).append(i)
+    covered = {i + k for at in seen.values() if len(at) > 1 for i in at for k in range(5)}
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    return len(words), sum(map(len, words)), symbols, len(lines), len(lines) - len(set(lines)), len(covered)
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    given = [(i, t, "x") for i, t in enumerate(TEXTS)] + [(None, "no id " * 20, "x"), (50, None, "x"), (3, TEXTS[3], "x")]
+    return spark.createDataFrame(given, "doc_id bigint, text string, counts string")
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame([(0, 1, 0), (3, 1, 0), (3, 0, 0), (None, 1, None), (4, None, 1)], "doc_id bigint, quality int, toxic int")
+
+
+def test_counts_equal_brute_force(rows, labels):
+    got = quality_rules.verdicts(rows, labels).collect()
+    assert len(got) == len(TEXTS) + 3
+    for r in got:
+        text = "no id " * 20 if r.doc_id is None else "" if r.doc_id == 50 else TEXTS[r.doc_id]
+        mine = counts(text)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_lines, r.n_dup_lines, r.n_repeat_words) == mine, r.doc_id
+        assert r.base_failed == (mine[0] < 10 or 100 * mine[5] > 20 * mine[0])
+        assert r.kept == (not r.base_failed)  # too few labels for any cutoff
+
+
+def test_rules_without_rows_or_labels(rows, labels):
+    assert quality_rules.verdicts(rows.limit(0), labels).count() == 0
+    assert quality_rules.verdicts(rows, labels.limit(0)).count() == len(TEXTS) + 3
+    assert quality_rules.keep_good(rows, labels).columns == rows.columns
+
+
+def test_binomial_equals_exact_sum(spark):
+    cases = [(k, n, p) for n in (1, 40, 900, 20000) for k in (0, 1, 5, 100) for p in (0.0067, 0.05) if k <= n]
+    for p in (0.0067, 0.05):
+        df = spark.createDataFrame([(k, n) for k, n, q in cases if q == p], "k bigint, n bigint")
+        for r in df.select("k", "n", quality_rules.binomial_below(F.col("k"), F.col("n"), p).alias("x")).collect():
+            if r.k > r.n * p:
+                assert r.x == 1.0
+                continue
+            exact = math.fsum(
+                math.exp(math.lgamma(r.n + 1) - math.lgamma(i + 1) - math.lgamma(r.n - i + 1) + i * math.log(p) + (r.n - i) * math.log1p(-p))
+                for i in range(r.k + 1)
+            )
+            assert r.x == pytest.approx(exact, rel=1e-8)
+
+
+def test_cutoffs_keep_their_promise(spark):
+    """3,000 good texts, 5 of them full of symbols, and 1,000 bad ones that all are."""
+    words = " ".join(f"w{i}" for i in range(50))
+    rows = [(i, words + (" #####" * 20 if i < 5 or i >= 3000 else "")) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i < 3000)) for i in range(4000)], "doc_id bigint, quality int")
+    got = {r.doc_id: r.kept for r in quality_rules.verdicts(docs, labels).collect()}
+    assert all(got[i] for i in range(5, 3000)) and not any(got[i] for i in range(3000, 4000))
+    few = labels.where("doc_id < 300 OR doc_id >= 3000")
+    assert all(r.kept for r in quality_rules.verdicts(docs, few).collect())
+
+
+def test_statistics_of_odd_texts():
+    for text in TEXTS:
+        assert np.isfinite(quality_classifier.text_statistics(text)).all()
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    got = quality_classifier.score_documents(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 3 == 1 for r in got)
+    assert np.mean([r.predicted == r.quality for r in got]) > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
+
+
+def test_held_out_labels_teach_nothing(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    flipped = labels.withColumn("quality", F.when(held, 1 - F.col("quality")).otherwise(F.col("quality")))
+    a, b = ({r.doc_id: r.score for r in quality_classifier.score_documents(docs, x).collect()} for x in (labels, flipped))
+    assert a.keys() == b.keys() and max(abs(a[k] - b[k]) for k in a) < 1e-9
+
+
+def test_discriminant_equals_plain_densities():
+    rng = np.random.default_rng(1)
+    d = len(quality_classifier.NAMES)
+    x = {c: rng.normal(c, 1 + c, (500, d)) for c in (0, 1)}
+    model = quality_classifier.fit({c: (len(v), v.sum(0), v.T @ v) for c, v in x.items()})
+    probe = rng.normal(0.5, 1.5, (50, d))
+    z = (probe - model.centre) / model.scale
+    logs = []
+    for c in (0, 1):
+        factor = np.linalg.inv(model.whitening[c])
+        covariance = factor @ factor.T
+        _, log_det = np.linalg.slogdet(covariance)
+        away = z - model.means[c]
+        logs.append(math.log(0.5) - log_det / 2 - np.einsum("ij,ij->i", away @ np.linalg.inv(covariance), away) / 2)
+    ratio = logs[1] - logs[0]
+    assert np.allclose(model.scores(probe), 0.5 + 0.5 * ratio / (d + abs(ratio)))
+
+
+def test_classifier_edge_cases(rows, labels):
+    got = quality_classifier.score_documents(rows, labels).collect()
+    assert len(got) == len(TEXTS) + 3 and {r.score for r in got} == {0.5}  # no bad label to learn from
+    assert {r.held_out for r in got if r.doc_id is None} == {False}
+    assert quality_classifier.score_documents(rows.limit(0), labels).count() == 0
+    assert quality_classifier.keep_good(rows, labels.limit(0)).columns == rows.columns

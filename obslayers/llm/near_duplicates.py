@@ -7,8 +7,9 @@
    texts draw the same one with the probability of their weighted Jaccard similarity.
 3. *Bands.* Three samples are a band. Two bands that lie near each other are a bucket key.
 4. *Candidates.* Of equal texts one stands for all. In a bucket every text is paired with
-   one leader, never with all others; what turns out not to belong to the leader's class
-   meets a leader of its own in the next round, until no bucket has two such texts left.
+   one leader, never with all others: the text that meets most others in all its buckets,
+   which the source of a group of copies does. Texts outside the leader's class bring
+   forth further leaders, round by round, until a round finds no link.
 5. *Verification.* A pair is a link if its exact weighted Jaccard similarity, from the
    whole texts, reaches the threshold. Classes are the connected components of links.
 
@@ -19,12 +20,12 @@ partial aggregates and by joins that Spark may split.
 from __future__ import annotations
 
 import functools
-import hashlib
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +43,8 @@ SKETCH_BITS, PART_BITS = 22, 14
 RARITY = 0.15
 # Samples, samples in a band, and how far apart the two bands of a bucket key may lie.
 BANDS, BAND_ROWS, BAND_REACH = 16, 3, 3
+# Leaders of a bucket in a later round besides its most central text.
+RANDOM_LEADERS = 3
 # Shingles whose samples are drawn at a time.
 SAMPLED_AT_ONCE = 1 << 16
 
@@ -205,11 +208,13 @@ def signed(docs: DataFrame, weights, id_column: str, text_column: str) -> DataFr
 
         return work
 
-    return map_texts(docs, [id_column], text_column, "node string, keys array<bigint>", make)
+    return map_texts(docs, [id_column], text_column, "node bigint, keys array<bigint>", make)
 
 
-def _digest(text: str) -> str:
-    return hashlib.md5(text.encode("utf-8")).hexdigest()
+def _digest(text: str) -> int:
+    """The same as Spark's xxhash64. Of ten billion texts some three pairs share one by chance."""
+    n = xxhash.xxh64_intdigest(text.encode("utf-8"), 42)
+    return n - (1 << 64) if n >= 1 << 63 else n
 
 
 # -- verification ------------------------------------------------------------------
@@ -244,7 +249,7 @@ def links(pairs: DataFrame, texts: DataFrame, weights, threshold: float) -> Data
                 keep += (similarities(own[begin:end], other[begin:end], weights.value) >= threshold).tolist()
             yield batch.select(["leader", "node"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(run, "leader string, node string")
+    return both.mapInArrow(run, "leader bigint, node bigint")
 
 
 # -- classes -----------------------------------------------------------------------
@@ -254,8 +259,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (leader, node): one root per component.
 
     Every node moves to the least node beside it or itself, and edges move with their
-    ends, until none is left between different nodes. The names are digests, in no order
-    along any path, so a path shrinks by a constant share in each step.
+    ends, until none is left between different nodes. Nodes are digests, in no order along
+    any path, so a path shrinks by a constant share in each step.
     """
     both = edges.select(F.col("leader").alias("a"), F.col("node").alias("b"))
     found = None
@@ -279,55 +284,79 @@ def components(edges: DataFrame) -> DataFrame:
             return found
 
 
-def _first_leaders(buckets: DataFrame) -> DataFrame:
-    """The least node of each bucket with two nodes or more."""
-    sizes = buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
-    return sizes.where("leader <> last").select("bucket", "leader")
+def _node(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def _pairs(buckets: DataFrame, leaders: DataFrame) -> DataFrame:
-    met = buckets.join(leaders, "bucket").where("node <> leader")
+def _central(buckets: DataFrame) -> DataFrame:
+    """``buckets`` with the ``score`` of each node: how many others it meets in all its buckets.
+
+    The text from which others were copied meets all of them, and so scores highest.
+    """
+    scores = buckets.groupBy("node").agg(F.sum(F.col("size") - 1).alias("score"))
+    # The last digits only order equal scores.
+    ranked = F.col("score") * (1 << 20) + F.pmod("node", F.lit(1 << 20))
+    return buckets.join(scores, "node").select("bucket", "node", ranked.alias("score"))
+
+
+def _pairs(members: DataFrame, leaders: DataFrame) -> DataFrame:
+    """Every member of a bucket with each of its leaders that is of another class."""
+    met = members.join(leaders, "bucket").where("root <> leader_root")
     return met.select("leader", "node").distinct()
 
 
 def verified_links(rows: DataFrame, docs: DataFrame, weights, text_column: str, threshold: float) -> tuple[DataFrame, DataFrame]:
     """All links (leader, node), and (node, root) of the nodes that have one.
 
-    ``rows`` is the table of ``signed``. A bucket's nodes that are not in its leader's
-    class after a round choose a leader among themselves for the next one.
+    ``rows`` is the table of ``signed``. In a bucket with several classes left, every
+    round takes the most central node of those outside the largest scorer's class, and
+    some at random, for leaders of all members. Rounds end when one finds no link.
     """
     one = rows.where("node IS NOT NULL").groupBy("node").agg(F.first("keys").alias("keys"))
     exploded = one.select("node", F.explode("keys").alias("bucket"))
-    exploded = materialize(exploded, "buckets")
-    leaders = materialize(_first_leaders(exploded), "leaders")
-    buckets = materialize(exploded.join(leaders, "bucket"), "shared")
+    sizes = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    buckets = materialize(_central(exploded.join(sizes, "bucket")), "buckets")
     wanted = buckets.select("node").distinct()
-    text = docs.select(F.md5(F.coalesce(docs[text_column], F.lit("")).cast("binary")).alias("node"), docs[text_column].alias("text"))
-    once = text.groupBy("node").agg(F.first("text").alias("text"))
+    once = docs.select(_node(docs[text_column]).alias("node"), docs[text_column].alias("text"))
+    once = once.groupBy("node").agg(F.first("text").alias("text"))
     texts = materialize(once.join(wanted, "node", "left_semi"), "texts")
-    tested = materialize(buckets.where("node <> leader").select("leader", "node").distinct(), "pairs")
-    all_links = materialize(links(tested, texts, weights, threshold), "links")
-    all_tested = tested
+    best = F.max_by("node", "score")
+    leaders = buckets.groupBy("bucket").agg(best.alias("leader")).withColumn("leader_root", F.col("leader"))
+    tested = materialize(_pairs(buckets.withColumn("root", F.col("node")), leaders), "pairs")
+    found = materialize(links(tested, texts, weights, threshold), "links")
+    first = leaders.select("bucket", F.col("leader").alias("central"))
+    members = materialize(buckets.join(first, "bucket"), "members")
     while True:
-        roots = components(all_links)
+        roots = components(found)
         own = roots.select("node", "root")
-        of_leader = roots.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
-        placed = buckets.where("node <> leader").join(own, "node", "left").join(of_leader, "leader", "left")
-        apart = placed.where(F.coalesce("root", "node") != F.coalesce("leader_root", "leader"))
-        left = materialize(apart.select("bucket", "node", F.coalesce("root", "node").alias("root")), "apart")
-        # Only where two classes are left in a bucket is there anything to find.
-        several = left.groupBy("bucket").agg(
-            F.min("root").alias("r1"), F.max("root").alias("r2"), F.min("node").alias("leader")
+        centre = roots.select(F.col("node").alias("central"), F.col("root").alias("central_root"))
+        placed = members.join(own, "node", "left").join(centre, "central", "left")
+        placed = placed.withColumns(
+            {"root": F.coalesce("root", "node"), "central_root": F.coalesce("central_root", "central")}
+        )
+        placed = materialize(placed, "placed")
+        apart = placed.where("root <> central_root")
+        chosen = F.array_distinct(
+            F.array(best, *[F.min_by("node", F.xxhash64("node", F.lit(salt))) for salt in range(RANDOM_LEADERS)])
+        )
+        leaders = apart.groupBy("bucket").agg(chosen.alias("leaders"))
+        leaders = leaders.select("bucket", F.explode("leaders").alias("leader"))
+        own = own.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
+        leaders = leaders.join(own, "leader", "left").withColumn("leader_root", F.coalesce("leader_root", "leader"))
+        ordered = _pairs(placed, leaders).select(
+            F.least("leader", "node").alias("leader"), F.greatest("leader", "node").alias("node")
+        )
+        before = tested.select(F.least("leader", "node").alias("leader"), F.greatest("leader", "node").alias("node"))
+        new = materialize(ordered.distinct().join(before, ["leader", "node"], "left_anti"), "pairs")
+        more = materialize(links(new, texts, weights, threshold), "links")
+        if more.isEmpty():
+            return found, roots
+        tested, found = tested.unionAll(new), found.unionAll(more)
+        # A leader that found nothing is not asked again; the others' classes have grown.
+        asked = leaders.select("bucket", F.col("leader").alias("node")).distinct()
+        members = materialize(
+            placed.select("bucket", "node", "score", "central").join(asked, ["bucket", "node"], "left_anti"), "members"
         )
-        chosen = several.where("r1 <> r2").select("bucket", "leader")
-        buckets = materialize(left.select("bucket", "node").join(chosen, "bucket"), "shared")
-        new = buckets.where("node <> leader").select("leader", "node").distinct()
-        new = materialize(new.join(all_tested, ["leader", "node"], "left_anti"), "pairs")
-        if buckets.isEmpty():
-            return all_links, roots
-        if not new.isEmpty():
-            more = materialize(links(new, texts, weights, threshold), "links")
-            all_links, all_tested = all_links.union(more), all_tested.union(new)
 
 
 def near_duplicates(
@@ -361,7 +390,7 @@ def near_duplicates(
 
 
 def _row_key(digest: Column, id_: Column) -> Column:
-    return F.concat_ws(":", digest, id_.cast("string"))
+    return F.concat_ws(":", digest.cast("string"), id_.cast("string"))
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -377,7 +406,7 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     key, copy = free_name(docs, "key"), free_name(docs, "copy")
     text = F.coalesce(docs[text_column], F.lit(""))
     # The id is in the key, so the copies of one text are spread.
-    own = docs.withColumn(key, F.when(text.rlike(r"[^ \t\n\x0B\f\r]"), _row_key(F.md5(text.cast("binary")), docs[id_column])))
+    own = docs.withColumn(key, F.when(text.rlike(r"[^ \t\n\x0B\f\r]"), _row_key(_node(docs[text_column]), docs[id_column])))
     heads = heads.select(_row_key(F.col("head"), F.col("head_id")).alias(key))
     order = Window.partitionBy(key).orderBy(F.lit(1))
     kept = own.join(heads, key)

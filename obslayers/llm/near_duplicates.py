@@ -9,7 +9,7 @@
 4. *Candidates.* Of equal texts one stands for all. In a bucket every text is paired with
    one leader, never with all others: the text that meets most others in all its buckets,
    which the source of a group of copies does. Texts outside the leader's class bring
-   forth further leaders, round by round, until a round finds no link.
+   forth further leaders, round by round, while these find links.
 5. *Verification.* A pair is a link if its exact weighted Jaccard similarity, from the
    whole texts, reaches the threshold. Classes are the connected components of links.
 
@@ -42,9 +42,11 @@ SKETCH_BITS, PART_BITS = 22, 14
 # shares, and the group would fall apart.
 RARITY = 0.15
 # Samples, samples in a band, and how far apart the two bands of a bucket key may lie.
-BANDS, BAND_ROWS, BAND_REACH = 16, 3, 3
+BANDS, BAND_ROWS, BAND_REACH = 16, 3, 2
 # Leaders of a bucket in a later round besides its most central text.
 RANDOM_LEADERS = 3
+# Rounds end when they join fewer classes than this share of the pairs they test.
+LEAST_YIELD = 0.001
 # Shingles whose samples are drawn at a time.
 SAMPLED_AT_ONCE = 1 << 16
 
@@ -310,7 +312,7 @@ def verified_links(rows: DataFrame, docs: DataFrame, weights, text_column: str,
 
     ``rows`` is the table of ``signed``. In a bucket with several classes left, every
     round takes the most central node of those outside the largest scorer's class, and
-    some at random, for leaders of all members. Rounds end when one finds no link.
+    some at random, for leaders of all members. Rounds end when hardly a class is joined to another.
     """
     one = rows.where("node IS NOT NULL").groupBy("node").agg(F.first("keys").alias("keys"))
     exploded = one.select("node", F.explode("keys").alias("bucket"))
@@ -326,15 +328,22 @@ def verified_links(rows: DataFrame, docs: DataFrame, weights, text_column: str,
     found = materialize(links(tested, texts, weights, threshold), "links")
     first = leaders.select("bucket", F.col("leader").alias("central"))
     members = materialize(buckets.join(first, "bucket"), "members")
+    joined, n_tested = 0, 0
     while True:
         roots = components(found)
+        before = joined
+        joined = roots.count() - roots.select("root").distinct().count()
+        if n_tested and joined - before < LEAST_YIELD * n_tested:
+            return found, roots
         own = roots.select("node", "root")
         centre = roots.select(F.col("node").alias("central"), F.col("root").alias("central_root"))
         placed = members.join(own, "node", "left").join(centre, "central", "left")
         placed = placed.withColumns(
             {"root": F.coalesce("root", "node"), "central_root": F.coalesce("central_root", "central")}
         )
-        placed = materialize(placed, "placed")
+        # A bucket that has become one class is done.
+        mixed = placed.where("root <> central_root").select("bucket").distinct()
+        placed = materialize(placed.join(mixed, "bucket", "left_semi"), "placed")
         apart = placed.where("root <> central_root")
         chosen = F.array_distinct(
             F.array(best, *[F.min_by("node", F.xxhash64("node", F.lit(salt))) for salt in range(RANDOM_LEADERS)])
@@ -346,9 +355,10 @@ def verified_links(rows: DataFrame, docs: DataFrame, weights, text_column: str,
         ordered = _pairs(placed, leaders).select(
             F.least("leader", "node").alias("leader"), F.greatest("leader", "node").alias("node")
         )
-        before = tested.select(F.least("leader", "node").alias("leader"), F.greatest("leader", "node").alias("node"))
-        new = materialize(ordered.distinct().join(before, ["leader", "node"], "left_anti"), "pairs")
+        old = tested.select(F.least("leader", "node").alias("leader"), F.greatest("leader", "node").alias("node"))
+        new = materialize(ordered.distinct().join(old, ["leader", "node"], "left_anti"), "pairs")
         more = materialize(links(new, texts, weights, threshold), "links")
+        n_tested = new.count()
         if more.isEmpty():
             return found, roots
         tested, found = tested.unionAll(new), found.unionAll(more)

@@ -1,7 +1,7 @@
 """Queries over the driver's tables, and the SQL each must agree with.
 
-``events`` stands in for a topic of station messages (``obslayers.standin``): every
-query encodes it to JSON messages and goes through the operators from there.
+``events`` stands in for a topic of station messages (``standin``), good and bad ones:
+every query encodes it to JSON messages and goes through the operators from there.
 Doubles are rounded to nine decimals on both sides, since an average depends on the
 order of its additions, and timestamps are compared without a zone. Fewer decimals
 would meet exact ties: event values have two, and their mean over 64 has up to eight.
@@ -28,43 +28,48 @@ from obslayers.operators.aggregates import (
     windowed_averages,
 )
 from obslayers.operators.clean import (
+    HOURLY_FIELDS,
+    SUMMARY_FIELDS,
+    WINDOW_FIELDS,
     archive_observations,
     averaged_observations,
     clean_messages,
     daily_observations,
     speed_observations,
 )
-from obslayers.operators.inspect import first_by, first_days
+from obslayers.operators.inspect import first_days
 from obslayers.operators.report import report_lines
 from obslayers.plans.daily import add_new_parts, daily_table, daily_view
 from obslayers.plans.hourly import run_hourly
 from obslayers.plans.raw import ingest_all, ingest_new, raw_messages
 from obslayers.plans.speed import run_speed, speed_table
+from obslayers.plans.replay import write_replay
 from obslayers.schemas import EVENT_TIME, OBSERVATION, STATION, only
 from obslayers.sources.tables import append_table, read_table
 from obslayers.sources.topic import Topic, publish, read_topic, topic_records
-from obslayers.standin import (
+from obslayers.streaming.keyed import KeyedTable, serve
+from obslayers.streaming.parts import DailyParts
+from obslayers.streaming.runs import UNTIL_CAUGHT_UP, drop_checkpoint, start, wait, wait_all
+from obslayers.streaming.sinks import Snapshots, to_keyed, to_parquet, to_snapshots
+from standin import (
     STAND_IN_TOPIC,
     events,
     observation_fields,
     observation_messages,
     observation_records,
+    observation_text,
+    raw_values,
     stream_events,
 )
-from obslayers.streaming.keyed import KeyedTable, serve
-from obslayers.streaming.runs import UNTIL_CAUGHT_UP, drop_checkpoint, start, wait, wait_all
-from obslayers.streaming.sinks import Snapshots, to_keyed, to_parquet, to_snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
-# Longer than the span of the events, so that no row counts as late however the
-# files of a topic are ordered.
-WHOLE_SPAN = "3660 days"
 DECIMALS = 9
-# Micro-batches of the multi-epoch queries, and the least number of files they come in.
-EPOCHS = 4
-MIN_FILES = 8
+# Where the multi-epoch queries cut the events, by time: nothing comes late.
+CUTS = ("2024-01-09", "2024-01-16", "2024-01-24")
+# Files of an epoch in these small runs.
+FILES = 4
 
 
 def _comparable(df: DataFrame) -> DataFrame:
@@ -88,45 +93,68 @@ def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return message_text(observation_records(stream_events(spark, sf_dir)))
 
 
-def _in_pieces(messages: DataFrame) -> tuple[DataFrame, int]:
-    """Messages in enough files for ``EPOCHS`` epochs, and the files per trigger that make them."""
-    files = messages.rdd.getNumPartitions()
-    if files < MIN_FILES:
-        files, messages = MIN_FILES, messages.repartition(MIN_FILES)
-    return messages, -(-files // EPOCHS)
+def _in_pieces(df: DataFrame, cuts: tuple[str, ...] = CUTS) -> list[DataFrame]:
+    """The rows by their ``ts``: before the first cut, between two, and from the last."""
+    bounds = list(zip((None, *cuts), (*cuts, None)))
+    pieces = []
+    for since, until in bounds:
+        piece = df
+        if since:
+            piece = piece.where(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
+        if until:
+            piece = piece.where(F.col("ts") < F.lit(until).cast("timestamp_ntz"))
+        pieces.append(piece)
+    return pieces
 
 
-def _published(spark: SparkSession, messages: DataFrame) -> tuple[Topic, int]:
-    """Messages in a new topic folder, and the files per trigger."""
-    topic = Topic(folder=storage.new_folder(spark, "topic"))
-    pieces, per_trigger = _in_pieces(messages)
-    publish(pieces, topic)
-    return topic, per_trigger
+def _new_topic(spark: SparkSession) -> Topic:
+    return Topic(folder=storage.new_folder(spark, "topic"))
 
 
 # -- raw layer ---------------------------------------------------------------------
 
 
 def raw_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = events(spark, sf_dir).select("props", F.col("event_id").alias("offset"))
-    return raw_messages(topic_records(messages, STAND_IN_TOPIC, "props"))
+    return raw_messages(topic_records(raw_values(events(spark, sf_dir)), STAND_IN_TOPIC))
 
 
 def raw_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    topic = Topic(folder=storage.new_folder(spark, "topic"))
-    publish(events(spark, sf_dir).select(F.col("props").alias("json")), topic)
-    table = storage.new_folder(spark, "raw")
+    topic, table = _new_topic(spark), storage.new_folder(spark, "raw")
+    publish(raw_values(events(spark, sf_dir)), topic)
     ingest_all(spark, topic, table)
     return read_table(spark, table)
 
 
+def _ingested(spark: SparkSession, topic: Topic, pieces: list[DataFrame], table: str, checkpoint: str) -> None:
+    """Each piece is published, taken in by a run that ends, and the next run resumes."""
+    for piece in pieces:
+        publish(raw_values(piece), topic)
+        wait(ingest_new(spark, topic, table, checkpoint))
+
+
 def raw_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    topic, per_trigger = _published(spark, events(spark, sf_dir).select(F.col("props").alias("json")))
-    table, checkpoint = storage.new_folder(spark, "raw"), storage.new_folder(spark, "checkpoint")
-    wait(ingest_new(spark, topic, table, checkpoint, per_trigger=per_trigger))
+    table = storage.new_folder(spark, "raw")
+    _ingested(spark, _new_topic(spark), _in_pieces(events(spark, sf_dir)), table, storage.new_folder(spark, "checkpoint"))
     return read_table(spark, table).select("json")
 
 
+def raw_after_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reset stream is refused the old table; into a new one it takes the whole topic again."""
+    topic, old, new = _new_topic(spark), storage.new_folder(spark, "raw"), storage.new_folder(spark, "raw")
+    checkpoint, pieces = storage.new_folder(spark, "checkpoint"), _in_pieces(events(spark, sf_dir))
+    _ingested(spark, topic, pieces[:2], old, checkpoint)
+    drop_checkpoint(spark, checkpoint)
+    try:
+        wait(ingest_new(spark, topic, old, checkpoint))
+        refused = False
+    except ValueError:
+        refused = True
+    _ingested(spark, topic, pieces[2:], new, checkpoint)
+    found = [("old", old), ("new", new)] if refused else []
+    parts = [read_table(spark, path).select(F.lit(name).alias("part"), "json") for name, path in found]
+    return parts[0].unionByName(parts[1])
+
+
 # -- messages ----------------------------------------------------------------------
 
 
@@ -191,17 +219,18 @@ def daily_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw table is taken in piece by piece, each read once."""
+    """The raw table grows piece by piece, and each run reads the new piece only."""
     raw, parts = storage.new_folder(spark, "raw"), storage.new_folder(spark, "parts")
     checkpoint, target = storage.new_folder(spark, "checkpoint"), daily_table(storage.new_folder(spark, "daily"))
-    pieces, per_trigger = _in_pieces(_messages(spark, sf_dir))
-    append_table(pieces, raw)
-    wait(add_new_parts(spark, raw, parts, checkpoint, target, per_trigger))
+    for piece in _in_pieces(observation_text(events(spark, sf_dir))):
+        append_table(piece.select("json"), raw)
+        wait(add_new_parts(spark, raw, parts, checkpoint, target))
+        DailyParts(parts).fold(spark)
     return _comparable(target.latest(spark))
 
 
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _comparable(hourly_rollup(archive_observations(_messages(spark, sf_dir))))
+    return _comparable(hourly_rollup(archive_observations(_messages(spark, sf_dir), fields=HOURLY_FIELDS)))
 
 
 def hourly_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,7 +241,7 @@ def hourly_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _comparable(station_summary(archive_observations(_messages(spark, sf_dir))))
+    return _comparable(station_summary(archive_observations(_messages(spark, sf_dir), fields=SUMMARY_FIELDS)))
 
 
 def clean_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,7 +264,7 @@ def _stream_windows(spark: SparkSession, sf_dir: str, mode: str, width: str, wat
     windows = windowed_averages(rows, width, watermark, unbounded_state=watermark is None)
     table = speed_table(storage.new_folder(spark, "windows"))
     checkpoint = storage.new_folder(spark, "checkpoint")
-    writer = to_keyed(windows, table, table.open_generation(spark, checkpoint))
+    writer = to_keyed(windows, table, table.open_generation(spark, checkpoint), FILES)
     wait(start(spark, writer, mode, UNTIL_CAUGHT_UP, checkpoint))
     return _comparable(table.latest(spark))
 
@@ -253,7 +282,7 @@ def window_10m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def running_station(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = archive_observations(_message_stream(spark, sf_dir))
+    rows = archive_observations(_message_stream(spark, sf_dir), fields=SUMMARY_FIELDS)
     snapshots = Snapshots(storage.new_folder(spark, "running"))
     writer = to_snapshots(running_summary(rows, unbounded_state=True), snapshots)
     wait(start(spark, writer, "complete", UNTIL_CAUGHT_UP, storage.new_folder(spark, "checkpoint")))
@@ -268,42 +297,43 @@ def stream_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dual_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = archive_observations(_message_stream(spark, sf_dir))
+    messages = _message_stream(spark, sf_dir)
+    rows, averaged = archive_observations(messages), archive_observations(messages, fields=WINDOW_FIELDS)
     table, clean = speed_table(storage.new_folder(spark, "windows")), storage.new_folder(spark, "clean")
     checkpoints = [storage.new_folder(spark, "checkpoint") for _ in range(2)]
-    windows = windowed_averages(rows, TRIAL_WINDOW, unbounded_state=True)
-    keyed = to_keyed(windows, table, table.open_generation(spark, checkpoints[0]))
+    windows = windowed_averages(averaged, TRIAL_WINDOW, unbounded_state=True)
+    keyed = to_keyed(windows, table, table.open_generation(spark, checkpoints[0]), FILES)
     wait_all(
         [
             start(spark, keyed, "update", UNTIL_CAUGHT_UP, checkpoints[0]),
             start(spark, to_parquet(rows, clean), every=UNTIL_CAUGHT_UP, checkpoint=checkpoints[1]),
         ]
     )
-    counts = [("windows", table.latest(spark)), ("observations", read_table(spark, clean))]
-    parts = [row_count(df).select(F.lit(name).alias("part"), "n") for name, df in counts]
-    return parts[0].unionByName(parts[1])
+    shown = [
+        ("window", table.latest(spark), "window_start", "avg_temp"),
+        ("observation", read_table(spark, clean), EVENT_TIME, "temperature_c"),
+    ]
+    parts = [
+        df.select(F.lit(part).alias("part"), STATION, F.col(time).alias("at"), F.col(value).alias("celsius"))
+        for part, df, time, value in shown
+    ]
+    return _comparable(parts[0].unionByName(parts[1]))
 
 
 # -- keyed tables and serving ------------------------------------------------------
 
 
-def _live_table(spark: SparkSession, sf_dir: str, resets: int = 0) -> KeyedTable:
-    topic, per_trigger = _published(spark, _messages(spark, sf_dir))
-    table, checkpoint = speed_table(storage.new_folder(spark, "speed")), storage.new_folder(spark, "checkpoint")
-    for again in range(resets + 1):
-        if again:
-            drop_checkpoint(spark, checkpoint)
-        query = run_speed(
-            spark,
-            topic,
-            table,
-            checkpoint,
-            starting="earliest",
-            every=UNTIL_CAUGHT_UP,
-            watermark=WHOLE_SPAN,
-            per_trigger=per_trigger,
-        )
-        wait(query)
+def _run_live(spark: SparkSession, topic: Topic, table: KeyedTable, checkpoint: str, pieces: list[DataFrame]) -> None:
+    """Each piece of messages is published and averaged by a run of its own, which resumes the last one."""
+    for piece in pieces:
+        publish(piece.select("json", "offset", "partition"), topic)
+        wait(run_speed(spark, topic, table, checkpoint, starting="earliest", every=UNTIL_CAUGHT_UP, files=FILES))
+
+
+def _live_table(spark: SparkSession, sf_dir: str) -> KeyedTable:
+    table = speed_table(storage.new_folder(spark, "speed"))
+    pieces = _in_pieces(observation_text(events(spark, sf_dir)))
+    _run_live(spark, _new_topic(spark), table, storage.new_folder(spark, "checkpoint"), pieces)
     return table
 
 
@@ -312,8 +342,14 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_after_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stream runs again from an empty checkpoint into the same table."""
-    return _comparable(_live_table(spark, sf_dir, resets=1).latest(spark))
+    """After a reset some stations' messages come again with other values, and win."""
+    table, checkpoint = speed_table(storage.new_folder(spark, "speed")), storage.new_folder(spark, "checkpoint")
+    rows = events(spark, sf_dir)
+    _run_live(spark, _new_topic(spark), table, checkpoint, [observation_text(rows)])
+    drop_checkpoint(spark, checkpoint)
+    again = rows.where(F.col("user_id") % 3 == 0).withColumn("value", F.col("value") + 10)
+    _run_live(spark, _new_topic(spark), table, checkpoint, [observation_text(again)])
+    return _comparable(table.latest(spark))
 
 
 def upsert_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,11 +359,34 @@ def upsert_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(table.latest(spark))
 
 
+def late_rows_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The third quarter comes after the fourth, when all its windows have closed."""
+    table = speed_table(storage.new_folder(spark, "speed"))
+    first, second, third, fourth = _in_pieces(observation_text(events(spark, sf_dir)))
+    pieces = [first, second, fourth, third]
+    _run_live(spark, _new_topic(spark), table, storage.new_folder(spark, "checkpoint"), pieces)
+    return _comparable(table.latest(spark))
+
+
+def interval_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live view on its interval, stopped once it has taken what is there."""
+    topic, table = _new_topic(spark), speed_table(storage.new_folder(spark, "speed"))
+    publish(observation_text(events(spark, sf_dir)).drop("ts"), topic)
+    checkpoint = storage.new_folder(spark, "checkpoint")
+    query = run_speed(spark, topic, table, checkpoint, starting="earliest", every="1 second", files=FILES)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return _comparable(table.latest(spark))
+
+
 def upsert_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two batch runs into one keyed table: the second, by ``t`` alone, replaces the first."""
+    """Two batch runs into one keyed table: the second, by ``t`` alone, replaces every other station's days."""
     table = daily_table(storage.new_folder(spark, "daily"))
-    messages = _messages(spark, sf_dir)
-    table.upsert(daily_view(messages), table.open_generation(spark))
+    rows = events(spark, sf_dir)
+    table.upsert(daily_view(observation_messages(rows)), table.open_generation(spark))
+    messages = observation_messages(rows.where(F.col("user_id") % 2 == 0))
     by_t = windowed_averages(averaged_observations(messages), "1 day")
     by_day = by_t.select(STATION, F.to_date("window_start").alias("date"), "avg_temp", "avg_wind", "avg_humidity")
     table.upsert(by_day, table.open_generation(spark))
@@ -351,14 +410,19 @@ def topic_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_lines(read_topic(spark, topic)).select("offset", "line")
 
 
-def replay_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_by(topic_report(spark, sf_dir), ["offset"], 20)
+def replay_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages of a topic, good and bad, as lines in a table."""
+    topic, table = _new_topic(spark), storage.new_folder(spark, "lines")
+    publish(observation_text(events(spark, sf_dir)).drop("ts"), topic)
+    write_replay(spark, topic, table)
+    return read_table(spark, table).select("offset", "line")
 
 
 QUERIES: dict[str, Query] = {
     "raw_ingest": raw_ingest,
     "raw_roundtrip": raw_roundtrip,
     "raw_incremental": raw_incremental,
+    "raw_after_reset": raw_after_reset,
     "json_encode": json_encode,
     "json_path": json_path,
     "json_extract": json_extract,
@@ -387,10 +451,12 @@ QUERIES: dict[str, Query] = {
     "upsert_latest": upsert_latest,
     "upsert_after_reset": upsert_after_reset,
     "upsert_compacted": upsert_compacted,
+    "late_rows_dropped": late_rows_dropped,
+    "interval_trigger": interval_trigger,
     "upsert_batch": upsert_batch,
     "serving_preview": serving_preview,
     "topic_report": topic_report,
-    "replay_preview": replay_preview,
+    "replay_lines": replay_lines,
 }
 
 
@@ -428,11 +494,30 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     station = "CAST(user_id AS VARCHAR) AS geo_id_insee"
-    second = "date_trunc('second', ts)"
+    seconds = "date_trunc('second', ts)"
+
+    def messages(value: str = "value", where: str = "true") -> str:
+        """What can be read from the messages; a column is null where a message lacks it.
+
+        ``t`` is the temperature as a number field, ``t_text`` as text, ``ts`` the time by the
+        pattern, ``ts_iso`` by the ISO default.
+        """
+        return f"""(
+            SELECT event_id, usable, {value} AS value,
+                CASE WHEN usable AND event_id % 17 <> 3 THEN user_id END AS user_id,
+                CASE WHEN usable AND event_id % 19 <> 5 AND (event_id % 43 = 23 OR event_id % 47 <> 29)
+                    THEN {seconds} END AS ts,
+                CASE WHEN usable AND event_id % 19 <> 5 THEN {seconds} END AS ts_iso,
+                CASE WHEN usable AND event_id % 23 <> 7 AND event_id % 29 <> 11 THEN {value} END AS t,
+                CASE WHEN usable AND event_id % 29 <> 11 THEN {value} END AS t_text
+            FROM (SELECT *, event_id % 37 <> 17 AND event_id % 31 <> 13 AND event_id % 41 <> 19 AS usable
+                FROM events WHERE {where}) AS e) AS m"""
+
+    m = messages()
     # The temperature the daily view takes: t_10 on even events, ten degrees higher.
-    best = "CASE WHEN event_id % 2 = 0 THEN value + 10 ELSE value END"
+    best = "CASE WHEN event_id % 2 = 0 THEN value + 10 ELSE t_text END"
 
-    raw = "SELECT props AS json FROM events WHERE props IS NOT NULL"
+    raw = "SELECT props AS json FROM events WHERE props IS NOT NULL AND event_id % 37 <> 17"
     number = "SELECT CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events"
 
     averages = """
@@ -442,43 +527,60 @@ def oracle_sql() -> dict[str, str]:
 
     daily = f"""
         SELECT {station}, CAST(ts AS DATE) AS date, {averages.format(temp=best)}
-        FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL GROUP BY 1, 2"""
+        FROM {m} WHERE ts IS NOT NULL AND user_id IS NOT NULL GROUP BY 1, 2"""
 
-    def windows(minutes: int) -> str:
+    def windows(minutes: int, source: str = m, time: str = "ts", wind: str = "value * 3.6") -> str:
         return f"""
         SELECT {station},
-            time_bucket(INTERVAL '{minutes} minutes', {second}, TIMESTAMP '1970-01-01') AS window_start,
-            {averages.format(temp="value")}
-        FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL GROUP BY 1, 2"""
+            time_bucket(INTERVAL '{minutes} minutes', {time}, TIMESTAMP '1970-01-01') AS window_start,
+            {averages.format(temp="t").replace("value * 3.6", wind)}
+        FROM {source} WHERE {time} IS NOT NULL AND user_id IS NOT NULL GROUP BY 1, 2"""
 
     closed = f"""
         SELECT * FROM ({windows(6)}) AS w
         WHERE window_start + INTERVAL '6 minutes'
-            <= (SELECT max({second}) FROM events) - INTERVAL '7 minutes'"""
+            <= (SELECT max(ts) FROM {m} WHERE user_id IS NOT NULL) - INTERVAL '7 minutes'"""
 
     archived = f"""
         SELECT {station}, CAST(user_id % 20 + 40 AS DOUBLE) AS lat, CAST(user_id % 10 AS DOUBLE) AS lon,
-            {second} AS reference_time, round(value, 9) AS temperature_c,
+            ts_iso AS reference_time, round(t, 9) AS temperature_c,
             CAST(event_id % 101 AS DOUBLE) AS humidity, round(value, 9) AS wind_speed,
             CAST(event_id % 360 AS DOUBLE) AS wind_direction, round((event_id % 7) / 10.0, 9) AS rain,
             CAST(event_id % 500 + 101000 AS DOUBLE) AS pressure
-        FROM events WHERE user_id IS NOT NULL"""
+        FROM {m} WHERE user_id IS NOT NULL"""
 
     hourly_sql = f"""
-        SELECT {station}, date_trunc('hour', ts) AS hour_bucket,
-            round(avg(value), 9) AS avg_temperature_c,
-            round(min(value), 9) AS min_temperature_c,
-            round(max(value), 9) AS max_temperature_c,
+        SELECT {station}, date_trunc('hour', ts_iso) AS hour_bucket,
+            round(avg(t), 9) AS avg_temperature_c,
+            round(min(t), 9) AS min_temperature_c,
+            round(max(t), 9) AS max_temperature_c,
             round(avg(event_id % 101), 9) AS avg_humidity,
             round(avg(value), 9) AS avg_wind_speed,
             round(sum((event_id % 7) / 10.0), 9) AS total_rain,
             round(avg(event_id % 500 + 101000), 9) AS avg_pressure,
             count(*) AS nb_observations
-        FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL GROUP BY 1, 2"""
+        FROM {m} WHERE ts_iso IS NOT NULL AND user_id IS NOT NULL GROUP BY 1, 2"""
+
+    # A line shows what the message has, the time as it is written there.
+    local = "strftime(ts + INTERVAL '1 hour', '%Y-%m-%dT%H:%M:%S')"
+    replayed = f"""
+        SELECT event_id AS "offset",
+            CASE WHEN NOT usable OR event_id % 19 = 5 THEN 'None'
+                WHEN event_id % 43 = 23 THEN {local} || '+0100'
+                WHEN event_id % 47 = 29 THEN {local} || '+01:00'
+                ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END
+            || ' geo=' || CASE WHEN usable AND event_id % 17 <> 3 THEN CAST(user_id AS VARCHAR) ELSE 'None' END
+            || ' T=' || CASE WHEN usable AND event_id % 23 <> 7 AND event_id % 29 <> 11
+                THEN printf('%.2f', value) || '°C' ELSE 'N/A' END
+            || ' U=' || CASE WHEN usable THEN CAST(event_id % 101 AS VARCHAR) ELSE 'None' END
+            || ' FF=' || CASE WHEN usable THEN CAST(value AS VARCHAR) ELSE 'None' END
+            || ' RR=' || CASE WHEN usable THEN CAST((event_id % 7) / 10.0 AS VARCHAR) ELSE 'None' END AS line
+        FROM (SELECT event_id, user_id, value, {seconds} AS ts, event_id % 31 <> 13 AND event_id % 41 <> 19 AS usable
+            FROM events WHERE event_id % 37 <> 17) AS e"""
 
     report = f"""
         SELECT event_id AS "offset",
-            strftime({second}, '%Y-%m-%dT%H:%M:%SZ') || ' geo=' || CAST(user_id AS VARCHAR)
+            strftime({seconds}, '%Y-%m-%dT%H:%M:%SZ') || ' geo=' || CAST(user_id AS VARCHAR)
             || ' T=' || CASE WHEN event_id % 10 <> 0 THEN printf('%.2f', value) || '°C' ELSE 'N/A' END
             || ' U=' || CAST(event_id % 101 AS VARCHAR)
             || ' FF=' || CAST(value AS VARCHAR)
@@ -489,6 +591,9 @@ def oracle_sql() -> dict[str, str]:
         "raw_ingest": raw,
         "raw_roundtrip": raw,
         "raw_incremental": raw,
+        "raw_after_reset": f"""
+            SELECT 'new' AS part, json FROM ({raw}) AS r
+            UNION ALL SELECT 'old' AS part, json FROM ({raw} AND ts < TIMESTAMP '{CUTS[1]}') AS r""",
         "json_encode": """
             SELECT CAST(to_json(struct_pack(event_id := event_id, user_id := user_id,
                 event_type := event_type, value := value)) AS VARCHAR) AS json
@@ -496,24 +601,24 @@ def oracle_sql() -> dict[str, str]:
         "json_path": number,
         "json_extract": number,
         "json_struct": f"""
-            SELECT {station}, round(value + 273.15, 9) AS t, CAST(event_id % 101 AS DOUBLE) AS u,
-                CAST(event_id % 500 + 101000 AS DOUBLE) AS pres
-            FROM events""",
+            SELECT {station}, round(t + 273.15, 9) AS t, CASE WHEN usable THEN CAST(event_id % 101 AS DOUBLE) END AS u,
+                CASE WHEN usable THEN CAST(event_id % 500 + 101000 AS DOUBLE) END AS pres
+            FROM {m}""",
         "json_column_resolver": raw,
         "clean_observations": f"""
-            SELECT {station}, {second} AS reference_time, round(value, 9) AS temperature_c,
+            SELECT {station}, ts AS reference_time, round(t, 9) AS temperature_c,
                 CAST(event_id % 101 AS DOUBLE) AS humidity, round(value * 3.6, 9) AS wind_speed,
                 CAST(event_id % 360 AS DOUBLE) AS wind_direction, round((event_id % 7) / 10.0, 9) AS rain,
                 CAST(event_id % 500 + 101000 AS DOUBLE) AS pressure
-            FROM events WHERE user_id IS NOT NULL""",
+            FROM {m} WHERE user_id IS NOT NULL""",
         "archived_observations": archived,
         "best_temperature": f"""
-            SELECT {station}, {second} AS reference_time, round({best}, 9) AS temperature_c
-            FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL""",
+            SELECT {station}, ts AS reference_time, round({best}, 9) AS temperature_c
+            FROM {m} WHERE ts IS NOT NULL AND user_id IS NOT NULL""",
         # Tokyo is nine hours ahead all year.
         "local_time": f"""
-            SELECT {station}, {second} + INTERVAL '9 hours' AS reference_time, round(value, 9) AS temperature_c
-            FROM events WHERE user_id IS NOT NULL""",
+            SELECT {station}, ts + INTERVAL '9 hours' AS reference_time, round(t, 9) AS temperature_c
+            FROM {m} WHERE user_id IS NOT NULL""",
         "daily_station": daily,
         "daily_station_by_path": daily,
         "daily_appended": daily,
@@ -521,33 +626,38 @@ def oracle_sql() -> dict[str, str]:
         "hourly_rollup": hourly_sql,
         "hourly_table": hourly_sql,
         "station_summary": f"""
-            SELECT {station}, count(*) AS nb_observations, round(avg(value), 9) AS avg_temperature_c,
+            SELECT {station}, count(*) AS nb_observations, round(avg(t), 9) AS avg_temperature_c,
                 round(avg(event_id % 101), 9) AS avg_humidity
-            FROM events WHERE user_id IS NOT NULL GROUP BY 1""",
-        "row_count": "SELECT count(*) AS n FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL",
+            FROM {m} WHERE user_id IS NOT NULL GROUP BY 1""",
+        "row_count": f"SELECT count(*) AS n FROM {m} WHERE ts IS NOT NULL AND user_id IS NOT NULL",
         "ordered_preview": f"SELECT * FROM ({daily}) AS d ORDER BY date, geo_id_insee LIMIT 50",
         "window_6m_static": windows(6),
         "window_6m_update": windows(6),
         "window_6m_append": closed,
         "window_10m_stream": windows(10),
         "running_station": f"""
-            SELECT {station}, round(avg(value), 9) AS avg_temperature_c,
+            SELECT {station}, round(avg(t), 9) AS avg_temperature_c,
                 round(avg(event_id % 101), 9) AS avg_humidity, round(avg(value), 9) AS avg_wind_speed,
                 count(*) AS nb_messages
-            FROM events WHERE user_id IS NOT NULL GROUP BY 1""",
+            FROM {m} WHERE user_id IS NOT NULL GROUP BY 1""",
         "stream_to_parquet": archived,
         "dual_stream": f"""
-            SELECT 'windows' AS part, count(*) AS n FROM ({windows(10)}) AS w
+            SELECT 'window' AS part, geo_id_insee, window_start AS at, avg_temp AS celsius
+            FROM ({windows(10, time="ts_iso", wind="value")}) AS w
             UNION ALL
-            SELECT 'observations' AS part, count(*) AS n FROM events WHERE user_id IS NOT NULL""",
+            SELECT 'observation' AS part, {station}, ts_iso AS at, round(t, 9) AS celsius FROM {m} WHERE user_id IS NOT NULL""",
         "upsert_latest": windows(6),
-        "upsert_after_reset": windows(6),
+        "upsert_after_reset": f"""
+            {windows(6, messages(where="user_id % 3 <> 0"))}
+            UNION ALL {windows(6, messages("value + 10", "user_id % 3 = 0"))}""",
         "upsert_compacted": windows(6),
+        "late_rows_dropped": windows(6, messages(where=f"ts < TIMESTAMP '{CUTS[1]}' OR ts >= TIMESTAMP '{CUTS[2]}'")),
+        "interval_trigger": windows(6),
         "upsert_batch": f"""
-            SELECT {station}, CAST(ts AS DATE) AS date, {averages.format(temp="value")}
-            FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL GROUP BY 1, 2""",
+            SELECT {station}, CAST(ts AS DATE) AS date, {averages.format(temp="CASE WHEN user_id % 2 = 0 THEN t ELSE " + best + " END")}
+            FROM {m} WHERE ts IS NOT NULL AND user_id IS NOT NULL GROUP BY 1, 2""",
         "serving_preview": f"SELECT * FROM ({daily}) AS d ORDER BY date, geo_id_insee LIMIT 10",
         "topic_report": report,
-        "replay_preview": f'SELECT * FROM ({report}) AS r ORDER BY "offset" LIMIT 20',
+        "replay_lines": replayed,
         **_extra()[1],
     }

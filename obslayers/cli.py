@@ -15,10 +15,11 @@ from obslayers.plans import live
 from obslayers.plans.daily import add_new_parts, daily_table, run_daily
 from obslayers.plans.hourly import run_hourly, run_hourly_days, run_summary
 from obslayers.plans.raw import ingest_all, ingest_new
-from obslayers.plans.replay import print_replay
-from obslayers.plans.speed import SPEED_INTERVAL, run_speed, speed_table
+from obslayers.plans.replay import print_replay, write_replay
+from obslayers.plans.speed import COMPACT_EVERY, SPEED_INTERVAL, run_speed, speed_table
 from obslayers.schemas import DAILY_KEYS, SPEED_KEYS
 from obslayers.session import build_session
+from obslayers.sources.tables import replace_table
 from obslayers.sources.topic import Topic
 from obslayers.streaming.keyed import CassandraTable, serve
 from obslayers.streaming.parts import DailyParts
@@ -38,6 +39,12 @@ def _add_stream(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--since", help="first record time to take from a folder")
     parser.add_argument("--every", help="interval between micro-batches, such as '1 minute'")
     parser.add_argument("--once", action="store_true", help="stop when caught up")
+    _add_reading(parser)
+
+
+def _add_reading(parser: argparse.ArgumentParser) -> None:
+    parser.add_argument("--per-trigger", type=int, help="most messages (Kafka) or files of a micro-batch")
+    parser.add_argument("--min-partitions", type=int, help="least number of read tasks, for Kafka")
 
 
 def _add_target(parser: argparse.ArgumentParser, table: str) -> None:
@@ -52,7 +59,8 @@ def _topic(args: argparse.Namespace) -> Topic:
 
 def _stream(args: argparse.Namespace, interval: str | None = None) -> dict:
     every = UNTIL_CAUGHT_UP if args.once else args.every or interval
-    return {"starting": args.starting, "since": args.since, "every": every}
+    reading = {"per_trigger": args.per_trigger, "min_partitions": args.min_partitions}
+    return {"starting": args.starting, "since": args.since, "every": every, **reading}
 
 
 def _target(args: argparse.Namespace, keyed, keys: tuple[str, ...]):
@@ -73,17 +81,17 @@ def parser() -> argparse.ArgumentParser:
     _add_topic(raw)
     raw.add_argument("--table", required=True)
     raw.add_argument("--checkpoint", help="take only what is new since the last run")
-    raw.add_argument("--min-partitions", type=int, help="least number of read tasks, for Kafka")
+    _add_reading(raw)
 
     speed = jobs.add_parser("speed", help="topic to live view")
     _add_stream(speed)
     _add_target(speed, "speed")
     speed.add_argument("--checkpoint", required=True)
     speed.add_argument("--mode", default="update", choices=["update", "append"])
-    speed.add_argument("--per-trigger", type=int)
-    speed.add_argument("--min-partitions", type=int, help="least number of read tasks, for Kafka")
     speed.add_argument("--partitions", type=int, help="state partitions")
-    speed.add_argument("--compact-every", type=int, help="micro-batches between compactions of --view")
+    speed.add_argument(
+        "--compact-every", type=int, default=COMPACT_EVERY, help="micro-batches between compactions of --view"
+    )
 
     daily = jobs.add_parser("daily", help="raw table to daily view")
     daily.add_argument("--raw", required=True)
@@ -113,10 +121,13 @@ def parser() -> argparse.ArgumentParser:
     archive.add_argument("--checkpoint", required=True)
     archive.add_argument("--by-day", action="store_true")
     archive.add_argument("--windows", action="store_true", help="also print ten-minute averages")
+    archive.add_argument("--watermark", help="with --windows: how late rows may come; without, state grows for ever")
 
-    replay = jobs.add_parser("replay", help="print a topic from its beginning")
+    replay = jobs.add_parser("replay", help="a topic from its beginning as readable lines")
     _add_topic(replay)
-    replay.add_argument("--rows", type=int, default=20)
+    replay.add_argument("--table", help="write all lines to this parquet table")
+    replay.add_argument("--rows", type=int, help="print so many lines")
+    replay.add_argument("--min-partitions", type=int, help="least number of read tasks, for Kafka")
 
     compact = jobs.add_parser("compact", help="fold the log of a keyed table")
     serving = jobs.add_parser("query", help="run SQL over keyed tables, as views speed and batch_view")
@@ -125,13 +136,15 @@ def parser() -> argparse.ArgumentParser:
     serving.add_argument("sql")
     serving.add_argument("--speed", help="folder of the live view")
     serving.add_argument("--daily", help="folder of the daily view")
+    serving.add_argument("--output", help="parquet table for the result, instead of printing it")
     return root
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "raw":
         if args.checkpoint:
-            wait(ingest_new(spark, _topic(args), args.table, args.checkpoint, min_partitions=args.min_partitions))
+            reading = {"per_trigger": args.per_trigger, "min_partitions": args.min_partitions}
+            wait(ingest_new(spark, _topic(args), args.table, args.checkpoint, **reading))
         else:
             ingest_all(spark, _topic(args), args.table, args.min_partitions)
     elif args.job == "speed":
@@ -144,10 +157,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             target,
             args.checkpoint,
             mode=args.mode,
-            per_trigger=args.per_trigger,
-            min_partitions=args.min_partitions,
             partitions=args.partitions,
-            compact_every=args.compact_every if args.view else None,
+            compact_every=args.compact_every,
             **_stream(args, SPEED_INTERVAL),
         )
         wait(query)
@@ -176,13 +187,20 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "archive":
         if args.windows:
             wait_all(
-                live.print_windows_and_archive(spark, _topic(args), args.table, args.checkpoint, **_stream(args))
+                live.print_windows_and_archive(
+                    spark, _topic(args), args.table, args.checkpoint, watermark=args.watermark, **_stream(args)
+                )
             )
         else:
             options = {**_stream(args), "by_day": args.by_day}
             wait(live.archive(spark, _topic(args), args.table, args.checkpoint, **options))
     elif args.job == "replay":
-        print_replay(spark, _topic(args), args.rows)
+        if not args.table and not args.rows:
+            raise SystemExit("replay needs --table or --rows")
+        if args.table:
+            write_replay(spark, _topic(args), args.table, args.min_partitions)
+        if args.rows:
+            print_replay(spark, _topic(args), args.rows, args.min_partitions)
     elif args.job == "compact":
         if args.kind == "parts":
             folded = DailyParts(args.view).fold(spark)
@@ -196,7 +214,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         if args.daily:
             tables["batch_view"] = daily_table(args.daily)
         serve(spark, tables)
-        spark.sql(args.sql).show(truncate=False)
+        result = spark.sql(args.sql)
+        if args.output:
+            replace_table(result, args.output)
+        else:
+            print("\t".join(result.columns))
+            # Every row that the SQL asks for, partition by partition.
+            for row in result.toLocalIterator():
+                print("\t".join(map(str, row)))
 
 
 def main(argv: Sequence[str] | None = None) -> None:

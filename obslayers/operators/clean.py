@@ -39,6 +39,12 @@ MEASURES = {
 }
 
 
+# Message fields behind the aggregates over the clean table.
+SUMMARY_FIELDS = [STATION, "t", "u", "ff"]
+WINDOW_FIELDS = [STATION, EVENT_TIME, "t", "u", "ff"]
+HOURLY_FIELDS = [*WINDOW_FIELDS, "rr_per", "pres"]
+
+
 def with_station(df: DataFrame) -> DataFrame:
     """Rows that name their station; unusable messages decode to nulls and go here too."""
     return df.filter(F.col(STATION).isNotNull())
@@ -61,11 +67,14 @@ def clean_messages(
 ) -> DataFrame:
     """Clean observations from messages, with the fields that ``schema`` declares.
 
+    A schema without the time gives rows without one, and no time is parsed.
     ``pattern=None`` reads times by the ISO default instead of the offset pattern.
     ``zone`` shifts times to that zone's wall clock.
     """
-    time = parse_time(F.col(EVENT_TIME), pattern, strict)
-    decoded = computed_once(decode(df, schema, column), EVENT_TIME, time)
+    decoded = decode(df, schema, column)
+    timed = EVENT_TIME in decoded.columns
+    if timed:
+        decoded = computed_once(decoded, EVENT_TIME, parse_time(F.col(EVENT_TIME), pattern, strict))
     wind = kmh if wind_in_kmh else (lambda value: value)
     convert = {"t": celsius, "ff": wind}
     measures = [
@@ -73,9 +82,9 @@ def clean_messages(
         for name, clean in MEASURES.items()
         if name in decoded.columns
     ]
-    where = [F.col("lat"), F.col("lon")] if position else []
-    shown = in_zone(F.col(EVENT_TIME), zone).alias(EVENT_TIME)
-    cleaned = decoded.select(F.col(STATION), *where, shown, *measures)
+    where = [F.col(name) for name in ("lat", "lon") if position and name in decoded.columns]
+    shown = [in_zone(F.col(EVENT_TIME), zone).alias(EVENT_TIME)] if timed else []
+    cleaned = decoded.select(F.col(STATION), *where, *shown, *measures)
     return with_station(cleaned) if station_required else cleaned
 
 
@@ -105,8 +114,14 @@ def archive_observations(
     schema: StructType = OBSERVATION,
     station_required: bool = True,
     strict: bool = False,
+    fields: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Observations as the clean table keeps them: with position, wind in m/s, ISO times."""
+    """Observations as the clean table keeps them: with position, wind in m/s, ISO times.
+
+    ``fields`` limits decoding to the message fields a query needs.
+    """
+    if fields is not None:
+        schema = only(schema, fields)
     return clean_messages(
         df,
         column,

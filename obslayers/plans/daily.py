@@ -9,9 +9,10 @@ from obslayers import storage
 from obslayers.functions.messages import json_column
 from obslayers.operators.aggregates import daily_averages, daily_from_parts
 from obslayers.operators.clean import daily_observations
-from obslayers.operators.inspect import first_days, show_preview
-from obslayers.schemas import DAILY_KEYS
+from obslayers.operators.inspect import first_days, schema_text, show_preview
+from obslayers.schemas import DAILY_KEYS, EVENT_TIME
 from obslayers.sources.tables import append_table, read_table
+from obslayers.sources.topic import MAX_FILE_AGE
 from obslayers.streaming.keyed import KeyedTable
 from obslayers.streaming.parts import DailyParts
 from obslayers.streaming.runs import UNTIL_CAUGHT_UP, start
@@ -25,6 +26,15 @@ def daily_view(raw: DataFrame, by_path: bool = False, strict: bool = False) -> D
     return daily_averages(daily_observations(raw, by_path=by_path, strict=strict))
 
 
+def show_raw(raw: DataFrame, by_path: bool = False, strict: bool = False) -> None:
+    """Schema and five rows of the raw table, the number of clean rows and twenty of their times."""
+    print(schema_text(raw))
+    show_preview(raw, 5)
+    clean = daily_observations(raw, by_path=by_path, strict=strict)
+    print(f"clean rows: {clean.count()}")
+    show_preview(clean.select(EVENT_TIME), 20)
+
+
 def run_daily(
     spark: SparkSession,
     raw: str,
@@ -37,11 +47,17 @@ def run_daily(
     """Compute the daily view of the whole raw table and store it.
 
     Appends to the parquet ``table`` (a second run appends again) and upserts into
-    the keyed ``target``. The raw table is scanned and parsed once: the small result
-    is written to the shared folder and everything after reads that.
+    the keyed ``target``. If the result is wanted more than once it is written to the
+    shared folder first, so that the raw table is scanned and parsed once. ``show``
+    prints what the raw table looks like and the view's first days.
     """
-    daily = storage.materialize(daily_view(read_table(spark, raw), by_path, strict), "daily")
+    rows = read_table(spark, raw)
+    daily = daily_view(rows, by_path, strict)
+    uses = (2 if show else 0) + (table is not None) + (target is not None)
+    if uses > 1:
+        daily = storage.materialize(daily, "daily")
     if show:
+        show_raw(rows, by_path, strict)
         print(f"rows: {daily.count()}")
         show_preview(first_days(daily), 50)
     if table is not None:
@@ -70,7 +86,7 @@ def add_new_parts(
     ``run_daily`` over the whole raw table, for the cost of the new part of it.
     ``per_trigger`` bounds the raw files of one micro-batch.
     """
-    reader = spark.readStream.schema(f"{json_column(read_table(spark, raw))} string")
+    reader = spark.readStream.schema(f"{json_column(read_table(spark, raw))} string").option("maxFileAge", MAX_FILE_AGE)
     if per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
     observations = daily_observations(reader.parquet(raw), by_path=by_path, strict=strict)

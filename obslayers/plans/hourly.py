@@ -24,12 +24,12 @@ def clean_days(spark: SparkSession, clean: str, since: str, until: str) -> DataF
 def run_hourly_days(spark: SparkSession, clean: str, table: str, since: str, until: str) -> None:
     """Rebuild the days ``since`` to ``until`` (inclusive) of an hourly table filed by day.
 
-    Only those days of a clean table archived by day are read, and only those
-    partitions of ``table`` that have rows are replaced. An hour lies within one day,
-    so the rows are those of a whole rebuild.
+    Only those days of a clean table archived by day are read, and only their
+    partitions of ``table`` are replaced, or dropped where the clean table has no such
+    day any more. An hour lies within one day, so the rows are those of a whole rebuild.
     """
     hourly = hourly_rollup(clean_days(spark, clean, since, until))
-    replace_days(hourly.withColumn("day", F.to_date("hour_bucket")), table, "day")
+    replace_days(hourly.withColumn("day", F.to_date("hour_bucket")), table, "day", since, until)
 
 
 def run_summary(spark: SparkSession, clean: str, show: bool = False) -> DataFrame:

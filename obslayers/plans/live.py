@@ -9,11 +9,11 @@ from pyspark.sql.types import StructType
 
 from obslayers.functions.messages import message_text
 from obslayers.operators.aggregates import TRIAL_WINDOW, running_summary, windowed_averages
-from obslayers.operators.clean import archive_observations
-from obslayers.schemas import EVENT_TIME, OBSERVATION
+from obslayers.operators.clean import SUMMARY_FIELDS, WINDOW_FIELDS, archive_observations
+from obslayers.schemas import EVENT_TIME, OBSERVATION, only
 from obslayers.sources.topic import Topic, stream_topic
 from obslayers.streaming.runs import start
-from obslayers.streaming.sinks import to_console, to_parquet
+from obslayers.streaming.sinks import claim, to_console, to_parquet
 
 
 def _observations(
@@ -23,16 +23,24 @@ def _observations(
     since: str | None,
     schema: StructType,
     station_required: bool = True,
+    per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
-    text = message_text(stream_topic(spark, topic, starting, since))
+    text = message_text(stream_topic(spark, topic, starting, since, per_trigger, min_partitions))
     return archive_observations(text, schema=schema, station_required=station_required)
 
 
 def print_messages(
-    spark: SparkSession, topic: Topic, starting: str = "latest", since: str | None = None, every: str | None = None
+    spark: SparkSession,
+    topic: Topic,
+    starting: str = "latest",
+    since: str | None = None,
+    every: str | None = None,
+    per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> StreamingQuery:
     """Print each message as it is."""
-    text = message_text(stream_topic(spark, topic, starting, since), "value")
+    text = message_text(stream_topic(spark, topic, starting, since, per_trigger, min_partitions), "value")
     return start(spark, to_console(text), every=every)
 
 
@@ -43,9 +51,11 @@ def print_observations(
     since: str | None = None,
     every: str | None = None,
     schema: StructType = OBSERVATION,
+    per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> StreamingQuery:
     """Print each message decoded; unusable ones show as a row of nulls."""
-    rows = _observations(spark, topic, starting, since, schema, station_required=False)
+    rows = _observations(spark, topic, starting, since, schema, False, per_trigger, min_partitions)
     return start(spark, to_console(rows), every=every)
 
 
@@ -56,9 +66,11 @@ def print_running_summary(
     since: str | None = None,
     every: str | None = None,
     schema: StructType = OBSERVATION,
+    per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> StreamingQuery:
     """Print the averages of every station since the start, whole at each trigger."""
-    rows = _observations(spark, topic, starting, since, schema)
+    rows = _observations(spark, topic, starting, since, only(schema, SUMMARY_FIELDS), True, per_trigger, min_partitions)
     return start(spark, to_console(running_summary(rows, unbounded_state=True)), "complete", every)
 
 
@@ -72,15 +84,18 @@ def archive(
     every: str | None = None,
     by_day: bool = False,
     schema: StructType = OBSERVATION,
+    per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append clean rows to a parquet table.
 
     ``by_day`` adds a ``reference_date`` partition column for readers that prune.
     """
-    rows = _observations(spark, topic, starting, since, schema)
+    rows = _observations(spark, topic, starting, since, schema, True, per_trigger, min_partitions)
     if by_day:
         rows = rows.withColumn("reference_date", F.to_date(EVENT_TIME))
     writer = to_parquet(rows, table, ["reference_date"] if by_day else [])
+    claim(spark, table, checkpoint)
     return start(spark, writer, every=every, checkpoint=checkpoint)
 
 
@@ -95,13 +110,18 @@ def print_windows_and_archive(
     width: str = TRIAL_WINDOW,
     watermark: str | None = None,
     schema: StructType = OBSERVATION,
+    per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Two streams from the same topic: changed windows to the console, clean rows to a table.
 
     Each reads the topic itself. Without a watermark the windows' state never expires.
     """
-    rows = _observations(spark, topic, starting, since, schema)
-    windows = windowed_averages(rows, width, watermark, unbounded_state=watermark is None)
+    rows = _observations(spark, topic, starting, since, schema, True, per_trigger, min_partitions)
+    narrow = only(schema, WINDOW_FIELDS)
+    averaged = _observations(spark, topic, starting, since, narrow, True, per_trigger, min_partitions)
+    windows = windowed_averages(averaged, width, watermark, unbounded_state=watermark is None)
+    claim(spark, table, checkpoint)
     printed = start(spark, to_console(windows), "update", every)
     archived = start(spark, to_parquet(rows, table), every=every, checkpoint=checkpoint)
     return printed, archived

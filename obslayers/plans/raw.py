@@ -10,7 +10,7 @@ from obslayers.functions.messages import message_text, present
 from obslayers.sources.tables import append_table
 from obslayers.sources.topic import Topic, read_topic, stream_topic
 from obslayers.streaming.runs import UNTIL_CAUGHT_UP, start
-from obslayers.streaming.sinks import to_parquet
+from obslayers.streaming.sinks import claim, to_parquet
 
 
 def raw_messages(records: DataFrame) -> DataFrame:
@@ -45,4 +45,5 @@ def ingest_new(
         writer = to_parquet(rows, table, ["ingest_date"])
     else:
         writer = to_parquet(raw_messages(records), table)
+    claim(spark, table, checkpoint)
     return start(spark, writer, every=every, checkpoint=checkpoint)

@@ -12,9 +12,11 @@ from obslayers.schemas import SPEED_KEYS
 from obslayers.sources.topic import Topic, stream_topic
 from obslayers.streaming.keyed import KeyedTable
 from obslayers.streaming.runs import start
-from obslayers.streaming.sinks import to_keyed
+from obslayers.streaming.sinks import EPOCH_FILES, to_keyed
 
 SPEED_INTERVAL = "1 minute"
+# Micro-batches between compactions of the log, which each reader would else list whole.
+COMPACT_EVERY = 60
 
 
 def speed_table(path: str) -> KeyedTable:
@@ -35,8 +37,8 @@ def run_speed(
     per_trigger: int | None = None,
     min_partitions: int | None = None,
     partitions: int | None = None,
-    files: int | None = None,
-    compact_every: int | None = None,
+    files: int = EPOCH_FILES,
+    compact_every: int | None = COMPACT_EVERY,
     strict: bool = False,
 ) -> StreamingQuery:
     """Start the live view.
@@ -50,5 +52,6 @@ def run_speed(
     records = stream_topic(spark, topic, starting, since, per_trigger, min_partitions)
     averages = windowed_averages(averaged_observations(message_text(records), strict=strict), width, watermark)
     generation = target.open_generation(spark, checkpoint)
-    writer = to_keyed(averages, target, generation, files, compact_every)
+    compacted = compact_every if hasattr(target, "compact") else None
+    writer = to_keyed(averages, target, generation, files, compacted)
     return start(spark, writer, mode, every, checkpoint, partitions)

@@ -16,6 +16,9 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 # tables partitioned by day be written without sorting the rows by day first.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
+    # Strict jobs rely on failing casts and times.
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.legacy.timeParserPolicy": "CORRECTED",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -32,8 +32,15 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 
-def replace_days(df: DataFrame, path: str, day: str) -> None:
-    """Replace the partitions of ``day`` that ``df`` has rows for, and leave the others."""
+def replace_days(df: DataFrame, path: str, day: str, since: str, until: str) -> None:
+    """Make ``df`` the days ``since`` to ``until`` (inclusive) of the table, and leave the others.
+
+    Days of the range for which ``df`` has no row lose the rows they had.
+    """
+    spark = df.sparkSession
+    df = storage.materialize(df, "days")
+    # At most one value per day of the range.
+    filled = {f"{day}={row[0]}" for row in df.select(day).distinct().collect()}
     (
         df.hint("rebalance", day)
         .write.mode("overwrite")
@@ -41,3 +48,6 @@ def replace_days(df: DataFrame, path: str, day: str) -> None:
         .partitionBy(day)
         .parquet(path)
     )
+    for name in storage.children(spark, path):
+        if name.startswith(f"{day}=") and f"{day}={since}" <= name <= f"{day}={until}" and name not in filled:
+            storage.delete(spark, f"{path}/{name}")

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from obslayers.schemas import TOPIC_RECORD
 
+# A file source passes over files that are older than this, counted from the newest one it has
+# seen. Its own default, a week, would lose copied and restored files without a word.
+MAX_FILE_AGE = "36500d"
 # Kafka's number for "timestamp set by the producer".
 CREATE_TIME = 0
-# monotonically_increasing_id keeps the row's place in its partition in the low 33 bits.
-ROW_IN_PARTITION = (1 << 33) - 1
 
 
 @dataclass(frozen=True)
@@ -70,7 +71,7 @@ def stream_topic(
     bounds a micro-batch: messages for Kafka, files for a folder.
     """
     if topic.folder is not None:
-        reader = spark.readStream.schema(TOPIC_RECORD).options(**topic.options)
+        reader = spark.readStream.schema(TOPIC_RECORD).option("maxFileAge", MAX_FILE_AGE).options(**topic.options)
         if per_trigger is not None:
             reader = reader.option("maxFilesPerTrigger", per_trigger)
         records = reader.parquet(topic.folder)
@@ -95,22 +96,17 @@ def stream_topic(
 def topic_records(df: DataFrame, topic: Topic, value: str = "json") -> DataFrame:
     """Messages in column ``value`` laid out as topic records.
 
-    ``partition``, ``offset`` and ``timestamp`` are taken from ``df`` when it has
-    them, else from the task, the place in it, and now.
+    ``partition``, ``offset`` and ``timestamp`` are taken from ``df`` when it has them. The
+    first two are else null, since positions made up here would repeat in the next call;
+    the timestamp is else now.
     """
     has = set(df.columns)
     return df.select(
         F.lit(None).cast("binary").alias("key"),
         F.col(value).cast("binary").alias("value"),
         F.lit(topic.name).alias("topic"),
-        (F.col("partition") if "partition" in has else F.spark_partition_id()).cast("int").alias("partition"),
-        (
-            F.col("offset")
-            if "offset" in has
-            else F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_IN_PARTITION))
-        )
-        .cast("long")
-        .alias("offset"),
+        (F.col("partition") if "partition" in has else F.lit(None)).cast("int").alias("partition"),
+        (F.col("offset") if "offset" in has else F.lit(None)).cast("long").alias("offset"),
         (F.col("timestamp") if "timestamp" in has else F.current_timestamp()).cast("timestamp").alias("timestamp"),
         F.lit(CREATE_TIME).alias("timestampType"),
     )

@@ -95,18 +95,21 @@ class KeyedTable:
         return [name for name in storage.children(spark, f"{self.path}/base/run={run}") if name.startswith("day=")]
 
     def _epochs(self, spark: SparkSession, runs: Sequence[int]) -> list[str]:
-        """Log folders not folded yet, oldest first."""
+        """Finished log folders that are not folded yet, oldest first.
+
+        Spark moves a job's files one by one and then marks the folder; one without the
+        mark is still being written, or is left from an attempt that a retry repeats.
+        """
         folded = {epoch for run in runs for epoch in self._folded_by(spark, run)}
         found = []
         for generation in storage.children(spark, f"{self.path}/log"):
             for epoch in storage.children(spark, f"{self.path}/log/{generation}"):
-                if f"{generation}/{epoch}" not in folded:
+                if f"{generation}/{epoch}" in folded:
+                    continue
+                if storage.exists(spark, f"{self.path}/log/{generation}/{epoch}/_SUCCESS"):
                     found.append((int(generation.split("=")[1]), int(epoch.split("=")[1])))
         return [f"generation={generation}/epoch={epoch}" for generation, epoch in sorted(found)]
 
-    def _has_rows(self, spark: SparkSession, epoch: str) -> bool:
-        return any(name.startswith("part-") for name in storage.children(spark, f"{self.path}/log/{epoch}"))
-
     def _log_rows(self, spark: SparkSession, epochs: Sequence[str]) -> DataFrame:
         root = f"{self.path}/log"
         rows = spark.read.option("basePath", root).parquet(*[f"{root}/{epoch}" for epoch in epochs])
@@ -149,9 +152,6 @@ class KeyedTable:
         """
         runs = self._finished_runs(spark)
         epochs, base = self._epochs(spark, runs), self._base_rows(spark, runs)
-        if epochs and not self._has_rows(spark, epochs[-1]):
-            # The newest micro-batch is still being written.
-            epochs = epochs[:-1]
         if not epochs and base is None:
             raise ValueError(f"nothing written to {self.path} yet")
         if base is not None:
@@ -170,7 +170,7 @@ class KeyedTable:
         newest = self._newest(log).drop(POSITION)
         if base is None:
             return newest
-        replaced = log.select(*self.keys).distinct()
+        replaced = newest.select(*self.keys)
         return newest.unionByName(base.join(replaced, list(self.keys), "left_anti"))
 
     # -- compaction --------------------------------------------------------------

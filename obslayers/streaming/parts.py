@@ -12,13 +12,23 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructField, StructType
 
 from obslayers import storage
-from obslayers.operators.aggregates import daily_parts
-from obslayers.schemas import DAILY_KEYS
+from obslayers.operators.aggregates import DAILY_MEASURES, daily_parts
+from obslayers.schemas import DAILY_KEYS, STATION
 from obslayers.streaming.generations import open_generation
 
 DONE_FILE = "_done"
+PARTS = StructType(
+    [StructField(STATION, StringType())]
+    + [
+        field
+        for name in DAILY_MEASURES
+        for field in (StructField(f"{name}_sum", DoubleType()), StructField(f"{name}_count", LongType()))
+    ]
+    + [StructField("date", DateType())]
+)
 
 
 def _numbers(names: list[str], kind: str) -> list[int]:
@@ -59,18 +69,27 @@ class DailyParts:
         names = storage.children(spark, home)
         done = [n for n in _numbers(names, "folded=") if storage.exists(spark, f"{home}/folded={n}/{DONE_FILE}")]
         folded = done[-1] if done else None
-        epochs = [n for n in _numbers(names, "epoch=") if folded is None or n > folded]
+        epochs = [
+            n
+            for n in _numbers(names, "epoch=")
+            if (folded is None or n > folded) and storage.exists(spark, f"{home}/epoch={n}/_SUCCESS")
+        ]
         return folded, epochs, names
 
     def _read(self, spark: SparkSession, generation: int, folded: int | None, epochs: list[int]) -> DataFrame:
         home, frames = self._home(generation), []
         if folded is not None:
-            frames.append(spark.read.option("basePath", home).parquet(f"{home}/folded={folded}").drop("folded"))
+            frames.append(self._files(spark, home, [f"{home}/folded={folded}"]))
         if epochs:
-            paths = [f"{home}/epoch={epoch}" for epoch in epochs]
-            frames.append(spark.read.option("basePath", home).parquet(*paths).drop("epoch"))
-        rows = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
-        return rows.withColumn("date", F.col("date").cast("date"))
+            frames.append(self._files(spark, home, [f"{home}/epoch={epoch}" for epoch in epochs]))
+        if not frames:
+            return spark.createDataFrame([], PARTS)
+        return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+
+    @staticmethod
+    def _files(spark: SparkSession, home: str, paths: list[str]) -> DataFrame:
+        """Parts below ``paths``; an epoch without a usable message has no file at all."""
+        return spark.read.schema(PARTS).option("basePath", home).parquet(*paths).select(*PARTS.fieldNames())
 
     def read(self, spark: SparkSession, generation: int, days: Collection[str] | None = None) -> DataFrame:
         """All parts of a generation, or those of ``days``, which prunes the folders read."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from obslayers import storage
 from obslayers.session import settings
@@ -14,8 +14,12 @@ UNTIL_CAUGHT_UP = "available now"
 
 
 def state_partitions(spark: SparkSession) -> int:
-    """One state partition per core the application has."""
-    return max(1, spark.sparkContext.defaultParallelism)
+    """State partitions of a stream that is not told otherwise: the session's shuffle partitions.
+
+    A stream keeps the number of its first start for good, so it is a setting and not
+    the number of cores that happen to be there.
+    """
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def start(
@@ -70,14 +74,41 @@ def wait_all(queries: Iterable[StreamingQuery]) -> None:
 
 
 def drop_checkpoint(spark: SparkSession, checkpoint: str) -> None:
-    """Forget a stuck stream's progress and state; its next start begins a new generation."""
+    """Forget a stuck stream's progress and state; its next start begins a new generation.
+
+    A keyed table takes the new generation beside the old one. A parquet table that a stream has written does
+    not: its sink counts batches from the old checkpoint and would pass over the new
+    ones, so a start with a new checkpoint is refused there (``sinks.claim``). Appended
+    rows are not taken back by a reset; the stream goes on into another folder, and a
+    topic read from its start is there again in full.
+    """
     storage.delete(spark, checkpoint)
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped so far because their window had closed."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows of each stream that were dropped because their window had closed.
+
+    A query's own progress reports go back a hundred batches only, so this listens to
+    all of them: ``spark.streams.addListener(late)`` before the stream starts.
+    """
+
+    def __init__(self) -> None:
+        self._dropped: dict[str, int] = {}
+
+    def of(self, query: StreamingQuery) -> int:
+        """Rows dropped so far, over all restarts that were listened to."""
+        return self._dropped.get(str(query.id), 0)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        name = str(event.progress.id)
+        dropped = sum(operator.numRowsDroppedByWatermark for operator in event.progress.stateOperators)
+        self._dropped[name] = self._dropped.get(name, 0) + dropped
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass

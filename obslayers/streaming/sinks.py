@@ -9,9 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from obslayers import storage
+from obslayers.sources.tables import STREAM_SINK_LOG
 
-# State partitions whose changed groups share a file, unless a sink is told otherwise.
-PARTITIONS_PER_FILE = 16
+# Files, and writing tasks, of a micro-batch's upsert unless a sink is told otherwise.
+EPOCH_FILES = 32
+
+
+def claim(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Refuse a stream with a new checkpoint into a table that another checkpoint has written.
+
+    The parquet sink's log would take the new stream's first batches for written.
+    """
+    new = not storage.exists(spark, f"{checkpoint}/metadata")
+    if new and storage.exists(spark, f"{path}/{STREAM_SINK_LOG}"):
+        raise ValueError(f"{path} was written with another checkpoint than {checkpoint}; give another folder")
 
 
 def to_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataStreamWriter:
@@ -29,7 +40,7 @@ def to_keyed(
     df: DataFrame,
     target,
     generation: int = 0,
-    files: int | None = None,
+    files: int = EPOCH_FILES,
     compact_every: int | None = None,
 ) -> DataStreamWriter:
     """Upsert each micro-batch into a keyed ``target``.
@@ -44,9 +55,7 @@ def to_keyed(
     session = df.sparkSession
 
     def upsert(batch: DataFrame, epoch: int) -> None:
-        state_partitions = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        count = files or max(1, state_partitions // PARTITIONS_PER_FILE)
-        target.upsert(batch.repartition(count, *target.keys), generation, epoch)
+        target.upsert(batch.repartition(files, *target.keys), generation, epoch)
         if compact_every and (epoch + 1) % compact_every == 0:
             target.compact(session)
 

@@ -10,7 +10,7 @@ from obslayers.sources.tables import read_table
 def test_layers_end_to_end(spark, tmp_path, capsys):
     folder = TopicFolder(spark, tmp_path / "topic")
     folder.add(at("00:00:00", 280, "a"), at("00:07:00", 282, "b"), "hello", None)
-    names = "raw new clean hourly speed daily daily2 table parts c1 c2 c3 c4".split()
+    names = "raw new clean hourly speed daily daily2 table parts lines result c1 c2 c3 c4".split()
     where = {name: str(tmp_path / name) for name in names}
 
     def job(*words):
@@ -32,11 +32,17 @@ def test_layers_end_to_end(spark, tmp_path, capsys):
     assert read_table(spark, where["hourly"]).count() == 2
     assert "|b" in job("summary", "--clean", where["clean"])
     assert "T=6.85°C" in job("replay", *topic, "--rows", 5)
+    job("replay", *topic, "--table", where["lines"])
+    assert read_table(spark, where["lines"]).count() == 3
     assert "epochs folded" in job("compact", "speed", "--view", where["speed"])
     assert "epochs folded: 0" in job("compact", "parts", "--view", where["parts"])
     for sql in ("SELECT * FROM speed LIMIT 10", "SELECT * FROM batch_view LIMIT 10"):
-        assert "|b" in job("query", sql, "--speed", where["speed"], "--daily", where["daily"])
-    assert "|b" in job("query", "SELECT * FROM batch_view", "--daily", where["daily2"])
+        assert "\nb\t" in job("query", sql, "--speed", where["speed"], "--daily", where["daily"])
+    assert "\nb\t" in job("query", "SELECT * FROM batch_view", "--daily", where["daily2"])
+    many = job("query", "SELECT explode(sequence(1, 45)) AS n FROM batch_view LIMIT 45", "--daily", where["daily2"])
+    assert len(many.split()) == 46
+    job("query", "SELECT * FROM batch_view", "--daily", where["daily2"], "--output", where["result"])
+    assert read_table(spark, where["result"]).count() == 2
 
 
 def test_missing_options(spark, tmp_path):

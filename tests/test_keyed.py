@@ -1,6 +1,7 @@
 """The keyed table against a plain dictionary, and its compaction."""
 
 import datetime
+import os
 import random
 from pathlib import Path
 from types import SimpleNamespace
@@ -92,6 +93,40 @@ def test_epoch_being_written_is_left_out(spark, tmp_path):
     assert content(table, spark) == {("s", day(0)): (1.0, "x")}
 
 
+def test_half_written_epoch_is_left_out(spark, tmp_path):
+    table = table_at(tmp_path / "t")
+    table.upsert(frame(spark, {("s", day(0)): (1.0, "x")}), 1, 0)
+    table.upsert(frame(spark, {("s", day(0)): (2.0, "y"), ("r", day(1)): (3.0, "z")}), 1, 1)
+    os.remove(f"{table.path}/log/generation=1/epoch=1/_SUCCESS")
+    assert content(table, spark) == {("s", day(0)): (1.0, "x")}
+
+
+def test_parts_without_a_usable_message(spark, tmp_path):
+    raw, parts, checkpoint = (str(tmp_path / name) for name in ("raw", "parts", "checkpoint"))
+    for texts_ in (["hello"], ["nothing", message(drop=["reference_time"])]):
+        append_table(texts(spark, texts_).coalesce(1), raw)
+        add_new_parts(spark, raw, parts, checkpoint).awaitTermination()
+    assert daily_of_parts(spark, parts).count() == 0
+    assert DailyParts(parts).fold(spark) == 1
+    append_table(texts(spark, [message()]).coalesce(1), raw)
+    add_new_parts(spark, raw, parts, checkpoint).awaitTermination()
+    assert daily_of_parts(spark, parts).count() == 1
+    os.remove(f"{parts}/generation=1/epoch=2/_SUCCESS")
+    assert daily_of_parts(spark, parts).count() == 0
+
+
+def test_hourly_rebuild_drops_days_that_are_gone(spark, tmp_path):
+    clean, table = str(tmp_path / "clean"), str(tmp_path / "hourly")
+    messages = [message(reference_time=f"2024-01-0{d}T01:30:00Z") for d in (1, 2, 3)]
+    archived = archive_observations(texts(spark, messages)).withColumn("reference_date", F.to_date("reference_time"))
+    append_table(archived, clean, ["reference_date"])
+    run_hourly_days(spark, clean, table, "2024-01-01", "2024-01-03")
+    storage.delete(spark, f"{clean}/reference_date=2024-01-02")
+    storage.delete(spark, f"{clean}/reference_date=2024-01-03")
+    run_hourly_days(spark, clean, table, "2024-01-01", "2024-01-02")
+    assert [str(r.day) for r in read_table(spark, table).orderBy("day").collect()] == ["2024-01-01", "2024-01-03"]
+
+
 def test_compaction_keeps_the_content(spark, tmp_path):
     rng, table, expected = random.Random(11), table_at(tmp_path / "t"), {}
     assert table.compact(spark) == 0

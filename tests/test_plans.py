@@ -8,7 +8,14 @@ from helpers import message, texts
 from pyspark.sql import functions as F
 
 from obslayers.operators.aggregates import daily_averages, hourly_rollup, station_summary, windowed_averages
-from obslayers.operators.clean import archive_observations, averaged_observations, daily_observations
+from obslayers.operators.clean import (
+    HOURLY_FIELDS,
+    SUMMARY_FIELDS,
+    WINDOW_FIELDS,
+    archive_observations,
+    averaged_observations,
+    daily_observations,
+)
 from obslayers.operators.inspect import first_days
 from obslayers.operators.report import report_lines
 from obslayers.plans.hourly import clean_days
@@ -111,3 +118,18 @@ def test_keyed_table_reads_with_hash_aggregates(spark, clean, tmp_path):
     # The base is not aggregated, and a small log reaches it without a shuffle of the base.
     assert "BroadcastHashJoin" in bounded and "LeftAnti" in bounded and count(r"max_by", bounded) == 16
     assert re.search(r"PushedFilters: \[[^\]]*hour_bucket", bounded)
+
+
+@pytest.mark.parametrize(
+    "fields, view, unused",
+    [
+        (SUMMARY_FIELDS, station_summary, ("rr_per", "timestamp(", "lat")),
+        (HOURLY_FIELDS, hourly_rollup, ("lat", "dd#")),
+        (WINDOW_FIELDS, windowed_averages, ("rr_per", "pres", "lat")),
+    ],
+)
+def test_clean_aggregates_decode_only_what_they_read(spark, topic, fields, view, unused):
+    text = plan(view(archive_observations(message_text(read_topic(spark, topic)), fields=fields)))
+    assert count(r"from_json", text) == 1
+    for name in unused:
+        assert name not in text

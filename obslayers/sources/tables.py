@@ -38,7 +38,8 @@ def replace_days(df: DataFrame, path: str, day: str, since: str, until: str) ->
     Days of the range for which ``df`` has no row lose the rows they had.
     """
     spark = df.sparkSession
-    df = storage.materialize(df, "days")
+    with storage.Scratch(spark) as scratch:
+        df = storage.materialize(df, "days")
     # At most one value per day of the range.
     filled = {f"{day}={row[0]}" for row in df.select(day).distinct().collect()}
     (
@@ -51,3 +52,4 @@ def replace_days(df: DataFrame, path: str, day: str, since: str, until: str) ->
     for name in storage.children(spark, path):
         if name.startswith(f"{day}=") and f"{day}={since}" <= name <= f"{day}={until}" and name not in filled:
             storage.delete(spark, f"{path}/{name}")
+    scratch.clear()

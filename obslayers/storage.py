@@ -10,6 +10,7 @@ import functools
 import re
 import tempfile
 import uuid
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,15 +44,39 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
-    For small results that several actions need: unlike a cache, the written
-    table outlives lost executors and is never computed again.
+    For results that several actions need: unlike a cache, the written table outlives
+    lost executors and is never computed again.
     """
     spark = df.sparkSession
     path = new_folder(spark, purpose)
+    for scratch in _open:
+        scratch.paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_open: list[Scratch] = []
+
+
+@dataclass(eq=False)
+class Scratch:
+    """The folders that ``materialize`` writes within the block, to be deleted when nothing reads them any more."""
+
+    spark: SparkSession
+    paths: list[str] = field(default_factory=list)
+
+    def __enter__(self) -> Scratch:
+        _open.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _open.remove(self)
+
+    def clear(self) -> None:
+        while self.paths:
+            delete(self.spark, self.paths.pop())
+
+
 def _filesystem(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)

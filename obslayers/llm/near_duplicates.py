@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from obslayers.llm.batches import blocks, map_texts
 from obslayers.llm.quality_classifier import free_name
 from obslayers.llm.shingles import HASH_BITS, MOST_TEXTS, Shingles, mixed, shingles
-from obslayers.storage import materialize
+from obslayers.storage import Scratch, materialize
 
 THRESHOLD = 0.8
 # The sketch of document frequencies: counters, and the parts it travels in.
@@ -381,14 +381,15 @@ def near_duplicates(
     unless a class has no other.
     """
     spark = docs.sparkSession
-    weights = spark.sparkContext.broadcast(shingle_weights(docs, text_column))
-    rows = materialize(signed(docs, weights, id_column, text_column), "signed")
-    found, roots = verified_links(rows, docs, weights, text_column, threshold)
-    ends = found.select("node").unionAll(found.select("leader"))
-    degrees = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    known = materialize(roots.join(degrees, "node"), "known")
-    own = rows.select(F.col(id_column), "node").join(known, "node", "left")
+    with Scratch(spark) as scratch:
+        weights = spark.sparkContext.broadcast(shingle_weights(docs, text_column))
+        rows = materialize(signed(docs, weights, id_column, text_column), "signed")
+        found, roots = verified_links(rows, docs, weights, text_column, threshold)
+        ends = found.select("node").unionAll(found.select("leader"))
+        degrees = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+        own = rows.select(F.col(id_column), "node").join(roots.join(degrees, "node"), "node", "left")
     placed = materialize(own.withColumn("root", F.coalesce("root", "node")), "placed")
+    scratch.clear()
     least = placed.where("root IS NOT NULL").groupBy("root").agg(F.min(id_column).alias("class_id"))
     out = placed.join(least, "root", "left")
     return out.select(

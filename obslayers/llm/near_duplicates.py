@@ -47,6 +47,9 @@ BANDS, BAND_ROWS = 9, 4
 RANDOM_LEADERS = 3
 # Rounds end when they join fewer classes than this share of the pairs they test.
 LEAST_YIELD = 0.001
+# Digests (some 40 bytes each) up to which every executor gets a copy to pick the texts by; more
+# are dealt out with the texts.
+BROADCAST_NODES = 1_000_000
 # Shingles whose samples are drawn at a time.
 SAMPLED_AT_ONCE = 1 << 16
 
@@ -313,10 +316,13 @@ def verified_links(rows: DataFrame, docs: DataFrame, weights, text_column: str,
     exploded = one.select("node", F.explode("keys").alias("bucket"))
     sizes = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     buckets = materialize(_central(exploded.join(sizes, "bucket")), "buckets")
-    wanted = buckets.select("node").distinct()
-    once = docs.select(_node(docs[text_column]).alias("node"), docs[text_column].alias("text"))
-    once = once.groupBy("node").agg(F.first("text").alias("text"))
-    texts = materialize(once.join(wanted, "node", "left_semi"), "texts")
+    wanted = materialize(buckets.select("node").distinct(), "wanted")
+    if wanted.count() <= BROADCAST_NODES:
+        wanted = F.broadcast(wanted)
+    # Of equal texts the tasks keep one before they are dealt out.
+    own = docs.select(_node(docs[text_column]).alias("node"), docs[text_column].alias("text"))
+    once = own.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    texts = materialize(once, "texts")
     best = F.max_by("node", "score")
     leaders = buckets.groupBy("bucket").agg(best.alias("leader")).withColumn("leader_root", F.col("leader"))
     tested = materialize(_pairs(buckets.withColumn("root", F.col("node")), leaders), "pairs")

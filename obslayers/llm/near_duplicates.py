@@ -317,11 +317,14 @@ def verified_links(rows: DataFrame, docs: DataFrame, weights, text_column: str,
     sizes = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     buckets = materialize(_central(exploded.join(sizes, "bucket")), "buckets")
     wanted = materialize(buckets.select("node").distinct(), "wanted")
-    if wanted.count() <= BROADCAST_NODES:
-        wanted = F.broadcast(wanted)
-    # Of equal texts the tasks keep one before they are dealt out.
+    few = wanted.count() <= BROADCAST_NODES
     own = docs.select(_node(docs[text_column]).alias("node"), docs[text_column].alias("text"))
-    once = own.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    if few:
+        own = own.join(F.broadcast(wanted), "node", "left_semi")
+    # Of equal texts each task keeps one before they are dealt out.
+    once = own.groupBy("node").agg(F.first("text").alias("text"))
+    if not few:
+        once = once.join(wanted, "node", "left_semi")
     texts = materialize(once, "texts")
     best = F.max_by("node", "score")
     leaders = buckets.groupBy("bucket").agg(best.alias("leader")).withColumn("leader_root", F.col("leader"))

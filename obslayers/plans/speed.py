@@ -10,7 +10,7 @@ from obslayers.operators.aggregates import SPEED_WATERMARK, SPEED_WINDOW, window
 from obslayers.operators.clean import averaged_observations
 from obslayers.schemas import SPEED_KEYS
 from obslayers.sources.topic import Topic, stream_topic
-from obslayers.streaming.keyed import KeyedTable
+from obslayers.streaming.keyed import KEEP_SECONDS, KeyedTable
 from obslayers.streaming.runs import start
 from obslayers.streaming.sinks import EPOCH_FILES, to_keyed
 
@@ -19,8 +19,8 @@ SPEED_INTERVAL = "1 minute"
 COMPACT_EVERY = 60
 
 
-def speed_table(path: str) -> KeyedTable:
-    return KeyedTable(path, SPEED_KEYS, "window_start")
+def speed_table(path: str, keep_seconds: float = KEEP_SECONDS) -> KeyedTable:
+    return KeyedTable(path, SPEED_KEYS, "window_start", keep_seconds)
 
 
 def run_speed(

@@ -9,6 +9,7 @@ from __future__ import annotations
 import functools
 import re
 import tempfile
+import time
 import uuid
 from dataclasses import dataclass, field
 
@@ -101,6 +102,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
+def age(spark: SparkSession, path: str) -> float:
+    """Seconds since ``path`` was written."""
+    fs, target = _filesystem(spark, path)
+    return time.time() - fs.getFileStatus(target).getModificationTime() / 1000
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _filesystem(spark, path)
     fs.delete(target, True)

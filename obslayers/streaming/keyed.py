@@ -18,7 +18,7 @@ and the files it replaces are removed a compaction later.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +32,7 @@ POSITION = "position"
 # Epochs stay below 2**40 in one generation.
 EPOCH_BITS = 40
 FOLDED_FILE = "_folded"
+KEEP_SECONDS = 3600.0
 
 
 @dataclass(frozen=True)
@@ -65,11 +66,15 @@ class CassandraTable:
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """Newest row per ``keys`` under ``path``; ``time_key`` is the key that dates a row."""
+    """Newest row per ``keys`` under ``path``; ``time_key`` is the key that dates a row.
+
+    What a compaction has replaced stays for ``keep_seconds``, for readers that began before it.
+    """
 
     path: str
     keys: tuple[str, ...]
     time_key: str
+    keep_seconds: float = KEEP_SECONDS
 
     # -- writing -----------------------------------------------------------------
 
@@ -117,16 +122,16 @@ class KeyedTable:
         return rows.withColumn(POSITION, position).drop("generation", "epoch")
 
     def _base_rows(
-        self, spark: SparkSession, runs: Sequence[int], days: set[str] | None = None
+        self, spark: SparkSession, runs: Sequence[int], wanted: Callable[[str], bool] = lambda day: True
     ) -> DataFrame | None:
         """Folded rows, one per key: each day as the newest run that touched it left it.
 
-        Only the folders of ``days`` are read when given.
+        Only the folders of ``wanted`` days are read.
         """
         root, newest = f"{self.path}/base", {}
         for run in runs:
             for day in self._days_of(spark, run):
-                if days is None or day in days:
+                if wanted(day):
                     newest.setdefault(day, f"{root}/run={run}/{day}")
         if not newest:
             return None
@@ -151,14 +156,18 @@ class KeyedTable:
         those that the log does not replace, without a shuffle while the log is small.
         """
         runs = self._finished_runs(spark)
-        epochs, base = self._epochs(spark, runs), self._base_rows(spark, runs)
+
+        def within(day: str) -> bool:
+            return (since is None or day >= f"day={since}") and (until is None or day <= f"day={until}")
+
+        epochs, base = self._epochs(spark, runs), self._base_rows(spark, runs, within)
         if not epochs and base is None:
-            raise ValueError(f"nothing written to {self.path} yet")
+            # With bounds, days outside them may be all there is: then the result is theirs without a row.
+            base = self._base_rows(spark, runs)
+            if base is None:
+                raise ValueError(f"nothing written to {self.path} yet")
+            base = base.limit(0)
         if base is not None:
-            if since is not None:
-                base = base.filter(F.col("day") >= F.lit(since).cast("date"))
-            if until is not None:
-                base = base.filter(F.col("day") <= F.lit(until).cast("date"))
             base = base.drop("day", POSITION)
             if not epochs:
                 return base
@@ -175,25 +184,22 @@ class KeyedTable:
 
     # -- compaction --------------------------------------------------------------
 
-    def drop_replaced(self, spark: SparkSession) -> None:
-        """Remove files that a finished compaction has replaced.
-
-        Called at the start of the next compaction, which leaves readers of the old
-        files the time in between.
-        """
+    def drop_replaced(self, spark: SparkSession, keep_seconds: float = 0) -> None:
+        """Remove files that compactions finished ``keep_seconds`` ago or earlier have replaced."""
         root, runs = f"{self.path}/base", self._finished_runs(spark)
+        old = [r for r in runs if storage.age(spark, f"{root}/run={r}/{FOLDED_FILE}") >= keep_seconds]
         for name in storage.children(spark, root):
             # A run that broke off: the log and the older base still hold all its rows.
             if int(name.split("=")[1]) not in runs:
                 storage.delete(spark, f"{root}/{name}")
         newer: set[str] = set()
-        for run in runs:
+        for run in old:
             for epoch in self._folded_by(spark, run):
                 storage.delete(spark, f"{self.path}/log/{epoch}")
             days = set(self._days_of(spark, run))
             for day in days & newer:
                 storage.delete(spark, f"{root}/run={run}/{day}")
-            if run != runs[0] and days <= newer:
+            if run != old[0] and days <= newer:
                 storage.delete(spark, f"{root}/run={run}")
             newer |= days
 
@@ -204,7 +210,7 @@ class KeyedTable:
         stream, since its newest epoch, the only one a retry can write again, is left
         alone; two compactions must not overlap.
         """
-        self.drop_replaced(spark)
+        self.drop_replaced(spark, self.keep_seconds)
         runs = self._finished_runs(spark)
         epochs = self._epochs(spark, runs)[:-1]
         if not epochs:
@@ -212,7 +218,7 @@ class KeyedTable:
         rows = self._log_rows(spark, epochs)
         # At most one value per calendar day, so that the base is pruned by folder.
         touched = {f"day={row.day}" for row in rows.select(self._day().alias("day")).distinct().collect()}
-        base = self._base_rows(spark, runs, touched)
+        base = self._base_rows(spark, runs, touched.__contains__)
         if base is not None:
             rows = rows.unionByName(base.drop("day"))
         merged = self._newest(rows).withColumn("day", self._day())

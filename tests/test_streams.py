@@ -38,7 +38,7 @@ class Live:
     def __init__(self, spark, tmp_path):
         self.spark = spark
         self.folder = TopicFolder(spark, tmp_path / "topic")
-        self.table = speed_table(str(tmp_path / "speed"))
+        self.table = speed_table(str(tmp_path / "speed"), keep_seconds=0)
         self.checkpoint = str(tmp_path / "checkpoint")
 
     def run(self, mode="update", **options):

@@ -372,6 +372,21 @@ def verified_links(rows: DataFrame, docs: DataFrame, weights, text_column: str,
         members = rest.join(asked, ["bucket", "node"], "left_anti")
 
 
+def _placed(docs: DataFrame, id_column: str, text_column: str, threshold: float) -> DataFrame:
+    """Per row of ``docs`` its id, ``node``, ``n_links`` (null for none) and the ``root`` of its class (null: wordless)."""
+    spark = docs.sparkSession
+    with Scratch(spark) as scratch:
+        weights = spark.sparkContext.broadcast(shingle_weights(docs, text_column))
+        rows = materialize(signed(docs, weights, id_column, text_column), "signed")
+        found, roots = verified_links(rows, docs, weights, text_column, threshold)
+        ends = found.select("node").unionAll(found.select("leader"))
+        degrees = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+        own = rows.select(F.col(id_column), "node").join(roots.join(degrees, "node"), "node", "left")
+    placed = materialize(own.withColumn("root", F.coalesce("root", "node")), "placed")
+    scratch.clear()
+    return placed
+
+
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
@@ -383,16 +398,7 @@ def near_duplicates(
     ``class_id`` is its own id and its ``node`` is null. Null ids are never a ``class_id``
     unless a class has no other.
     """
-    spark = docs.sparkSession
-    with Scratch(spark) as scratch:
-        weights = spark.sparkContext.broadcast(shingle_weights(docs, text_column))
-        rows = materialize(signed(docs, weights, id_column, text_column), "signed")
-        found, roots = verified_links(rows, docs, weights, text_column, threshold)
-        ends = found.select("node").unionAll(found.select("leader"))
-        degrees = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-        own = rows.select(F.col(id_column), "node").join(roots.join(degrees, "node"), "node", "left")
-    placed = materialize(own.withColumn("root", F.coalesce("root", "node")), "placed")
-    scratch.clear()
+    placed = _placed(docs, id_column, text_column, threshold)
     least = placed.where("root IS NOT NULL").groupBy("root").agg(F.min(id_column).alias("class_id"))
     out = placed.join(least, "root", "left")
     return out.select(
@@ -408,20 +414,19 @@ def _row_key(digest: Column, id_: Column) -> Column:
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Of every class the row with the least id, with its columns as they are.
+    """Of every class the row with the least id, a null one last, with its columns as they are.
 
-    Rows that repeat id and text count as one. Wordless texts are all kept.
+    Of several texts beside that id the one of the least digest stays. Rows that repeat id and text count as one. Wordless texts are all kept.
     """
-    found = near_duplicates(docs, id_column, text_column)
-    heads = found.where(F.col("node").isNotNull() & F.col(id_column).eqNullSafe(F.col("class_id")))
-    # An id may stand beside several texts of one class: the least digest is kept.
-    heads = heads.groupBy(id_column, "class_id").agg(F.min("node").alias("head"))
-    heads = heads.select(F.col(id_column).alias("head_id"), "head")
+    placed = _placed(docs, id_column, text_column, THRESHOLD).where("root IS NOT NULL")
+    # Ids are not unique to a class, roots are: an id may be null or stand beside several texts.
+    row = F.struct(F.col(id_column).isNull(), F.col(id_column).alias("id"), "node")
+    heads = placed.groupBy("root").agg(F.min(row).alias("head")).select("head.id", "head.node")
     key, copy = free_name(docs, "key"), free_name(docs, "copy")
     text = F.coalesce(docs[text_column], F.lit(""))
     # The id is in the key, so the copies of one text are spread.
     own = docs.withColumn(key, F.when(text.rlike(r"[^ \t\n\x0B\f\r]"), _row_key(_node(docs[text_column]), docs[id_column])))
-    heads = heads.select(_row_key(F.col("head"), F.col("head_id")).alias(key))
+    heads = heads.select(_row_key(F.col("node"), F.col("id")).alias(key))
     order = Window.partitionBy(key).orderBy(F.lit(1))
     kept = own.join(heads, key)
     first = kept.withColumn(copy, F.row_number().over(order)).where(F.col(copy) == 1)

@@ -120,3 +120,16 @@ def test_components_of_a_path(spark):
     edges = [*zip(names, names[1:]), (5000, 5001), (5001, 5000)]
     got = {r.node: r.root for r in nd.components(spark.createDataFrame(edges, "leader bigint, node bigint")).collect()}
     assert len(got) == 63 and got[5000] == 5000 and {got[n] for n in names} == {min(names)} and got[5001] == 5000
+
+
+def test_every_class_keeps_a_row_whatever_its_ids(spark):
+    rng = random.Random(7)
+    apart = [" ".join(rng.choice("abcdefgh") + str(rng.randrange(900)) for _ in range(30)) for _ in range(9)]
+    near = apart[5] + " one more"
+    rows = [(None, t) for t in apart[:4]] + [(1, apart[4]), (1, apart[5]), (None, near), (2, apart[6]), (None, apart[6]), (3, apart[7]), (3, apart[7] + " end"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    kept = [(r.doc_id, r.text) for r in nd.keep_one(docs).collect()]
+    last = [r for r in kept if r[0] == 3]
+    assert len(last) == 1 and last[0] in rows
+    expected = [(None, t) for t in apart[:4]] + [(1, apart[4]), (1, apart[5]), (2, apart[6]), (None, None)]
+    assert sorted(map(repr, set(kept) - set(last))) == sorted(map(repr, expected)) and len(kept) == 9

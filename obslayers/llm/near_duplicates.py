@@ -6,20 +6,22 @@
 2. *Samples.* Improved consistent weighted sampling draws 36 samples of each text: two
    texts draw the same one with the probability of their weighted Jaccard similarity.
 3. *Bands.* Four samples are a band, and its value is the key of a bucket.
-4. *Candidates.* Of equal texts one stands for all. In a bucket every text is paired with
-   one leader, never with all others: the text that meets most others in all its buckets,
-   which the source of a group of copies does. Texts outside the leader's class bring
-   forth further leaders, round by round, while these find links.
+4. *Candidates.* Of equal texts one stands for all. All members of a bucket meet each
+   other: large buckets are dealt into blocks, and every two blocks are a group of their
+   own. A pair that draws too few equal samples is put aside, each other one is a
+   candidate of the first bucket that it shares.
 5. *Verification.* A pair is a link if its exact weighted Jaccard similarity, from the
    whole texts, reaches the threshold. Classes are the connected components of links.
 
-Leaders, links and classes stay in tables; hot buckets and hot classes are spread by
-partial aggregates and by joins that Spark may split.
+A group holds two blocks at most, whatever the size of its bucket, and gives of its links only
+their number for each text and a tree that joins the same texts.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -43,10 +45,13 @@ SKETCH_BITS, PART_BITS = 22, 14
 RARITY = 0.15
 # Bands, and samples in each: texts of similarity 0.8 meet with probability 0.991.
 BANDS, BAND_ROWS = 9, 4
-# Leaders of a bucket in a later round besides its most central text.
-RANDOM_LEADERS = 3
-# Rounds end when they join fewer classes than this share of the pairs they test.
-LEAST_YIELD = 0.001
+# Members of a bucket that are a block. Every two blocks meet in a group.
+BLOCK_MEMBERS = 256
+# Two texts of the threshold's similarity that share a band draw fewer equal samples than are
+# asked of a candidate with this probability at most.
+UNDRAWN = 1e-6
+# Characters of texts, and pairs, that are verified at a time.
+VERIFIED_CHARS, VERIFIED_PAIRS = 1 << 22, 1 << 18
 # Digests (some 40 bytes each) up to which every executor gets a copy to pick the texts by; more
 # are dealt out with the texts.
 BROADCAST_NODES = 1_000_000
@@ -193,7 +198,7 @@ def bucket_keys(samples: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame, weights, id_column: str, text_column: str) -> DataFrame:
-    """Per row its id, the digest of its text, and its bucket keys; neither for wordless texts."""
+    """Per row its id, the digest of its text, its bucket keys and samples; none for wordless texts."""
 
     def make():
         def work(texts):
@@ -201,14 +206,13 @@ def signed(docs: DataFrame, weights, id_column: str, text_column: str) -> DataFr
                 part = texts[begin:end]
                 found = shingles(part)
                 owners, samples = consistent_samples(found, weighted(found, weights.value), BANDS * BAND_ROWS)
-                keys = dict(zip(owners.tolist(), bucket_keys(samples)))
+                drawn = dict(zip(owners.tolist(), zip(bucket_keys(samples), map(np.ndarray.tobytes, samples))))
                 for i, text in enumerate(part):
-                    has_words = i in keys
-                    yield [(_digest(text) if has_words else None, keys[i] if has_words else None)]
+                    yield [(_digest(text) if i in drawn else None, *drawn.get(i, (None, None)))]
 
         return work
 
-    return map_texts(docs, [id_column], text_column, "node bigint, keys array<bigint>", make)
+    return map_texts(docs, [id_column], text_column, "node bigint, keys array<bigint>, samples binary", make)
 
 
 def _digest(text: str) -> int:
@@ -234,22 +238,142 @@ def similarities(left: list[str], right: list[str], weights: np.ndarray) -> np.n
     return least / np.maximum(total - least, 1e-300)
 
 
+def pair_similarities(texts: list[str], left: np.ndarray, right: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """As ``similarities`` of pairs among ``texts``, by their places; each text is read once."""
+    kept = []
+    for begin, end in _text_blocks(texts):
+        found = shingles(texts[begin:end])
+        kept.append((found.text + begin, found.hash, weighted(found, weights)))
+    owner, hashes, weight = (np.concatenate(x) for x in zip(*kept))
+    starts = np.searchsorted(owner, np.arange(len(texts) + 1))
+    lengths, total = np.diff(starts), np.bincount(owner, weight, len(texts))
+    sizes = np.cumsum(lengths[left] + lengths[right])
+    out = np.empty(len(left))
+    shift = np.uint64(HASH_BITS)
+
+    def taken(which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        pair = np.repeat(np.arange(len(which)), lengths[which])
+        ends = np.cumsum(lengths[which])
+        at = np.arange(len(pair)) + (starts[which] - ends + lengths[which])[pair]
+        return pair, pair.astype(np.uint64) << shift | hashes[at], weight[at]
+
+    p = 0
+    while p < len(left):
+        done = sizes[p - 1] if p else 0
+        q = min(max(p + 1, int(np.searchsorted(sizes, done + (1 << 20)))), p + MOST_TEXTS, len(left))
+        (_, ka, wa), (pair, kb, wb) = taken(left[p:q]), taken(right[p:q])
+        at = np.searchsorted(ka, kb)
+        at[at == len(ka)] = 0
+        common = ka[at] == kb
+        least = np.bincount(pair[common], np.minimum(wa[at[common]], wb[common]), q - p)
+        out[p:q] = least / np.maximum(total[left[p:q]] + total[right[p:q]] - least, 1e-300)
+        p = q
+    return out
+
+
+@functools.cache
+def least_equal(threshold: float) -> int:
+    """Most equal samples that can be asked of two texts which share a band; see ``UNDRAWN``."""
+    n = (BANDS - 1) * BAND_ROWS
+    missed, k = 0.0, 0
+    while k < n and (missed := missed + math.comb(n, k) * threshold**k * (1 - threshold) ** (n - k)) <= UNDRAWN:
+        k += 1
+    return BAND_ROWS + k
+
+
+def candidates(groups: DataFrame, threshold: float) -> DataFrame:
+    """One row per group with its candidates: ``lefts`` and ``rights``.
+
+    ``groups`` has ``bucket``, ``low`` and ``high`` (its blocks), ``band``, ``block``, ``node`` and ``samples``.
+    """
+    least = least_equal(threshold)
+    columns = ["bucket", "low", "high", "band", "block", "node", "samples"]
+    # Groups are whole in a task and stand one behind the other.
+    sorted_ = groups.select(*columns).repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "node")
+
+    def met(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        _, low, high, band, *_ = rows[0]
+        block, node = (np.array([r[i] for r in rows], np.int64) for i in (4, 5))
+        samples = np.frombuffer(b"".join(r[6] for r in rows), np.uint32).reshape(len(rows), BANDS, BAND_ROWS)
+        first, second = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        ends = [], []
+        step = max(1, (1 << 19) // max(1, len(second)))
+        for p in range(0, len(first), step):
+            equal = samples[first[p : p + step], None] == samples[None, second]
+            enough = equal.sum((2, 3)) >= least
+            # It has been a candidate of an earlier band's bucket if it shares one.
+            enough &= ~equal[:, :, :band].all(3).any(2)
+            i, j = np.nonzero(enough)
+            i, j = first[p + i], second[j]
+            once = i < j if low == high else np.ones(len(i), bool)
+            ends[0].append(node[i[once]])
+            ends[1].append(node[j[once]])
+        return tuple(np.concatenate(e) if e else np.zeros(0, np.int64) for e in ends)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in columns)))
+        for _, group in itertools.groupby(rows, lambda r: r[:3]):
+            lefts, rights = met(list(group))
+            if len(lefts):
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.list_(pa.int64())) for x in (lefts, rights)], ["lefts", "rights"])
+
+    return sorted_.mapInArrow(run, "lefts array<bigint>, rights array<bigint>")
+
+
 def links(pairs: DataFrame, texts: DataFrame, weights, threshold: float) -> DataFrame:
-    """Those of ``pairs`` (leader, node) whose texts are similar enough."""
-    nodes = texts.select("node", F.col("text").alias("own"))
-    leaders = texts.select(F.col("node").alias("leader"), F.col("text").alias("other"))
-    both = pairs.join(nodes, "node").join(leaders, "leader").select("leader", "node", "own", "other")
+    """What the links among ``pairs`` (``candidates``, with a ``part`` for each row) say of each node in each part.
+
+    ``n`` is the number of its links, and the edges from ``leader`` to ``node`` join the same nodes as the links do.
+    """
+    none = F.lit(None)
+    ends = pairs.select("part", F.explode(F.array_distinct(F.concat("lefts", "rights"))).alias("node"))
+    own = ends.join(texts, "node").select("part", "node", "text", none.cast("array<bigint>").alias("lefts"), none.cast("array<bigint>").alias("rights"))
+    both = own.unionByName(pairs.select("part", none.cast("bigint").alias("node"), none.cast("string").alias("text"), "lefts", "rights"))
+    sorted_ = both.repartition("part").sortWithinPartitions("part", F.col("node").isNull())
+
+    def linked(known: dict[int, str], left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+        names = np.array(sorted(known), np.int64)
+        left, right = np.searchsorted(names, left), np.searchsorted(names, right)
+        good = pair_similarities([known[n] for n in names.tolist()], left, right, weights.value) >= threshold
+        left, right = left[good], right[good]
+        n = np.bincount(left, minlength=len(names)) + np.bincount(right, minlength=len(names))
+        root = np.arange(len(names))
+        while True:
+            before = root.copy()
+            least = np.minimum(root[left], root[right])
+            for ends in (left, right):
+                np.minimum.at(root, root[ends], least)
+            root = root[root]
+            if (root == before).all():
+                break
+        while (root != root[root]).any():
+            root = root[root]
+        has = n > 0
+        columns = [pa.array(names[root[has]]), pa.array(names[has]), pa.array(n[has].astype(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, ["leader", "node", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, str] = {}
+        lefts, rights = [], []
+        chars = n = 0
+        columns = ["node", "text", "lefts", "rights"]
         for batch in batches:
-            own, other = batch.column("own").to_pylist(), batch.column("other").to_pylist()
-            longer = [x if len(x) > len(y) else y for x, y in zip(own, other)]
-            keep: list[bool] = []
-            for begin, end in _text_blocks(longer):
-                keep += (similarities(own[begin:end], other[begin:end], weights.value) >= threshold).tolist()
-            yield batch.select(["leader", "node"]).filter(pa.array(keep, pa.bool_()))
-
-    return both.mapInArrow(run, "leader bigint, node bigint")
+            for node, text, left, right in zip(*(batch.column(c) for c in columns)):
+                if node.is_valid:
+                    known[node.as_py()] = text.as_py()
+                    chars += len(known[node.as_py()])
+                    continue
+                # A part ends with its pairs.
+                lefts.append(left.values.to_numpy())
+                rights.append(right.values.to_numpy())
+                n += len(lefts[-1])
+                if chars >= VERIFIED_CHARS or n >= VERIFIED_PAIRS:
+                    yield linked(known, np.concatenate(lefts), np.concatenate(rights))
+                    known, lefts, rights, chars, n = {}, [], [], 0, 0
+        if lefts:
+            yield linked(known, np.concatenate(lefts), np.concatenate(rights))
+
+    return sorted_.mapInArrow(run, "leader bigint, node bigint, n bigint")
 
 
 # -- classes -----------------------------------------------------------------------
@@ -288,35 +412,24 @@ def _node(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def _central(buckets: DataFrame) -> DataFrame:
-    """``buckets`` with the ``score`` of each node: how many others it meets in all its buckets.
-
-    The text from which others were copied meets all of them, and so scores highest.
-    """
-    scores = buckets.groupBy("node").agg(F.sum(F.col("size") - 1).alias("score"))
-    # The last digits only order equal scores.
-    ranked = F.col("score") * (1 << 20) + F.pmod("node", F.lit(1 << 20))
-    return buckets.join(scores, "node").select("bucket", "node", ranked.alias("score"))
-
-
-def _pairs(members: DataFrame, leaders: DataFrame) -> DataFrame:
-    """Every member of a bucket with each of its leaders that is of another class."""
-    met = members.join(leaders, "bucket").where("root <> leader_root")
-    return met.select("leader", "node").distinct()
-
-
 def verified_links(rows: DataFrame, docs: DataFrame, weights, text_column: str, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """All links (leader, node), and (node, root) of the nodes that have one.
+    """``links`` of all candidates, and (node, root) of the nodes that have one.
 
-    ``rows`` is the table of ``signed``. In a bucket with several classes left, every
-    round takes the most central node of those outside the largest scorer's class, and
-    some at random, for leaders of all members. Rounds end when hardly a class is joined to another.
+    ``rows`` is the table of ``signed``.
     """
-    one = rows.where("node IS NOT NULL").groupBy("node").agg(F.first("keys").alias("keys"))
-    exploded = one.select("node", F.explode("keys").alias("bucket"))
+    one = rows.where("node IS NOT NULL").groupBy("node").agg(F.first("keys").alias("keys"), F.first("samples").alias("samples"))
+    one = materialize(one, "one")
+    exploded = one.select("node", F.posexplode("keys").alias("band", "bucket"))
     sizes = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    buckets = materialize(_central(exploded.join(sizes, "bucket")), "buckets")
-    wanted = materialize(buckets.select("node").distinct(), "wanted")
+    blocks_ = F.ceil(F.col("size") / BLOCK_MEMBERS).cast("int")
+    members = exploded.join(sizes, "bucket").join(one.select("node", "samples"), "node")
+    members = members.withColumn("blocks", blocks_).withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int"))
+    others = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    groups = others.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    pairs = candidates(groups, threshold).withColumn("part", F.monotonically_increasing_id())
+    pairs = materialize(pairs, "pairs")
+    wanted = pairs.select(F.explode(F.array_distinct(F.concat("lefts", "rights"))).alias("node")).distinct()
+    wanted = materialize(wanted, "wanted")
     few = wanted.count() <= BROADCAST_NODES
     own = docs.select(_node(docs[text_column]).alias("node"), docs[text_column].alias("text"))
     if few:
@@ -326,50 +439,8 @@ def verified_links(rows: DataFrame, docs: DataFrame, weights, text_column: str,
     if not few:
         once = once.join(wanted, "node", "left_semi")
     texts = materialize(once, "texts")
-    best = F.max_by("node", "score")
-    leaders = buckets.groupBy("bucket").agg(best.alias("leader")).withColumn("leader_root", F.col("leader"))
-    tested = materialize(_pairs(buckets.withColumn("root", F.col("node")), leaders), "pairs")
-    found = materialize(links(tested, texts, weights, threshold), "links")
-    first = leaders.select("bucket", F.col("leader").alias("central"))
-    members = buckets.join(first, "bucket")
-    joined, n_tested = 0, 0
-    while True:
-        roots = components(found)
-        before = joined
-        joined = roots.count() - roots.select("root").distinct().count()
-        if n_tested and joined - before < LEAST_YIELD * n_tested:
-            return found, roots
-        own = roots.select("node", "root")
-        centre = roots.select(F.col("node").alias("central"), F.col("root").alias("central_root"))
-        placed = members.join(own, "node", "left").join(centre, "central", "left")
-        placed = placed.withColumns(
-            {"root": F.coalesce("root", "node"), "central_root": F.coalesce("central_root", "central")}
-        )
-        # A bucket that has become one class is done.
-        mixed = placed.where("root <> central_root").select("bucket").distinct()
-        placed = materialize(placed.join(mixed, "bucket", "left_semi"), "placed")
-        apart = placed.where("root <> central_root")
-        chosen = F.array_distinct(
-            F.array(best, *[F.min_by("node", F.xxhash64("node", F.lit(salt))) for salt in range(RANDOM_LEADERS)])
-        )
-        leaders = apart.groupBy("bucket").agg(chosen.alias("leaders"))
-        leaders = leaders.select("bucket", F.explode("leaders").alias("leader"))
-        own = own.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
-        leaders = leaders.join(own, "leader", "left").withColumn("leader_root", F.coalesce("leader_root", "leader"))
-        ordered = _pairs(placed, leaders).select(
-            F.least("leader", "node").alias("leader"), F.greatest("leader", "node").alias("node")
-        )
-        old = tested.select(F.least("leader", "node").alias("leader"), F.greatest("leader", "node").alias("node"))
-        new = materialize(ordered.distinct().join(old, ["leader", "node"], "left_anti"), "pairs")
-        more = materialize(links(new, texts, weights, threshold), "links")
-        n_tested = new.count()
-        if more.isEmpty():
-            return found, roots
-        tested, found = tested.unionAll(new), found.unionAll(more)
-        # A leader that found nothing is not asked again; the others' classes have grown.
-        asked = leaders.select("bucket", F.col("leader").alias("node")).distinct()
-        rest = placed.select("bucket", "node", "score", "central")
-        members = rest.join(asked, ["bucket", "node"], "left_anti")
+    found = materialize(links(pairs, texts, weights, threshold), "links")
+    return found, components(found.select("leader", "node"))
 
 
 def _placed(docs: DataFrame, id_column: str, text_column: str, threshold: float) -> DataFrame:
@@ -379,8 +450,7 @@ def _placed(docs: DataFrame, id_column: str, text_column: str, threshold: float)
         weights = spark.sparkContext.broadcast(shingle_weights(docs, text_column))
         rows = materialize(signed(docs, weights, id_column, text_column), "signed")
         found, roots = verified_links(rows, docs, weights, text_column, threshold)
-        ends = found.select("node").unionAll(found.select("leader"))
-        degrees = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+        degrees = found.groupBy("node").agg(F.sum("n").alias("n_links"))
         own = rows.select(F.col(id_column), "node").join(roots.join(degrees, "node"), "node", "left")
     placed = materialize(own.withColumn("root", F.coalesce("root", "node")), "placed")
     scratch.clear()

@@ -3,7 +3,7 @@
 1. *Weights.* A shingle's weight in a text grows with the logarithms of its count there
    and, mildly, of its rarity. Document frequencies of all documents go into a sketch of
    fixed size, hashed counters; its 2**22 one-byte weights are all that is broadcast.
-2. *Samples.* Improved consistent weighted sampling draws 36 samples of each text: two
+2. *Samples.* Improved consistent weighted sampling draws 48 samples of each text: two
    texts draw the same one with the probability of their weighted Jaccard similarity.
 3. *Bands.* Four samples are a band, and its value is the key of a bucket.
 4. *Candidates.* Of equal texts one stands for all. All members of a bucket meet each
@@ -43,8 +43,8 @@ SKETCH_BITS, PART_BITS = 22, 14
 # the few words by which near copies differ would outweigh all that a large group of them
 # shares, and the group would fall apart.
 RARITY = 0.15
-# Bands, and samples in each: texts of similarity 0.8 meet with probability 0.991.
-BANDS, BAND_ROWS = 9, 4
+# Bands, and samples in each: texts of similarity 0.8 meet with probability 0.998.
+BANDS, BAND_ROWS = 12, 4
 # Members of a bucket that are a block. Every two blocks meet in a group.
 BLOCK_MEMBERS = 256
 # Two texts of the threshold's similarity that share a band draw fewer equal samples than are

@@ -48,6 +48,7 @@ ENDED_BY = {
 }
 # Elements that an end of another element does not close.
 FENCES = set("html body table article main section div td th ul ol dl nav aside header footer form blockquote".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6 hgroup".split())
 OTHER_TAGS = set("head nav footer aside form button select textarea iframe svg object dialog menu search template".split())
 OTHER_NAMES = set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies "
@@ -278,21 +279,39 @@ def constants(page: Node, template: Node, least: int) -> set[Element]:
 # -- main text ---------------------------------------------------------------------
 
 
-def _mains(element: Element) -> list[Element]:
-    """The outermost articles, or main elements, that are not within something else."""
+def _mains(element: Element, everywhere: bool = False) -> list[Element]:
+    """The outermost articles, or main elements, that are not within something else.
+
+    A main element in which only headings stand outside its articles gives way to these.
+    """
     found: list[Element] = []
     for part in element.parts:
-        if isinstance(part, str):
+        if isinstance(part, str) or (_apart(part) and (not everywhere or part.tag not in FENCES - OTHER_TAGS)):
             continue
         if part.tag in ("article", "main") or part.attributes.get("role") in ("article", "main"):
-            # A main element with articles in it may have more around them.
             inner = _mains(part) if part.tag == "main" else []
-            found += inner or [part]
-        elif not is_other(part) or part.tag in FENCES - OTHER_TAGS:
-            found += _mains(part)
+            found += inner if inner and not _has_more(part, set(inner)) else [part]
+        else:
+            found += _mains(part, everywhere)
     return found
 
 
+def _apart(element: Element) -> bool:
+    """Whether an element with all in it is no part of the main text; the page's own frame never is."""
+    return element.tag not in ("html", "body") and is_other(element)
+
+
+def _has_more(main: Element, inner: set[Element]) -> bool:
+    """Whether text of ``main`` stands outside its articles, headings and other parts."""
+    for part in main.parts:
+        if isinstance(part, str):
+            if part.strip():
+                return True
+        elif part not in inner and part.tag not in HEADINGS and not _apart(part) and _has_more(part, inner):
+            return True
+    return False
+
+
 def _blocks(element: Element, skipped: set[Element], out: list[list[str]]) -> None:
     for part in element.parts:
         if isinstance(part, str):
@@ -300,7 +319,7 @@ def _blocks(element: Element, skipped: set[Element], out: list[list[str]]) -> No
                 out[-1].append(part)
         elif part.tag == "br":
             out[-1].append(" ")
-        elif is_other(part):
+        elif _apart(part):
             if part.tag in BLOCKS:
                 out.append([])
         elif part.tag in BLOCKS:
@@ -328,6 +347,8 @@ def main_text(page: str, template: Node | None = None) -> str:
     """
     root = parse(page)
     regions = _mains(root) or [root]
+    if not _text(regions, set()):  # all of it is in an element named for something within it
+        regions = _mains(root, everywhere=True) or [root]
     if template is not None and template.pages >= LEAST_PAGES:
         least = max(LEAST_PAGES, (template.pages + 1) // 2)
         skipped = constants(skeleton([root]), template, least)

@@ -110,3 +110,18 @@ def test_constant_block_is_left_out(spark):
     made = "<html><body><article><h1>T{n}</h1><p>text {n}</p><blockquote>Read more on this site.</blockquote></article></body></html>"
     pages = spark.createDataFrame([(i, f"http://a.org/{i}", made.format(n=i)) for i in range(12)], "page_id bigint, url string, html string")
     assert {r.text for r in w.extract_text(pages).collect()} == {f"T{i}\ntext {i}" for i in range(12)}
+
+
+@pytest.mark.parametrize(
+    "given, expected",
+    [
+        ("<main><h1>t</h1><p>story</p><section class='comments'><article class='comment'>c</article></section></main>", "t\nstory"),
+        ("<main><h1>t</h1><p>story</p><article><p>part</p></article><p>end</p></main>", "t\nstory\npart\nend"),
+        ("<main><div>loose text <article>a</article></div></main>", "loose text\na"),
+        ("<main><section class='related'><article>r</article></section><article><p>a</p></article></main>", "a"),
+        ("<body class='has-sidebar menu'><div class='comments'><article>c</article></div><p>story</p></body>", "story"),
+        ("<main><h1>t</h1><article class='comment'>c</article></main>", "t"),
+    ],
+)
+def test_main_keeps_its_own_text(given, expected):
+    assert w.main_text(given) == expected

@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 from obslayers.storage import materialize
 
-# A paragraph is a line; of a longer line each part that ends with a sentence behind so
-# many characters is one.
-PARAGRAPH = r"[^\n]{160,}?[.!?](?=[ \t\n\x0B\f\r])|[^\n]+"
+# A paragraph is a line; a longer line is cut where its own text says so, behind a sentence or a
+# word with one of some last letters, after so many characters, or else at the most.
+PARAGRAPH = r"[^\n]{48,127}?(?:[.!?](?=[ \t\n\x0B\f\r])|[dnrty](?=[ \t\x0B\f\r])|[。！？।؟])|[^\n]{1,128}"
 # Digests in a bucket, at most, if they were dealt evenly; cells of a third of its first table.
 PER_BUCKET, FIRST_THIRD = 8, 4
 # Rounds of taking out digests before a table counts as too small.

@@ -74,3 +74,13 @@ def test_successors(spark, partitions):
     got = {r.k: (r.copies, r.next) for r in fp.successors(spark.createDataFrame([(i,) for i in ids], "k bigint"), partitions).collect()}
     order = sorted(set(ids), reverse=True)
     assert got == {k: (ids.count(k), n) for k, n in zip(order, [*order[1:], order[0]])}
+
+
+def test_half_equal_lines_share_digests(spark):
+    lines = ["word " * 700, "x" * 1000, "漢字" * 200, ", ".join(f"item{i}" for i in range(300)), "漢字。" * 100]
+    pairs = [(t, t[: len(t) // 2] + "other " * 50) for t in lines]
+    pairs += [(t, t[: len(t) // 2] + "!" + t[len(t) // 2 + 1 :]) for t in lines]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    near = fp.likeness(fp.digests(df.a), fp.digests(df.b))
+    for row, (a, b) in zip(df.select(near.alias("near")).collect(), pairs):
+        assert row.near == pytest.approx(like(a, b)) and row.near > 0

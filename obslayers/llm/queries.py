@@ -12,10 +12,13 @@ from obslayers.llm import (
     byte_bpe,
     chat_rotation,
     fingerprints,
+    licenses,
+    merkle,
     near_duplicates,
     packing,
     quality_classifier,
     quality_rules,
+    spelling,
     token_counts,
     url_filters,
     wrappers,
@@ -79,6 +82,18 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_check(_table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_rotation": op1_chat_rotation,
     "op2_pack_documents": op2_pack_documents,
@@ -90,10 +105,15 @@ QUERIES: dict[str, Query] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_fingerprints": op10_fingerprints,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_license_scans": op13_license_scans,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_rotation": chat_rotation.ORACLE_SQL,
     "op3_quality_rules": quality_rules.ORACLE_SQL,
     "op7_url_filters": url_filters.ORACLE_SQL,
+    "op11_merkle_manifest": merkle.ORACLE_SQL,
+    "op12_spelling_variants": spelling.ORACLE_SQL,
 }

@@ -9,7 +9,6 @@ would meet exact ties: event values have two, and their mean over 64 has up to e
 
 from __future__ import annotations
 
-import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,18 +38,23 @@ from obslayers.operators.clean import (
 )
 from obslayers.operators.inspect import first_days
 from obslayers.operators.report import report_lines
-from obslayers.plans.daily import add_new_parts, daily_table, daily_view
+from obslayers.operators.counts import PassCounts, StreamCounts
+from obslayers.plans.daily import add_new_parts, daily_table, daily_view, run_daily
 from obslayers.plans.hourly import run_hourly
+from obslayers.plans.judged import judge_new, rejected_messages, rejection_counts, usable_observations
+from obslayers.plans.live import archive, archive_with_windows
 from obslayers.plans.raw import ingest_all, ingest_new, raw_messages
 from obslayers.plans.speed import run_speed, speed_table
 from obslayers.plans.replay import write_replay
 from obslayers.schemas import EVENT_TIME, OBSERVATION, STATION, only
 from obslayers.sources.tables import append_table, read_table
 from obslayers.sources.topic import Topic, publish, read_topic, topic_records
+from obslayers.streaming.fanout import WindowFanOut
 from obslayers.streaming.keyed import KeyedTable, serve
 from obslayers.streaming.parts import DailyParts
 from obslayers.streaming.runs import UNTIL_CAUGHT_UP, drop_checkpoint, start, wait, wait_all
-from obslayers.streaming.sinks import Snapshots, to_keyed, to_parquet, to_snapshots
+from obslayers.streaming.sinks import EpochTable, Snapshots, to_keyed, to_parquet, to_snapshots
+from obslayers.streaming.state import held_windows
 from standin import (
     STAND_IN_TOPIC,
     events,
@@ -303,12 +307,11 @@ def dual_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoints = [storage.new_folder(spark, "checkpoint") for _ in range(2)]
     windows = windowed_averages(averaged, TRIAL_WINDOW, unbounded_state=True)
     keyed = to_keyed(windows, table, table.open_generation(spark, checkpoints[0]), FILES)
-    wait_all(
-        [
-            start(spark, keyed, "update", UNTIL_CAUGHT_UP, checkpoints[0]),
-            start(spark, to_parquet(rows, clean), every=UNTIL_CAUGHT_UP, checkpoint=checkpoints[1]),
-        ]
-    )
+    streams = [
+        start(spark, keyed, "update", UNTIL_CAUGHT_UP, checkpoints[0]),
+        start(spark, to_parquet(rows, clean), every=UNTIL_CAUGHT_UP, checkpoint=checkpoints[1]),
+    ]
+    wait_all(spark, streams)
     shown = [
         ("window", table.latest(spark), "window_start", "avg_temp"),
         ("observation", read_table(spark, clean), EVENT_TIME, "temperature_c"),
@@ -320,6 +323,119 @@ def dual_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(parts[0].unionByName(parts[1]))
 
 
+def _fan_out(spark: SparkSession, width: str, delay: str | None = None) -> WindowFanOut:
+    names = {name: storage.new_folder(spark, name) for name in ("rows", "windows", "parts", "late", "checkpoint")}
+    return WindowFanOut(
+        EpochTable(names["rows"]),
+        speed_table(names["windows"]),
+        DailyParts(names["parts"], width),
+        names["checkpoint"],
+        delay,
+        EpochTable(names["late"]) if delay else None,
+        FILES,
+    )
+
+
+def dual_stream_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows and rows by one stream that reads the topic once, in four resumed runs."""
+    topic, fan_out = _new_topic(spark), _fan_out(spark, TRIAL_WINDOW)
+    for piece in _in_pieces(observation_text(events(spark, sf_dir))):
+        publish(piece.select("json", "offset", "partition"), topic)
+        wait(archive_with_windows(spark, topic, fan_out, "earliest", every=UNTIL_CAUGHT_UP))
+    shown = [
+        ("window", fan_out.windows.latest(spark), "window_start", "avg_temp"),
+        ("observation", fan_out.rows.rows(spark), EVENT_TIME, "temperature_c"),
+    ]
+    parts = [
+        df.select(F.lit(part).alias("part"), STATION, F.col(time).alias("at"), F.col(value).alias("celsius"))
+        for part, df, time, value in shown
+    ]
+    return _comparable(parts[0].unionByName(parts[1]))
+
+
+def _late(spark: SparkSession, sf_dir: str) -> WindowFanOut:
+    """The third quarter of the events comes after the fourth, when all its windows have closed."""
+    topic, fan_out = _new_topic(spark), _fan_out(spark, SPEED_WINDOW, SPEED_WATERMARK)
+    first, second, third, fourth = _in_pieces(observation_text(events(spark, sf_dir)))
+    for piece in (first, second, fourth, third):
+        publish(piece.select("json", "offset", "partition"), topic)
+        wait(archive_with_windows(spark, topic, fan_out, "earliest", every=UNTIL_CAUGHT_UP))
+    return fan_out
+
+
+def late_rows_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that ``late_rows_dropped`` loses, from the side table."""
+    late = _late(spark, sf_dir).late.rows(spark)
+    return _comparable(late.select(STATION, EVENT_TIME, "temperature_c", "wind_speed", "humidity", "epoch"))
+
+
+def late_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows without the late rows, from the same stream."""
+    return _comparable(_late(spark, sf_dir).windows.latest(spark))
+
+
+def open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an append run still holds at its end, from the checkpoint's state."""
+    rows = averaged_observations(_message_stream(spark, sf_dir))
+    table, checkpoint = speed_table(storage.new_folder(spark, "windows")), storage.new_folder(spark, "checkpoint")
+    windows = windowed_averages(rows, SPEED_WINDOW, SPEED_WATERMARK)
+    writer = to_keyed(windows, table, table.open_generation(spark, checkpoint), FILES)
+    wait(start(spark, writer, "append", UNTIL_CAUGHT_UP, checkpoint))
+    return _comparable(held_windows(spark, checkpoint))
+
+
+def observed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows counted as they pass: by the daily job, and by an archive stream in four runs."""
+    topic, raw, checkpoint = _new_topic(spark), storage.new_folder(spark, "raw"), storage.new_folder(spark, "checkpoint")
+    clean, counts, passed = storage.new_folder(spark, "clean"), StreamCounts(), PassCounts()
+    pieces = _in_pieces(observation_text(events(spark, sf_dir)))
+    spark.streams.addListener(counts)
+    try:
+        for piece in pieces:
+            publish(piece.select("json", "offset", "partition"), topic)
+            query = archive(spark, topic, clean, checkpoint, "earliest", every=UNTIL_CAUGHT_UP)
+            wait(query)
+        streamed = counts.rows(query)
+    finally:
+        spark.streams.removeListener(counts)
+    ingest_all(spark, topic, raw)
+    run_daily(spark, raw, storage.new_folder(spark, "daily"), counts=passed)
+    rows = [("daily", name, n) for name, n in passed.rows().items()] + [("archive", name, n) for name, n in streamed.items()]
+    return spark.createDataFrame(rows, "job string, counted string, n bigint")
+
+
+def _judged(spark: SparkSession, sf_dir: str) -> str:
+    topic, table, checkpoint = _new_topic(spark), storage.new_folder(spark, "judged"), storage.new_folder(spark, "checkpoint")
+    for piece in _in_pieces(observation_text(events(spark, sf_dir))):
+        publish(piece.select("json", "offset", "partition"), topic)
+        wait(judge_new(spark, topic, table, checkpoint))
+    return table
+
+
+def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rejected_messages(spark, _judged(spark, sf_dir)).select("offset", "reason")
+
+
+def rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rejection_counts(spark, _judged(spark, sf_dir))
+
+
+def usable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _comparable(usable_observations(spark, _judged(spark, sf_dir)))
+
+
+def mixed_raw_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily view of a raw table whose first files have ``json`` and whose last have ``value``."""
+    raw, table = storage.new_folder(spark, "raw"), storage.new_folder(spark, "daily")
+    first, second, third, fourth = _in_pieces(observation_text(events(spark, sf_dir)))
+    for piece in (first, second):
+        append_table(piece.select("json"), raw)
+    for piece in (third, fourth):
+        append_table(piece.select(F.col("json").alias("value")), raw)
+    run_daily(spark, raw, table)
+    return _comparable(read_table(spark, table))
+
+
 # -- keyed tables and serving ------------------------------------------------------
 
 
@@ -448,6 +564,15 @@ QUERIES: dict[str, Query] = {
     "running_station": running_station,
     "stream_to_parquet": stream_to_parquet,
     "dual_stream": dual_stream,
+    "dual_stream_once": dual_stream_once,
+    "late_rows_kept": late_rows_kept,
+    "late_windows": late_windows,
+    "open_windows": open_windows,
+    "observed_counts": observed_counts,
+    "rejected_messages": rejected,
+    "rejection_counts": rejections,
+    "usable_observations": usable,
+    "mixed_raw_columns": mixed_raw_columns,
     "upsert_latest": upsert_latest,
     "upsert_after_reset": upsert_after_reset,
     "upsert_compacted": upsert_compacted,
@@ -462,10 +587,11 @@ QUERIES: dict[str, Query] = {
 
 def _extra() -> tuple[dict[str, Query], dict[str, str]]:
     """Queries and SQL of the optional subpackage, and the pipeline over it; none where it is missing."""
-    if not importlib.util.find_spec("obslayers.llm") or not importlib.util.find_spec("corpus_pipeline"):
+    try:
+        import corpus_pipeline
+        from obslayers.llm import queries as extra
+    except ImportError:
         return {}, {}
-    import corpus_pipeline
-    from obslayers.llm import queries as extra
 
     sql = dict(extra.ORACLE_SQL)
     if corpus_pipeline.ORACLE_SQL:
@@ -587,6 +713,19 @@ def oracle_sql() -> dict[str, str]:
             || ' RR=' || CAST((event_id % 7) / 10.0 AS VARCHAR) AS line
         FROM events"""
 
+    dual = f"""
+        SELECT 'window' AS part, geo_id_insee, window_start AS at, avg_temp AS celsius
+        FROM ({windows(10, time="ts_iso", wind="value")}) AS w
+        UNION ALL
+        SELECT 'observation' AS part, {station}, ts_iso AS at, round(t, 9) AS celsius FROM {m} WHERE user_id IS NOT NULL"""
+
+    # The first thing that is wrong with a message; a broken one has neither station nor time either.
+    reasons = f"""
+        SELECT event_id AS "offset", CASE WHEN event_id % 37 = 17 THEN 'null' WHEN event_id % 31 = 13 THEN 'broken'
+            WHEN event_id % 41 = 19 THEN 'off schema' WHEN user_id IS NULL THEN 'no station' WHEN ts IS NULL THEN 'no time'
+            END AS reason
+        FROM {m}"""
+
     return {
         "raw_ingest": raw,
         "raw_roundtrip": raw,
@@ -641,11 +780,32 @@ def oracle_sql() -> dict[str, str]:
                 count(*) AS nb_messages
             FROM {m} WHERE user_id IS NOT NULL GROUP BY 1""",
         "stream_to_parquet": archived,
-        "dual_stream": f"""
-            SELECT 'window' AS part, geo_id_insee, window_start AS at, avg_temp AS celsius
-            FROM ({windows(10, time="ts_iso", wind="value")}) AS w
-            UNION ALL
-            SELECT 'observation' AS part, {station}, ts_iso AS at, round(t, 9) AS celsius FROM {m} WHERE user_id IS NOT NULL""",
+        "dual_stream": dual,
+        "dual_stream_once": dual,
+        "late_rows_kept": f"""
+            SELECT {station}, ts_iso AS reference_time, round(t, 9) AS temperature_c, round(value, 9) AS wind_speed,
+                CAST(event_id % 101 AS DOUBLE) AS humidity, 3 AS epoch
+            FROM {messages(where=f"ts >= TIMESTAMP '{CUTS[1]}' AND ts < TIMESTAMP '{CUTS[2]}'")}
+            WHERE ts_iso IS NOT NULL AND user_id IS NOT NULL""",
+        "late_windows": windows(
+            6, messages(where=f"ts < TIMESTAMP '{CUTS[1]}' OR ts >= TIMESTAMP '{CUTS[2]}'"), time="ts_iso", wind="value"
+        ),
+        "open_windows": f"{windows(6)} EXCEPT ALL {closed}",
+        "observed_counts": f"""
+            SELECT 'daily' AS job, 'read' AS counted, count(*) AS n FROM {m} WHERE event_id % 37 <> 17
+            UNION ALL SELECT 'daily', 'usable', count(*) FROM {m} WHERE ts IS NOT NULL AND user_id IS NOT NULL
+            UNION ALL SELECT 'daily', 'written', count(*) FROM ({daily}) AS d
+            UNION ALL SELECT 'archive', 'read', count(*) FROM {m}
+            UNION ALL SELECT 'archive', 'written', count(*) FROM {m} WHERE user_id IS NOT NULL""",
+        "rejected_messages": f"SELECT * FROM ({reasons}) AS r WHERE reason IS NOT NULL",
+        "rejection_counts": f"SELECT reason, count(*) AS n FROM ({reasons}) AS r WHERE reason IS NOT NULL GROUP BY 1",
+        "usable_observations": f"""
+            SELECT {station}, CAST(user_id % 20 + 40 AS DOUBLE) AS lat, CAST(user_id % 10 AS DOUBLE) AS lon,
+                ts AS reference_time, round(t, 9) AS temperature_c, CAST(event_id % 101 AS DOUBLE) AS humidity,
+                round(value * 3.6, 9) AS wind_speed, CAST(event_id % 360 AS DOUBLE) AS wind_direction,
+                round((event_id % 7) / 10.0, 9) AS rain, CAST(event_id % 500 + 101000 AS DOUBLE) AS pressure
+            FROM {m} WHERE user_id IS NOT NULL AND ts IS NOT NULL""",
+        "mixed_raw_columns": daily,
         "upsert_latest": windows(6),
         "upsert_after_reset": f"""
             {windows(6, messages(where="user_id % 3 <> 0"))}

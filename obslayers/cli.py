@@ -186,11 +186,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         wait(printers[args.what](spark, _topic(args), **_stream(args)))
     elif args.job == "archive":
         if args.windows:
-            wait_all(
-                live.print_windows_and_archive(
-                    spark, _topic(args), args.table, args.checkpoint, watermark=args.watermark, **_stream(args)
-                )
+            streams = live.print_windows_and_archive(
+                spark, _topic(args), args.table, args.checkpoint, watermark=args.watermark, **_stream(args)
             )
+            wait_all(spark, streams)
         else:
             options = {**_stream(args), "by_day": args.by_day}
             wait(live.archive(spark, _topic(args), args.table, args.checkpoint, **options))

@@ -38,23 +38,39 @@ def daily_averages(df: DataFrame) -> DataFrame:
     return df.groupBy(F.col(STATION), calendar_day(F.col(EVENT_TIME)).alias("date")).agg(*_averages())
 
 
-def daily_parts(df: DataFrame) -> DataFrame:
-    """Sums and counts behind the daily averages, which add up over disjoint inputs."""
+def _sums_and_counts() -> list[Column]:
     sums = []
     for name in DAILY_MEASURES:
         sums += [F.sum(name).alias(f"{name}_sum"), F.count(name).alias(f"{name}_count")]
-    return df.groupBy(F.col(STATION), calendar_day(F.col(EVENT_TIME)).alias("date")).agg(*sums)
+    return sums
+
+
+def _averages_of_parts() -> list[Column]:
+    return [
+        F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_count")).alias(shown) for name, shown in DAILY_MEASURES.items()
+    ]
+
+
+def daily_parts(df: DataFrame) -> DataFrame:
+    """Sums and counts behind the daily averages, which add up over disjoint inputs."""
+    return df.groupBy(F.col(STATION), calendar_day(F.col(EVENT_TIME)).alias("date")).agg(*_sums_and_counts())
 
 
 def daily_from_parts(parts: DataFrame) -> DataFrame:
     """The daily averages of all the inputs that ``parts`` were taken from."""
+    return parts.groupBy(STATION, "date").agg(*_averages_of_parts())
 
-    def average(name: str) -> Column:
-        return F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_count"))
 
-    return parts.groupBy(STATION, "date").agg(
-        *[average(name).alias(shown) for name, shown in DAILY_MEASURES.items()]
-    )
+def window_parts(df: DataFrame, width: str) -> DataFrame:
+    """Sums and counts per station and window, with the day that the window begins on."""
+    parts = df.groupBy(F.col(STATION), F.window(F.col(EVENT_TIME), width)).agg(*_sums_and_counts())
+    start = F.col("window.start")
+    return parts.withColumn("window_start", start).withColumn("date", calendar_day(start)).drop("window")
+
+
+def windows_from_parts(parts: DataFrame) -> DataFrame:
+    """The window averages of all the inputs that ``parts`` were taken from."""
+    return parts.groupBy(STATION, "window_start").agg(*_averages_of_parts())
 
 
 def hourly_rollup(df: DataFrame) -> DataFrame:

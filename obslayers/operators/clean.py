@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -54,6 +54,22 @@ def with_station_and_time(df: DataFrame) -> DataFrame:
     return df.filter(F.col(STATION).isNotNull() & F.col(EVENT_TIME).isNotNull())
 
 
+def clean_decoded(
+    decoded: DataFrame, wind_in_kmh: bool = True, position: bool = False, zone: str | None = None
+) -> dict[str, Column]:
+    """The clean columns of decoded messages, by name, from the fields that are there."""
+    convert = {"t": celsius, "ff": kmh} if wind_in_kmh else {"t": celsius}
+    columns = {STATION: F.col(STATION)}
+    if position:
+        columns |= {name: F.col(name) for name in ("lat", "lon") if name in decoded.columns}
+    if EVENT_TIME in decoded.columns:
+        columns[EVENT_TIME] = in_zone(F.col(EVENT_TIME), zone)
+    for name, clean in MEASURES.items():
+        if name in decoded.columns:
+            columns[clean] = convert.get(name, lambda value: value)(F.col(name))
+    return columns
+
+
 def clean_messages(
     df: DataFrame,
     column: str = "json",
@@ -72,19 +88,9 @@ def clean_messages(
     ``zone`` shifts times to that zone's wall clock.
     """
     decoded = decode(df, schema, column)
-    timed = EVENT_TIME in decoded.columns
-    if timed:
+    if EVENT_TIME in decoded.columns:
         decoded = computed_once(decoded, EVENT_TIME, parse_time(F.col(EVENT_TIME), pattern, strict))
-    wind = kmh if wind_in_kmh else (lambda value: value)
-    convert = {"t": celsius, "ff": wind}
-    measures = [
-        convert.get(name, lambda value: value)(F.col(name)).alias(clean)
-        for name, clean in MEASURES.items()
-        if name in decoded.columns
-    ]
-    where = [F.col(name) for name in ("lat", "lon") if position and name in decoded.columns]
-    shown = [in_zone(F.col(EVENT_TIME), zone).alias(EVENT_TIME)] if timed else []
-    cleaned = decoded.select(F.col(STATION), *where, *shown, *measures)
+    cleaned = decoded.select(*[value.alias(name) for name, value in clean_decoded(decoded, wind_in_kmh, position, zone).items()])
     return with_station(cleaned) if station_required else cleaned
 
 

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from obslayers import storage
-from obslayers.functions.messages import json_column
 from obslayers.operators.aggregates import daily_averages, daily_from_parts
 from obslayers.operators.clean import daily_observations
+from obslayers.operators.counts import PassCounts
 from obslayers.operators.inspect import first_days, schema_text, show_preview
 from obslayers.schemas import DAILY_KEYS, EVENT_TIME
-from obslayers.sources.tables import append_table, read_table
+from obslayers.sources.tables import RAW_SCHEMA, append_table, either_column, read_raw, require_messages
 from obslayers.sources.topic import MAX_FILE_AGE
 from obslayers.streaming.keyed import KeyedTable
 from obslayers.streaming.parts import DailyParts
@@ -26,13 +26,21 @@ def daily_view(raw: DataFrame, by_path: bool = False, strict: bool = False) -> D
     return daily_averages(daily_observations(raw, by_path=by_path, strict=strict))
 
 
+# Names of the counts that a daily run takes.
+READ, USABLE, WRITTEN = "read", "usable", "written"
+
+
 def show_raw(raw: DataFrame, by_path: bool = False, strict: bool = False) -> None:
-    """Schema and five rows of the raw table, the number of clean rows and twenty of their times."""
+    """Schema and five rows of the raw table, and twenty times of clean rows."""
     print(schema_text(raw))
     show_preview(raw, 5)
-    clean = daily_observations(raw, by_path=by_path, strict=strict)
-    print(f"clean rows: {clean.count()}")
-    show_preview(clean.select(EVENT_TIME), 20)
+    show_preview(daily_observations(raw, by_path=by_path, strict=strict).select(EVENT_TIME), 20)
+
+
+def counted_daily(raw: DataFrame, counts: PassCounts, by_path: bool = False, strict: bool = False) -> DataFrame:
+    """The daily view, counting on the way the messages read, the usable ones and the rows of the view."""
+    clean = daily_observations(counts.of(raw, READ), by_path=by_path, strict=strict)
+    return counts.of(daily_averages(counts.of(clean, USABLE)), WRITTEN)
 
 
 def run_daily(
@@ -43,22 +51,26 @@ def run_daily(
     show: bool = False,
     by_path: bool = False,
     strict: bool = False,
+    counts: PassCounts | None = None,
 ) -> DataFrame:
     """Compute the daily view of the whole raw table and store it.
 
     Appends to the parquet ``table`` (a second run appends again) and upserts into
     the keyed ``target``. If the result is wanted more than once it is written to the
-    shared folder first, so that the raw table is scanned and parsed once. ``show``
-    prints what the raw table looks like and the view's first days.
+    shared folder first, so that the raw table is scanned and parsed once; ``counts``
+    are taken in that same pass. ``show`` prints what the raw table looks like, the
+    counts and the view's first days.
     """
-    rows = read_table(spark, raw)
-    daily = daily_view(rows, by_path, strict)
+    rows = read_raw(spark, raw)
+    counts = counts or PassCounts()
+    daily = counted_daily(rows, counts, by_path, strict)
     uses = (2 if show else 0) + (table is not None) + (target is not None)
     if uses > 1:
         daily = storage.materialize(daily, "daily")
     if show:
         show_raw(rows, by_path, strict)
-        print(f"rows: {daily.count()}")
+        passed = counts.rows()
+        print(f"messages: {passed[READ]}\nclean rows: {passed[USABLE]}\nrows: {passed[WRITTEN]}")
         show_preview(first_days(daily), 50)
     if table is not None:
         append_table(daily, table)
@@ -86,10 +98,11 @@ def add_new_parts(
     ``run_daily`` over the whole raw table, for the cost of the new part of it.
     ``per_trigger`` bounds the raw files of one micro-batch.
     """
-    reader = spark.readStream.schema(f"{json_column(read_table(spark, raw))} string").option("maxFileAge", MAX_FILE_AGE)
+    require_messages(spark, raw)
+    reader = spark.readStream.schema(RAW_SCHEMA).option("maxFileAge", MAX_FILE_AGE)
     if per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
-    observations = daily_observations(reader.parquet(raw), by_path=by_path, strict=strict)
+    observations = daily_observations(either_column(reader.parquet(raw)), by_path=by_path, strict=strict)
     table = DailyParts(parts)
     home = table.open_generation(spark, checkpoint)
     generation = None if target is None else target.open_generation(spark, checkpoint)

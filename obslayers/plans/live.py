@@ -10,11 +10,16 @@ from pyspark.sql.types import StructType
 from obslayers.functions.messages import message_text
 from obslayers.operators.aggregates import TRIAL_WINDOW, running_summary, windowed_averages
 from obslayers.operators.clean import SUMMARY_FIELDS, WINDOW_FIELDS, archive_observations
+from obslayers.operators.counts import counted
 from obslayers.schemas import EVENT_TIME, OBSERVATION, only
 from obslayers.sources.topic import Topic, stream_topic
+from obslayers.streaming.fanout import WindowFanOut
 from obslayers.streaming.runs import start
 from obslayers.streaming.sinks import claim, to_console, to_parquet
 
+# Names of the counts that the streams take.
+READ, WRITTEN = "read", "written"
+
 
 def _observations(
     spark: SparkSession,
@@ -27,7 +32,7 @@ def _observations(
     min_partitions: int | None = None,
 ) -> DataFrame:
     text = message_text(stream_topic(spark, topic, starting, since, per_trigger, min_partitions))
-    return archive_observations(text, schema=schema, station_required=station_required)
+    return archive_observations(counted(text, READ), schema=schema, station_required=station_required)
 
 
 def print_messages(
@@ -89,16 +94,48 @@ def archive(
 ) -> StreamingQuery:
     """Append clean rows to a parquet table.
 
-    ``by_day`` adds a ``reference_date`` partition column for readers that prune.
+    ``by_day`` adds a ``reference_date`` partition column for readers that prune. Every
+    micro-batch reports the messages read and the rows written (``StreamCounts``).
     """
     rows = _observations(spark, topic, starting, since, schema, True, per_trigger, min_partitions)
     if by_day:
         rows = rows.withColumn("reference_date", F.to_date(EVENT_TIME))
+    rows = counted(rows, WRITTEN)
     writer = to_parquet(rows, table, ["reference_date"] if by_day else [])
     claim(spark, table, checkpoint)
     return start(spark, writer, every=every, checkpoint=checkpoint)
 
 
+def archive_with_windows(
+    spark: SparkSession,
+    topic: Topic,
+    fan_out: WindowFanOut,
+    starting: str = "latest",
+    since: str | None = None,
+    every: str | None = None,
+    schema: StructType = OBSERVATION,
+    per_trigger: int | None = None,
+    min_partitions: int | None = None,
+) -> StreamingQuery:
+    """Clean rows, window averages and late rows by one stream, which reads and decodes each message once.
+
+    The sums of the windows are in a table instead of a state store, so nothing is held
+    between batches, and windows may stay open for ever.
+    """
+    rows = _observations(spark, topic, starting, since, schema, True, per_trigger, min_partitions)
+    return start_fan_out(spark, rows, fan_out, every)
+
+
+def start_fan_out(spark: SparkSession, rows: DataFrame, fan_out: WindowFanOut, every: str | None = None) -> StreamingQuery:
+    """Start the stream of clean ``rows`` into the tables of ``fan_out``."""
+    generations = fan_out.generations(spark)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        fan_out.write(batch, epoch, generations)
+
+    return start(spark, rows.writeStream.foreachBatch(write), every=every, checkpoint=fan_out.checkpoint)
+
+
 def print_windows_and_archive(
     spark: SparkSession,
     topic: Topic,

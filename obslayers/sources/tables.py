@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from obslayers import storage
+from obslayers.functions.messages import json_column
 
 STREAM_SINK_LOG = "_spark_metadata"
+RAW_SCHEMA = "json string, value string"
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -16,6 +19,26 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def require_messages(spark: SparkSession, path: str) -> None:
+    """Raise ValueError where a raw table has neither message column."""
+    json_column(read_table(spark, path))
+
+
+def either_column(raw: DataFrame) -> DataFrame:
+    """The message of each row, from the column that its file has."""
+    return raw.select(F.coalesce("json", "value").alias("json"))
+
+
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """The messages of a raw table, whichever of ``json`` and ``value`` each of its files has.
+
+    Both columns are asked of every file, and one that lacks a column gives nulls
+    there, so no schemas are gathered from the files and only message columns are read.
+    """
+    require_messages(spark, path)
+    return either_column(spark.read.schema(RAW_SCHEMA).parquet(path))
+
+
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Add the rows of ``df``; running it again adds them again.
 

@@ -85,6 +85,10 @@ class KeyedTable:
     def upsert(self, df: DataFrame, generation: int, epoch: int = 0) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/log/generation={generation}/epoch={epoch}")
 
+    def has(self, spark: SparkSession, generation: int, epoch: int) -> bool:
+        """Whether this epoch is written whole."""
+        return storage.exists(spark, f"{self.path}/log/generation={generation}/epoch={epoch}/_SUCCESS")
+
     # -- reading -----------------------------------------------------------------
 
     def _finished_runs(self, spark: SparkSession) -> list[int]:

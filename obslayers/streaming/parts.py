@@ -1,4 +1,4 @@
-"""Sums and counts of the daily view, written run by run and added up when read.
+"""Sums and counts of the daily view or of a view by window, written run by run and added up when read.
 
 Below ``generation=G`` a micro-batch writes ``epoch=E/date=D``, replaced when it is
 repeated. ``fold`` adds the closed epochs up to E into ``folded=E``, which counts once
@@ -12,23 +12,19 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructField, StructType, TimestampType
 
 from obslayers import storage
-from obslayers.operators.aggregates import DAILY_MEASURES, daily_parts
+from obslayers.operators.aggregates import DAILY_MEASURES, daily_parts, window_parts
 from obslayers.schemas import DAILY_KEYS, STATION
 from obslayers.streaming.generations import open_generation
 
 DONE_FILE = "_done"
-PARTS = StructType(
-    [StructField(STATION, StringType())]
-    + [
-        field
-        for name in DAILY_MEASURES
-        for field in (StructField(f"{name}_sum", DoubleType()), StructField(f"{name}_count", LongType()))
-    ]
-    + [StructField("date", DateType())]
-)
+SUMS = [
+    field
+    for name in DAILY_MEASURES
+    for field in (StructField(f"{name}_sum", DoubleType()), StructField(f"{name}_count", LongType()))
+]
 
 
 def _numbers(names: list[str], kind: str) -> list[int]:
@@ -42,7 +38,22 @@ def _write(parts: DataFrame, folder: str) -> None:
 
 @dataclass(frozen=True)
 class DailyParts:
+    """Parts per station and day, or with a ``window`` width per station and window; always filed by day."""
+
     path: str
+    window: str | None = None
+
+    @property
+    def keys(self) -> tuple[str, ...]:
+        return DAILY_KEYS if self.window is None else (STATION, "window_start", "date")
+
+    @property
+    def schema(self) -> StructType:
+        windows = [] if self.window is None else [StructField("window_start", TimestampType())]
+        return StructType([StructField(STATION, StringType()), *windows, *SUMS, StructField("date", DateType())])
+
+    def _parts(self, observations: DataFrame) -> DataFrame:
+        return daily_parts(observations) if self.window is None else window_parts(observations, self.window)
 
     def open_generation(self, spark: SparkSession, checkpoint: str) -> int:
         return open_generation(spark, self.path, checkpoint, "parts")
@@ -59,7 +70,7 @@ class DailyParts:
     def add(self, observations: DataFrame, generation: int, epoch: int) -> list[str]:
         """Write the parts of one micro-batch; returns the days it has."""
         folder = f"{self._home(generation)}/epoch={epoch}"
-        _write(daily_parts(observations), folder)
+        _write(self._parts(observations), folder)
         names = storage.children(observations.sparkSession, folder)
         return [name.removeprefix("date=") for name in names if name.startswith("date=")]
 
@@ -83,13 +94,13 @@ class DailyParts:
         if epochs:
             frames.append(self._files(spark, home, [f"{home}/epoch={epoch}" for epoch in epochs]))
         if not frames:
-            return spark.createDataFrame([], PARTS)
+            return spark.createDataFrame([], self.schema)
         return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
 
-    @staticmethod
-    def _files(spark: SparkSession, home: str, paths: list[str]) -> DataFrame:
+    def _files(self, spark: SparkSession, home: str, paths: list[str]) -> DataFrame:
         """Parts below ``paths``; an epoch without a usable message has no file at all."""
-        return spark.read.schema(PARTS).option("basePath", home).parquet(*paths).select(*PARTS.fieldNames())
+        rows = spark.read.schema(self.schema).option("basePath", home).parquet(*paths)
+        return rows.select(*self.schema.fieldNames())
 
     def read(self, spark: SparkSession, generation: int, days: Collection[str] | None = None) -> DataFrame:
         """All parts of a generation, or those of ``days``, which prunes the folders read."""
@@ -115,8 +126,8 @@ class DailyParts:
         if not closed:
             return 0
         rows = self._read(spark, generation, folded, closed)
-        sums = [F.sum(name).alias(name) for name in rows.columns if name not in DAILY_KEYS]
+        sums = [F.sum(name).alias(name) for name in rows.columns if name not in self.keys]
         target = f"{home}/folded={closed[-1]}"
-        _write(rows.groupBy(*DAILY_KEYS).agg(*sums), target)
+        _write(rows.groupBy(*self.keys).agg(*sums), target)
         storage.write_text(spark, f"{target}/{DONE_FILE}", "")
         return len(closed)

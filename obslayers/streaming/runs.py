@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
@@ -68,9 +69,28 @@ def wait_any(spark: SparkSession, seconds: float | None = None) -> bool:
     return bool(spark.streams.awaitAnyTermination(seconds))
 
 
-def wait_all(queries: Iterable[StreamingQuery]) -> None:
-    for query in queries:
-        query.awaitTermination()
+def wait_all(spark: SparkSession, queries: Iterable[StreamingQuery]) -> None:
+    """Wait until all ``queries`` have ended; when one fails, stop the others and raise its error.
+
+    Streams of the session that are not among ``queries`` may end or fail meanwhile. Other
+    waiters for any stream of the session miss those that end in between.
+    """
+    queries = list(queries)
+    while True:
+        # Whatever ends after this wakes the wait below, so nothing is missed in between.
+        spark.streams.resetTerminated()
+        failed = next((q for q in queries if not q.isActive and q.exception() is not None), None)
+        if failed is not None:
+            for query in queries:
+                if query.isActive:
+                    query.stop()
+            raise failed.exception()
+        if not any(query.isActive for query in queries):
+            return
+        try:
+            spark.streams.awaitAnyTermination()
+        except StreamingQueryException:
+            continue
 
 
 def drop_checkpoint(spark: SparkSession, checkpoint: str) -> None:

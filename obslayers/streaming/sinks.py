@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from obslayers import storage
 from obslayers.sources.tables import STREAM_SINK_LOG
+from obslayers.streaming.generations import open_generation
 
 # Files, and writing tasks, of a micro-batch's upsert unless a sink is told otherwise.
 EPOCH_FILES = 32
@@ -94,6 +95,41 @@ class Snapshots:
         return spark.read.parquet(f"{self.path}/epoch={epochs[-1]}")
 
 
+@dataclass(frozen=True)
+class EpochTable:
+    """Rows filed by the micro-batch that wrote them; an epoch counts once Spark has marked its folder.
+
+    A new checkpoint begins a new generation, and readers see the newest one.
+    """
+
+    path: str
+
+    def open_generation(self, spark: SparkSession, checkpoint: str, note: str) -> int:
+        return open_generation(spark, self.path, checkpoint, note)
+
+    def _folder(self, generation: int, epoch: int) -> str:
+        return f"{self.path}/generation={generation}/epoch={epoch}"
+
+    def has(self, spark: SparkSession, generation: int, epoch: int) -> bool:
+        return storage.exists(spark, f"{self._folder(generation, epoch)}/_SUCCESS")
+
+    def write(self, rows: DataFrame, generation: int, epoch: int) -> None:
+        rows.write.mode("overwrite").parquet(self._folder(generation, epoch))
+
+    def epoch(self, spark: SparkSession, generation: int, epoch: int) -> DataFrame:
+        return spark.read.parquet(self._folder(generation, epoch))
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """All rows of the newest generation, with its ``epoch``."""
+        generations = [name for name in storage.children(spark, self.path) if name.startswith("generation=")]
+        newest = max((int(name.split("=")[1]) for name in generations), default=0)
+        home = f"{self.path}/generation={newest}"
+        epochs = [name for name in storage.children(spark, home) if storage.exists(spark, f"{home}/{name}/_SUCCESS")]
+        if not epochs:
+            raise ValueError(f"nothing written to {self.path} yet")
+        return spark.read.option("basePath", home).parquet(*[f"{home}/{name}" for name in epochs])
+
+
 def to_snapshots(df: DataFrame, snapshots: Snapshots) -> DataStreamWriter:
     """Write the whole result of each trigger; for complete mode."""
     return df.writeStream.foreachBatch(snapshots.write)

@@ -355,7 +355,7 @@ def test_console_streams(spark, tmp_path):
     shown["window"], archived = live.print_windows_and_archive(
         spark, folder.topic, table, str(tmp_path / "c"), **options
     )
-    wait_all([*shown.values(), archived])
+    wait_all(spark, [*shown.values(), archived])
     first = {name: query.recentProgress[0]["sink"] for name, query in shown.items()}
     assert all("Console" in sink["description"] for sink in first.values())
     # Raw text and unfiltered rows show both messages, the others only the usable one.

@@ -1,278 +1,270 @@
 """Document fingerprints as invertible Bloom lookup sketches (operator 10), in built-in functions only.
 
-A text is the multiset of its paragraphs' digests. They are dealt into buckets of about
-eight, and each bucket is a small table of cells: a digest goes to three of them, and a
-cell holds how many came and the exclusive or of them and of their check values. The
-cells of a text are its fingerprint.
-
-Two texts are compared by subtracting their cells: what they share cancels out. A cell
-with one digest left gives it away; taking it out of its other cells frees further
-ones, round by round, until the digests in which the texts differ are all recovered. Where
-cells with several digests are left, the bucket is tried again with tables of twice
-the size. Likeness is the share of common digests among all (Jaccard).
-
-Order and texts: a document's successor is found among the ids alone, by ranges; the
-texts are then dealt out by id once, and the wanted beginnings of successors once more.
+A text is the multiset of its paragraphs' digests. A digest goes to three cells of a table, one
+in each third of it, and a cell holds how many came and the exclusive or of them; a digest
+carries a check value in its lower bits. The cells of a text are its fingerprint. A third has a
+power of two of cells, at least half as many as the text has digests.
+
+Two texts are compared by subtracting their cells: what they share cancels out. A cell with one
+digest left gives it away; taking it out of its other two cells frees further ones, third by third,
+until the digests in which the texts differ are all recovered. Pairs of texts with cells left are tried
+again with larger tables, and what is left then by the digests themselves. Tables of different
+sizes meet at the larger one. Likeness is the share of common digests among all (Jaccard).
+
+Cells are rows, summed by Spark's aggregates. All rows of a pair of texts stay in the task that the
+pair's paragraph hashes were dealt to, so the rounds need no exchange.
+
+Order and texts: rows are told apart by 128 bits over id and text. A document's successor is found
+among these and the ids alone, by ranges; texts are dealt out once, and the wanted beginnings of
+successors once more. Rows equal in id and text are worked on once and counted.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from obslayers.storage import materialize
+from obslayers.storage import Scratch, materialize
 
 # A paragraph is a line; a longer line is cut where its own text says so, behind a sentence or a
 # word with one of some last letters, after so many characters, or else at the most.
 PARAGRAPH = r"[^\n]{48,127}?(?:[.!?](?=[ \t\n\x0B\f\r])|[dnrty](?=[ \t\x0B\f\r])|[。！？।؟])|[^\n]{1,128}"
-# Digests in a bucket, at most, if they were dealt evenly; cells of a third of its first table.
-PER_BUCKET, FIRST_THIRD = 8, 4
-# Rounds of taking out digests before a table counts as too small.
-ROUNDS = 24
-# The place of rows without an id: behind all others.
-NO_ID = -(2**63)
-
-
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def _power_of_two(n: Column) -> Column:
-    """The least power of two that is not below ``n``."""
-    return F.pow(F.lit(2.0), F.greatest(F.ceil(F.log2(F.greatest(n, F.lit(1)).cast("double"))), F.lit(0))).cast("int")
-
-
-def digests(text: Column) -> Column:
-    """One 64-bit value per paragraph; the second of two equal paragraphs has another one."""
-    paragraphs = F.regexp_extract_all(text, F.lit(f"({PARAGRAPH})"), F.lit(0))
-    ordered = F.sort_array(F.transform(paragraphs, lambda p: F.xxhash64(p)))
-    return _let(
-        ordered,
-        lambda s: F.when(
-            F.size(F.array_distinct(s)) == F.size(s), F.transform(s, lambda x: F.xxhash64(x, F.lit(1)))
-        ).otherwise(F.transform(s, lambda x, i: F.xxhash64(x, i + 2 - F.array_position(s, x).cast("int")))),
-    )
+# Cells of the smallest third; lower bits of a digest that check the others.
+LEAST_THIRD, CHECK_BITS = 4, 24
+# Rounds, each over one third, before a table counts as too small; how much larger the tables of each try are.
+ROUNDS, TRIES = 9, (1, 4, 32)
+# Repeated rows, by id and text, up to which every executor gets a copy of their digests (some 40 bytes each).
+BROADCAST_ROWS = 200_000
+# Copies of a row that one task writes out at a time.
+COPIES = 4096
+# The pairs that a document is compared in, and how much larger their first tables are: unlike texts
+# have twice as many digests apart as the larger has.
+EDITED, NEXT = 0, 1
+START = {EDITED: 1, NEXT: 2}
+# Cells of the rows that hold what was found: digests of the first text alone, of the second alone.
+FIRST, SECOND = -1, -2
 
 
-def _check(key: Column) -> Column:
-    return F.xxhash64(key, F.lit("check")).bitwiseAND(F.lit(0xFFFFFFFF))
+def paragraph_hashes(text: Column) -> Column:
+    """A 64-bit hash per paragraph; equal paragraphs have equal ones."""
+    return F.transform(F.regexp_extract_all(text, F.lit(f"({PARAGRAPH})"), F.lit(0)), lambda p: F.xxhash64(p))
 
 
-def _placed(keys: Column, third: Column) -> Column:
-    """Keys with check value and their cells, one in each third of a table."""
+def third_of(n: Column) -> Column:
+    """Cells of a third of the table for ``n`` digests: a power of two, at least half of ``n``."""
+    wanted = F.greatest(n / 2, F.lit(LEAST_THIRD)).cast("double")
+    return F.pow(F.lit(2.0), F.ceil(F.log2(wanted))).cast("int")
 
-    def place(key: Column) -> Column:
-        mask = (third - 1).cast("bigint")
 
-        def cells(h: Column) -> Column:
-            return F.struct(
-                key.alias("key"),
-                _check(key).alias("check"),
-                h.bitwiseAND(mask).cast("int").alias("a"),
-                (F.shiftrightunsigned(h, 20).bitwiseAND(mask).cast("int") + third).alias("b"),
-                (F.shiftrightunsigned(h, 40).bitwiseAND(mask).cast("int") + third * 2).alias("c"),
-            )
+def _partitions(df: DataFrame) -> int:
+    """The session's shuffle partitions, asked for by number: hashes are small for the work they make, and are not put together by size."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-        return _let(F.xxhash64(key, third), cells)
 
-    return F.transform(keys, place)
+# -- cells ---------------------------------------------------------------------------
 
 
-def _cell(n: Column, key: Column, check: Column) -> Column:
-    return F.struct(n.cast("int").alias("n"), key.cast("bigint").alias("key"), check.cast("bigint").alias("check"))
+def _checked(value: Column) -> Column:
+    """The digest bits of a hash with check bits below them."""
+    digest = F.shiftleft(F.shiftrightunsigned(value, CHECK_BITS), CHECK_BITS)
+    return digest.bitwiseOR(F.xxhash64(digest, F.lit("check")).bitwiseAND(F.lit((1 << CHECK_BITS) - 1)))
 
 
-def _cells(keys: Column, third: Column) -> Column:
-    """The table of ``keys``: three times ``third`` cells."""
-    zero = _cell(F.lit(0), F.lit(0), F.lit(0))
+def _places(digest: Column, third: Column) -> list[Column]:
+    """The three cells of a digest."""
+    h, mask = F.xxhash64(digest, third), (third - 1).cast("bigint")
+    return [F.shiftrightunsigned(h, 20 * j).bitwiseAND(mask).cast("int") + third * j for j in range(3)]
 
-    def filled(placed: Column) -> Column:
-        def cell(i: Column) -> Column:
-            here = F.filter(placed, lambda k: (k["a"] == i) | (k["b"] == i) | (k["c"] == i))
-            return F.aggregate(
-                here,
-                zero,
-                lambda c, k: _cell(c["n"] + 1, c["key"].bitwiseXOR(k["key"]), c["check"].bitwiseXOR(k["check"])),
-            )
 
-        return F.transform(F.sequence(F.lit(0), third * 3 - 1), cell)
+def digest_rows(texts: DataFrame, keys: list[str], hashes: str = "hashes") -> DataFrame:
+    """Per text, named by ``keys``, its digests: the second of two equal paragraphs has another one."""
+    each = texts.select(*keys, F.explode(hashes).alias("hash"))
+    counted = each.groupBy(*keys, "hash").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    numbered = counted.select(*keys, "hash", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("nth"))
+    return numbered.select(*keys, _checked(F.xxhash64("hash", "nth")).alias("digest"))
 
-    return _let(_placed(keys, third), filled)
 
+def cell_rows(digests: DataFrame, keys: list[str], weight: Column) -> DataFrame:
+    """The cells of tables named by ``keys``, of which one is ``third``: counts ``n`` by ``weight``, digests together."""
+    placed = digests.select(*keys, "digest", weight.alias("n"), F.explode(F.array(*_places(F.col("digest"), F.col("third")))).alias("cell"))
+    return placed.groupBy(*keys, "cell").agg(F.sum("n").cast("int").alias("n"), F.expr("bit_xor(digest)").alias("digest"))
 
-def _peeled(cells: Column, third: Column) -> Column:
-    """What is left of the cells, and the digests taken out: of the first text, of the second."""
-    none = F.array().cast("array<bigint>")
-    start = F.struct(cells.alias("cells"), none.alias("first"), none.alias("second"), F.lit(True).alias("live"))
 
-    def freed(state: Column) -> Column:
-        single = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["check"] == _check(c["key"])))
-        return F.array_distinct(F.transform(single, lambda c: F.struct(c["n"].alias("n"), c["key"].alias("key"))))
+# -- differences ---------------------------------------------------------------------
 
-    def without(state: Column, found: Column) -> Column:
-        signs = F.zip_with(
-            _placed(F.transform(found, lambda f: f["key"]), third), found, lambda p, f: F.struct(p.alias("p"), f["n"].alias("n"))
-        )
 
-        def reduced(signed: Column) -> Column:
-            def cell(c: Column, i: Column) -> Column:
-                here = F.filter(signed, lambda s: (s["p"]["a"] == i) | (s["p"]["b"] == i) | (s["p"]["c"] == i))
-                return F.aggregate(
-                    here,
-                    _cell(c["n"], c["key"], c["check"]),
-                    lambda acc, s: _cell(
-                        acc["n"] - s["n"],
-                        acc["key"].bitwiseXOR(s["p"]["key"]),
-                        acc["check"].bitwiseXOR(s["p"]["check"]),
-                    ),
-                )
-
-            return F.transform(state["cells"], cell)
-
-        def of(n: int) -> Column:
-            return F.transform(F.filter(found, lambda f: f["n"] == n), lambda f: f["key"])
-
-        return F.struct(
-            _let(signs, reduced).alias("cells"),
-            F.concat(state["first"], of(1)).alias("first"),
-            F.concat(state["second"], of(-1)).alias("second"),
-            (F.size(found) > 0).alias("live"),
-        )
+def _round(cells: DataFrame, j: int, listed: bool) -> DataFrame:
+    """One round: every digest that is alone in a cell of third ``j`` becomes a found one and leaves its other cells.
 
-    def step(state: Column, _: Column) -> Column:
-        return F.when(~state["live"], state).otherwise(_let(freed(state), lambda found: without(state, found)))
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step)
-
-
-def _differing(a: Column, b: Column) -> Column:
-    """Digests of one bucket that only ``a`` has, and only ``b``: tables of growing size."""
-    none = F.array().cast("array<bigint>")
-    start = F.struct(F.lit(False).alias("done"), none.alias("first"), none.alias("second"))
-
-    def attempt(third: Column) -> Column:
-        def minus(x: Column, y: Column) -> Column:
-            return _cell(x["n"] - y["n"], x["key"].bitwiseXOR(y["key"]), x["check"].bitwiseXOR(y["check"]))
-
-        left = F.zip_with(_cells(a, third), _cells(b, third), minus)
-
-        def result(state: Column) -> Column:
-            full = F.exists(state["cells"], lambda c: (c["n"] != 0) | (c["key"] != 0) | (c["check"] != 0))
-            return F.struct((~full).alias("done"), state["first"].alias("first"), state["second"].alias("second"))
-
-        return _let(_peeled(left, third), result)
-
-    # The last table has sixteen cells for each digest; where even that fails, which a
-    # few in a billion may, the digests themselves are compared.
-    sizes = F.transform(
-        F.sequence(F.lit(0), F.ceil(F.log2((F.size(a) + F.size(b) + 1).cast("double"))).cast("int") + 1),
-        lambda i: (F.lit(FIRST_THIRD) * F.pow(F.lit(2.0), i)).cast("int"),
-    )
-    tried = F.aggregate(sizes, start, lambda acc, third: F.when(acc["done"], acc).otherwise(attempt(third)))
-    exact = F.struct(
-        F.lit(True).alias("done"), F.array_except(a, b).alias("first"), F.array_except(b, a).alias("second")
+    A digest has one cell in a third, so none is taken out twice.
+    """
+    digest, third, n = F.col("digest"), F.col("third"), F.col("n")
+    places = _places(digest, third)
+    alone = (F.abs(n) == 1) & (F.col("cell") == places[j]) & (_checked(digest) == digest)
+
+    def row(cell: Column, count: Column, found: Column) -> Column:
+        return F.struct(cell.alias("cell"), count.alias("n"), found.alias("found"))
+
+    none = F.lit(0).cast("bigint")
+    others = [row(places[i], -n, none) for i in range(3) if i != j]
+    taken = F.array(row(F.when(n > 0, FIRST).otherwise(SECOND), n, digest if listed else none), *others)
+    same = F.array(row(F.col("cell"), n, F.col("found")))
+    moved = cells.select("pair", "third", "digest", F.inline(F.when(alone, taken).otherwise(same)))
+    summed = moved.groupBy("pair", "third", "cell", "found").agg(
+        F.sum("n").cast("int").alias("n"), F.expr("bit_xor(digest)").alias("digest")
     )
-    return _let(tried, lambda t: F.when(t["done"], t).otherwise(exact))
-
+    return summed.where("n <> 0 or digest <> 0")
 
-def _buckets(n: Column) -> Column:
-    return _power_of_two(F.ceil(n / PER_BUCKET))
 
-
-def _in_bucket(keys: Column, bucket: Column, buckets: Column) -> Column:
-    mask = (buckets - 1).cast("bigint")
-    return F.filter(keys, lambda k: F.xxhash64(k, F.lit("bucket")).bitwiseAND(mask) == bucket)
-
-
-def differences(a: Column, b: Column) -> Column:
-    """Per bucket the recovered digests of two arrays of digests: ``first`` and ``second``."""
-
-    def all_buckets(n: Column) -> Column:
-        each = F.sequence(F.lit(0), n - 1)
-
-        def one(i: Column) -> Column:
-            both = F.struct(_in_bucket(a, i, n).alias("a"), _in_bucket(b, i, n).alias("b"))
-            return _let(both, lambda x: _differing(x["a"], x["b"]))
-
-        return F.transform(each, one)
-
-    return _let(_buckets(F.greatest(F.size(a), F.size(b))), all_buckets)
-
-
-def likeness(a: Column, b: Column) -> Column:
-    """The share of common digests among all, from the recovered differences; 1 for no digests."""
-    apart = F.aggregate(
-        differences(a, b), F.lit(0), lambda n, d: n + F.size(d["first"]) + F.size(d["second"])
-    )
-    return _let(
-        apart.cast("double"),
-        lambda d: F.when(F.size(a) + F.size(b) == 0, 1.0).otherwise(1 - 2 * d / (F.size(a) + F.size(b) + d)),
+def _sides(pairs: DataFrame) -> Column:
+    return F.inline(
+        F.array(
+            F.struct(F.lit(1).alias("side"), F.col("first").alias("hashes")),
+            F.struct(F.lit(-1).alias("side"), F.col("second").alias("hashes")),
+        )
     )
 
 
-def fingerprint(keys: Column) -> Column:
-    """The first tables of all buckets as text: number, digests, check values of each cell."""
+def differences(pairs: DataFrame, factor: int = 1, listed: bool = True) -> DataFrame:
+    """What peeling recovers of pairs of texts, and the cells that are left (``cell`` of 0 and more).
 
-    def cell(c: Column) -> Column:
-        full = F.concat_ws(".", c["n"].cast("string"), F.hex(c["key"]), F.hex(c["check"]))
-        return F.when(c["n"] == 0, "").otherwise(full)
+    ``pairs`` has a unique ``pair``, the paragraph hashes ``first`` and ``second``, and how much larger its
+    tables ``start``. They are those of the larger text, times that and ``factor``. A digest of the first
+    text alone is a row of cell -1 with ``n`` 1, one of the second of cell -2 with -1; not ``listed``, each
+    cell is one row with their sum.
+    """
+    third = third_of(F.greatest(F.size("first"), F.size("second"))) * F.col("start") * factor
+    dealt = pairs.select("pair", third.alias("third"), "first", "second").repartition(_partitions(pairs), "pair")
+    digests = digest_rows(dealt.select("pair", "third", _sides(pairs)), ["pair", "third", "side"])
+    cells = cell_rows(digests, ["pair", "third"], F.col("side")).where("n <> 0 or digest <> 0")
+    cells = cells.withColumn("found", F.lit(0).cast("bigint"))
+    for i in range(ROUNDS):
+        cells = _round(cells, i % 3, listed)
+    return cells
+
+
+def _plain_differences(pairs: DataFrame) -> DataFrame:
+    """How many digests are apart, by the digests themselves, for pairs that no table has decoded."""
+    digests = digest_rows(pairs.select("pair", _sides(pairs)), ["pair", "side"])
+    alone = digests.groupBy("pair", "digest").agg(F.sum("side").alias("n")).where("n <> 0")
+    return alone.groupBy("pair").agg(F.count(F.lit(1)).alias("apart"))
+
+
+def apart(pairs: DataFrame) -> DataFrame:
+    """For every pair that differs the number of digests that one of both has alone; a written table."""
+    left, done = pairs, []
+    is_found = F.col("cell") < 0
+    for factor in TRIES:
+        found = differences(left, factor, listed=False).groupBy("pair")
+        found = found.agg(F.sum(F.when(is_found, F.abs("n")).otherwise(0)).alias("apart"), F.count_if(~is_found).alias("stuck"))
+        found = materialize(found, "apart")
+        done.append(found.where("stuck = 0").select("pair", "apart"))
+        stuck = found.where("stuck > 0").select("pair")
+        if stuck.isEmpty():
+            break
+        left = pairs.join(stuck, "pair", "left_semi")
+    else:
+        done.append(_plain_differences(left))
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return materialize(out, "differences")
+
+
+def likeness(first: Column, second: Column, apart: Column) -> Column:
+    """The share of common digests among all, from the sizes and the number apart; 1 for no digests."""
+    every = (first + second).cast("double")
+    return F.when(every == 0, 1.0).otherwise((every - apart) / (every + apart))
+
+
+# -- fingerprints --------------------------------------------------------------------
+
+
+def fingerprints(texts: DataFrame, keys: list[str]) -> DataFrame:
+    """The ``fingerprint`` of texts named by ``keys``, from their paragraph ``hashes``; texts without any have no row.
+
+    Text: the cells of a third, then every cell by number, its count (if not 1) and its digests together.
+    """
+    sized = texts.select(*keys, third_of(F.size("hashes")).alias("third"), "hashes").repartition(_partitions(texts), *keys)
+    cells = cell_rows(digest_rows(sized, [*keys, "third"]), [*keys, "third"], F.lit(1))
+    together = F.regexp_replace(F.base64(F.unhex(F.lpad(F.hex("digest"), 16, "0"))), "=", "")
+    shown = F.concat(F.col("cell").cast("string"), F.when(F.col("n") != 1, F.concat(F.lit("*"), F.col("n"))).otherwise(""), F.lit(":"), together)
+    listed = F.sort_array(F.collect_list(F.struct("cell", shown.alias("shown"))))
+    whole = cells.groupBy(*keys, "third").agg(listed.alias("cells"))
+    text = F.concat(F.col("third").cast("string"), F.lit(" "), F.array_join(F.transform("cells", lambda c: c["shown"]), " "))
+    return whole.select(*keys, text.alias("fingerprint"))
 
-    def all_buckets(n: Column) -> Column:
-        tables = F.transform(F.sequence(F.lit(0), n - 1), lambda i: _cells(_in_bucket(keys, i, n), F.lit(FIRST_THIRD)))
-        return F.array_join(F.transform(F.flatten(tables), cell), "|")
 
-    return _let(_buckets(F.size(keys)), all_buckets)
+# -- documents and their successors --------------------------------------------------
 
 
-def successors(ids: DataFrame, partitions: int) -> DataFrame:
-    """For every distinct ``k`` of ``ids`` how often it is there, and the next lower one.
+def successors(rows: DataFrame, partitions: int) -> DataFrame:
+    """The ``rows`` (unique h1, h2, and id) with the name of the row behind each (``next1``, ``next2``).
 
-    Behind the lowest comes the highest. The ids are dealt out by ranges, numbered by
-    partition in a written table, and linked within the ranges; only one id per range
-    goes to a single task.
+    Rows stand by descending id, those without one last, those of one id by their names. Behind
+    the last comes the first. They are dealt out by ranges of id and name together, so one id may
+    have any number of them; only one row per range goes to a single task.
     """
-    counted = ids.groupBy("k").agg(F.count(F.lit(1)).alias("copies"))
-    ranged = counted.repartitionByRange(partitions, F.desc("k")).withColumn("part", F.spark_partition_id())
+    order = [F.desc_nulls_last("id"), F.asc("h1"), F.asc("h2")]
+    ranged = rows.repartitionByRange(partitions, *order).withColumn("part", F.spark_partition_id())
     ranged = materialize(ranged, "ranges")
-    inner = F.lead("k").over(Window.partitionBy("part").orderBy(F.desc("k")))
-    heads = ranged.groupBy("part").agg(F.max("k").alias("head"))
-    order = Window.orderBy("part")
-    everything = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    following = F.coalesce(F.lead("head").over(order), F.first("head").over(everything))
+    name = F.struct("h1", "h2")
+    inner = F.lead(name).over(Window.partitionBy("part").orderBy(*order))
+    heads = ranged.groupBy("part").agg(F.min_by(name, F.struct(F.col("id").isNull(), -F.col("id").cast("decimal(20,0)"), "h1", "h2")).alias("head"))
+    parts = Window.orderBy("part")
+    everything = parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    following = F.coalesce(F.lead("head").over(parts), F.first("head").over(everything))
     heads = heads.select("part", following.alias("following"))
-    linked = ranged.withColumn("inner", inner).join(heads, "part")
-    return linked.select("k", "copies", F.coalesce("inner", "following").alias("next"))
+    linked = ranged.withColumn("inner", inner).join(heads, "part").withColumn("next", F.coalesce("inner", "following"))
+    return linked.drop("part", "inner", "following").withColumns({"next1": F.col("next.h1"), "next2": F.col("next.h2")}).drop("next")
+
 
+def _texts(base: DataFrame, counted: DataFrame) -> DataFrame:
+    """Every text once by its row's name: those of repeated rows are gathered, the others pass."""
+    base = base.select("h1", "h2", "text")
+    repeated = counted.where("n > 1").select("h1", "h2")
+    n = repeated.count()
+    if not n:
+        return base
+    repeated = F.broadcast(repeated) if n <= BROADCAST_ROWS else repeated
+    several = base.join(repeated, ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.first("text").alias("text"))
+    return base.join(repeated, ["h1", "h2"], "left_anti").unionByName(several)
 
-def edited_and_next(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Per row ``k``, ``text``, the beginning of the next document and that one's digests.
 
-    ``k`` is the id, or ``NO_ID``. Rows with equal ids follow each other by their texts.
+def paragraphs(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """Per document its size, the digest of its edited text, and the paragraph hashes of own, edited and next text.
+
+    One row for all rows equal in id and text (``times``) but the last of them, whose next is another
+    document and which has a row of its own. ``row`` numbers them; it holds once they are written.
     """
-    spark = docs.sparkSession
-    base = docs.select(
-        F.coalesce(docs[id_column].cast("bigint"), F.lit(NO_ID)).alias("k"), F.coalesce(docs[text_column], F.lit("")).alias("text")
-    )
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    linked = materialize(successors(base.select("k"), partitions), "successors")
-    numbered = base.withColumn("copy", F.row_number().over(Window.partitionBy("k").orderBy("text")))
-    wanted = numbered.join(linked, "k").select(
-        F.when(F.col("copy") < F.col("copies"), F.col("k")).otherwise(F.col("next")).alias("of"),
-        F.when(F.col("copy") < F.col("copies"), F.col("copy") + 1).otherwise(F.lit(1)).alias("of_copy"),
-        F.col("k").alias("by"),
-        F.col("copy").alias("by_copy"),
-        F.floor(F.length("text") / 2).cast("int").alias("half"),
-    )
-    # The second condition is no join key, so both joins use the texts as dealt by k.
-    other = numbered.join(wanted, (F.col("k") == F.col("of")) & (F.col("copy") - F.col("of_copy") == 0))
-    beginnings = other.select(
-        "by", "by_copy", F.substring("text", F.lit(1), F.col("half")).alias("beginning"), digests(F.col("text")).alias("next_keys")
-    )
-    mine = (F.col("k") == F.col("by")) & (F.col("copy") - F.col("by_copy") == 0)
-    return numbered.join(beginnings, mine).select("k", "text", "beginning", "next_keys")
+    text = F.coalesce(docs[text_column], F.lit(""))
+    key = docs[id_column].cast("bigint")
+    base = docs.select(key.alias("id"), text.alias("text"))
+    # A null is passed over in a hash, so it says itself that it is one.
+    whole = [F.col("id").isNull(), F.col("id"), F.col("text")]
+    base = base.withColumns({"h1": F.xxhash64(*whole), "h2": F.xxhash64(F.lit(1), *whole)})
+    counted = base.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("id"), F.max(F.length("text")).alias("n_chars"))
+    counted = materialize(counted, "rows")
+    linked = successors(counted, _partitions(docs))
+    half = F.floor(F.col("n_chars") / 2).cast("int").alias("half")
+    last = F.struct(F.lit(1).cast("bigint").alias("times"), F.col("next1"), F.col("next2"))
+    equal = F.struct((F.col("n") - 1).alias("times"), F.col("h1").alias("next1"), F.col("h2").alias("next2"))
+    ways = F.when(F.col("n") > 1, F.array(last, equal)).otherwise(F.array(last))
+    wanted = linked.select(F.col("h1").alias("by1"), F.col("h2").alias("by2"), "id", "n_chars", half, F.inline(ways))
+    wanted = materialize(wanted.withColumnsRenamed({"next1": "h1", "next2": "h2"}), "successors")
+    # Both joins deal out the same columns of the texts in the same way, so the texts are dealt out once.
+    texts = _texts(base, counted).withColumn("mine", paragraph_hashes(F.col("text")))
+    begun = texts.join(wanted, ["h1", "h2"]).select(
+        F.col("by1").alias("h1"), F.col("by2").alias("h2"), "times", "id", "n_chars", "half",
+        F.substring("text", F.lit(1), F.col("half")).alias("beginning"), F.col("mine").alias("next"),
+    )
+    kept = F.substring("text", F.lit(1), F.col("n_chars") - F.col("half"))
+    both = texts.join(begun, ["h1", "h2"]).withColumn("edited", F.concat(kept, "beginning"))
+    return both.select(
+        F.monotonically_increasing_id().alias("row"), "times", "id", F.col("n_chars").cast("bigint").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "mine", paragraph_hashes(F.col("edited")).alias("edited"), "next",
+    )
 
 
 def fingerprint_edits(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -281,28 +273,53 @@ def fingerprint_edits(docs: DataFrame, id_column: str = "doc_id", text_column: s
     The edited text has the last half of the code points replaced by as many of the next
     document in descending order of ids (after the last: the first), or all of it. A null
     text counts as empty; a row without an id comes after all others; rows that share an
-    id follow each other in the order of their texts. An empty text has no paragraphs:
-    its fingerprint is that of no digests, and its likeness to another such text is 1.
+    id follow each other in a fixed order. Ids are whole numbers, or text that says one. An empty text has no
+    paragraphs: its fingerprint is that of no digests, and its likeness to another such text is 1.
+    Only these two columns are read.
     """
-    rows = edited_and_next(docs, id_column, text_column)
-    n = F.length("text")
-    edited = F.concat(F.substring("text", F.lit(1), n - F.floor(n / 2).cast("int")), F.col("beginning"))
-    texts = rows.select("k", "text", "next_keys", edited.alias("edited"))
-    keyed = texts.select(
-        "k",
-        F.length("text").cast("bigint").alias("n_chars"),
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        digests(F.col("text")).alias("keys"),
-        digests(F.col("edited")).alias("edited_keys"),
-        "next_keys",
+    with Scratch(docs.sparkSession) as own:
+        rows = paragraphs(docs, id_column, text_column)
+    rows = materialize(rows, "paragraphs")
+    own.clear()
+    with Scratch(docs.sparkSession) as own:
+        pair = F.inline(
+            F.array(
+                *[
+                    F.struct((F.col("row") * 2 + p).alias("pair"), F.lit(START[p]).alias("start"), F.col(other).alias("second"))
+                    for p, other in ((EDITED, "edited"), (NEXT, "next"))
+                ]
+            )
+        )
+        found = apart(rows.select(F.col("mine").alias("first"), pair))
+        number = {p: F.sum(F.when(F.pmod("pair", F.lit(2)) == p, F.col("apart"))).alias(f"apart{p}") for p in START}
+        by_row = found.groupBy(F.shiftright("pair", 1).alias("row")).agg(*number.values())
+    by_row = materialize(by_row, "likeness")
+    own.clear()
+    version = F.inline(
+        F.array(*[F.struct((F.col("row") * 2 + v).alias("text"), F.col(c).alias("hashes")) for v, c in ((0, "mine"), (1, "edited"))])
     )
-    keys, edited_keys, next_keys = F.col("keys"), F.col("edited_keys"), F.col("next_keys")
-    return keyed.select(
-        F.when(F.col("k") != NO_ID, F.col("k")).alias(id_column),
+    shown = fingerprints(rows.select(version), ["text"])
+    either = [F.max(F.when(F.pmod("text", F.lit(2)) == v, F.col("fingerprint"))).alias(f"shown{v}") for v in (0, 1)]
+    shown = shown.groupBy(F.shiftright("text", 1).alias("row")).agg(*either)
+    sizes = rows.select("row", "times", "id", "n_chars", "edited_sha256", *[F.size(c).alias(f"n_{c}") for c in ("mine", "edited", "next")])
+    whole = sizes.join(shown, "row", "left").join(by_row, "row", "left")
+    empty = F.lit(f"{LEAST_THIRD} ")
+
+    def near(other: str, pair: int) -> Column:
+        return likeness(F.col("n_mine"), F.col(f"n_{other}"), F.coalesce(f"apart{pair}", F.lit(0)))
+
+    result = whole.select(
+        F.col("id").alias(id_column),
         "n_chars",
         "edited_sha256",
-        fingerprint(keys).alias("fingerprint"),
-        fingerprint(edited_keys).alias("edited_fingerprint"),
-        likeness(keys, edited_keys).alias("near_edited"),
-        likeness(keys, next_keys).alias("near_next"),
+        F.coalesce("shown0", empty).alias("fingerprint"),
+        F.coalesce("shown1", empty).alias("edited_fingerprint"),
+        near("edited", EDITED).alias("near_edited"),
+        near("next", NEXT).alias("near_next"),
+        "times",
     )
+    # Nearly all rows are there once; of the others some thousands are written out together.
+    pieces = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("times") - 1) / COPIES))
+    result = result.withColumn("piece", F.explode(pieces))
+    copies = F.least(F.col("times") - F.col("piece") * COPIES, F.lit(COPIES)).cast("int")
+    return result.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("times", "piece", "copy")

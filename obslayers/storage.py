@@ -15,7 +15,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from obslayers.session import settings
+
 SHARED_DIR_SETTING = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @functools.cache
@@ -46,13 +49,15 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     For results that several actions need: unlike a cache, the written table outlives
-    lost executors and is never computed again.
+    lost executors and is never computed again. What the job shuffled on the way is deleted
+    when it ends, since nothing reads it any more.
     """
     spark = df.sparkSession
     path = new_folder(spark, purpose)
     for scratch in _open:
         scratch.paths.append(path)
-    df.write.parquet(path)
+    with settings(spark, {SHUFFLE_CLEANUP: "true"}):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

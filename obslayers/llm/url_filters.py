@@ -16,7 +16,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from obslayers.llm.quality_classifier import free_name
+
 BLOCK, ALLOW, REMOVE = "block", "allow", "remove"
+RESULT = ("list_pattern", "list_action", "blocked")
 
 
 def validity(entries: DataFrame) -> DataFrame:
@@ -55,14 +58,14 @@ def patterns(url: Column) -> Column:
 def judge_captures(
     captures: DataFrame, entries: DataFrame, url_column: str = "url", time_column: str = "fetched_at"
 ) -> DataFrame:
-    """``captures`` with ``list_pattern``, ``list_action`` and ``blocked``.
+    """``captures`` with ``list_pattern``, ``list_action`` and ``blocked``, which replace columns of those names.
 
     A capture with no active entry, no host or no fetch time has a null pattern and action
     and is not blocked. Repeated captures are all kept. Of several active entries that with
     a path comes before one without, and the longer pattern before the shorter.
     """
-    day = F.to_date(F.col(time_column))
-    wanted = captures.select(F.col(url_column).alias("u"), day.alias("d")).distinct().where("u IS NOT NULL AND d IS NOT NULL")
+    url, day = captures[url_column], F.to_date(captures[time_column])
+    wanted = captures.select(url.alias("u"), day.alias("d")).distinct().where("u IS NOT NULL AND d IS NOT NULL")
     asked = wanted.withColumn("pattern", F.explode(patterns(F.col("u"))))
     asked = asked.withColumn("month", F.trunc("d", "month"))
     last = captures.agg(F.max(day)).first()[0]
@@ -74,15 +77,17 @@ def judge_captures(
     active = (F.col("d") >= F.col("since")) & (F.col("until").isNull() | (F.col("d") < F.col("until")))
     met = asked.join(by_month, ["pattern", "month"]).where(active)
     rank = F.struct(F.col("pattern").contains("/").alias("path"), F.length("pattern").alias("n"), "pattern", "action")
-    best = met.groupBy("u", "d").agg(F.max(rank).alias("best")).select(
-        "u", "d", F.col("best.pattern").alias("list_pattern"), F.col("best.action").alias("list_action")
-    )
-    same = (F.col(url_column) == F.col("u")) & (day == F.col("d"))
-    return captures.join(best, same, "left").select(
-        *[captures[c] for c in captures.columns],
-        "list_pattern",
-        "list_action",
-        F.coalesce(F.col("list_action") == BLOCK, F.lit(False)).alias("blocked"),
+    best = met.groupBy("u", "d").agg(F.max(rank).alias("best"))
+    # Under names that no column of the captures has.
+    of_url, of_day, found = (free_name(captures, name) for name in ("u", "d", "best"))
+    best = best.select(F.col("u").alias(of_url), F.col("d").alias(of_day), F.col("best").alias(found))
+    joined = captures.join(best, (url == F.col(of_url)) & (day == F.col(of_day)), "left")
+    action = F.col(found)["action"]
+    return joined.select(
+        *[captures[c] for c in captures.columns if c not in RESULT],
+        F.col(found)["pattern"].alias("list_pattern"),
+        action.alias("list_action"),
+        F.coalesce(action == BLOCK, F.lit(False)).alias("blocked"),
     )
 
 

@@ -253,17 +253,17 @@ def paragraphs(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     wanted = linked.select(F.col("h1").alias("by1"), F.col("h2").alias("by2"), "id", "n_chars", half, F.inline(ways))
     wanted = materialize(wanted.withColumnsRenamed({"next1": "h1", "next2": "h2"}), "successors")
     # Both joins deal out the same columns of the texts in the same way, so the texts are dealt out once.
-    texts = _texts(base, counted).withColumn("mine", paragraph_hashes(F.col("text")))
+    texts = _texts(base, counted)
     begun = texts.join(wanted, ["h1", "h2"]).select(
         F.col("by1").alias("h1"), F.col("by2").alias("h2"), "times", "id", "n_chars", "half",
-        F.substring("text", F.lit(1), F.col("half")).alias("beginning"), F.col("mine").alias("next"),
+        F.substring("text", F.lit(1), F.col("half")).alias("beginning"), paragraph_hashes(F.col("text")).alias("next"),
     )
     kept = F.substring("text", F.lit(1), F.col("n_chars") - F.col("half"))
     both = texts.join(begun, ["h1", "h2"]).withColumn("edited", F.concat(kept, "beginning"))
     return both.select(
         F.monotonically_increasing_id().alias("row"), "times", "id", F.col("n_chars").cast("bigint").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        "mine", paragraph_hashes(F.col("edited")).alias("edited"), "next",
+        paragraph_hashes(F.col("text")).alias("mine"), paragraph_hashes(F.col("edited")).alias("edited"), "next",
     )
 
 

@@ -183,9 +183,10 @@ def likeness(first: Column, second: Column, apart: Column) -> Column:
 def fingerprints(texts: DataFrame, keys: list[str]) -> DataFrame:
     """The ``fingerprint`` of texts named by ``keys``, from their paragraph ``hashes``; texts without any have no row.
 
+    Texts with the same first key stay in one task, and their fingerprints, too.
     Text: the cells of a third, then every cell by number, its count (if not 1) and its digests together.
     """
-    sized = texts.select(*keys, third_of(F.size("hashes")).alias("third"), "hashes").repartition(_partitions(texts), *keys)
+    sized = texts.select(*keys, third_of(F.size("hashes")).alias("third"), "hashes").repartition(_partitions(texts), keys[0])
     cells = cell_rows(digest_rows(sized, [*keys, "third"]), [*keys, "third"], F.lit(1))
     together = F.regexp_replace(F.base64(F.unhex(F.lpad(F.hex("digest"), 16, "0"))), "=", "")
     shown = F.concat(F.col("cell").cast("string"), F.when(F.col("n") != 1, F.concat(F.lit("*"), F.col("n"))).otherwise(""), F.lit(":"), together)
@@ -296,11 +297,11 @@ def fingerprint_edits(docs: DataFrame, id_column: str = "doc_id", text_column: s
     by_row = materialize(by_row, "likeness")
     own.clear()
     version = F.inline(
-        F.array(*[F.struct((F.col("row") * 2 + v).alias("text"), F.col(c).alias("hashes")) for v, c in ((0, "mine"), (1, "edited"))])
+        F.array(*[F.struct(F.lit(v).alias("version"), F.col(c).alias("hashes")) for v, c in ((0, "mine"), (1, "edited"))])
     )
-    shown = fingerprints(rows.select(version), ["text"])
-    either = [F.max(F.when(F.pmod("text", F.lit(2)) == v, F.col("fingerprint"))).alias(f"shown{v}") for v in (0, 1)]
-    shown = shown.groupBy(F.shiftright("text", 1).alias("row")).agg(*either)
+    shown = fingerprints(rows.select("row", version), ["row", "version"])
+    either = [F.max(F.when(F.col("version") == v, F.col("fingerprint"))).alias(f"shown{v}") for v in (0, 1)]
+    shown = shown.groupBy("row").agg(*either)
     sizes = rows.select("row", "times", "id", "n_chars", "edited_sha256", *[F.size(c).alias(f"n_{c}") for c in ("mine", "edited", "next")])
     whole = sizes.join(shown, "row", "left").join(by_row, "row", "left")
     empty = F.lit(f"{LEAST_THIRD} ")

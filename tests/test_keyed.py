@@ -210,6 +210,24 @@ def test_serving_views(spark, tmp_path):
     assert rows(spark.sql("SELECT * FROM readings LIMIT 10")) == [("s", day(0), 1.0, "x")]
 
 
+def test_serving_follows_writes_and_compactions(spark, tmp_path):
+    table = KeyedTable(str(tmp_path / "t"), ("station", "date"), "date", keep_seconds=0)
+    table.upsert(frame(spark, {("s", day(0)): (1.0, "x")}), 1, 0)
+    serving = serve(spark, {"readings": table})
+    query = "SELECT reading FROM readings"
+    for epoch in range(1, 4):
+        table.upsert(frame(spark, {("s", day(0)): (1.0 + epoch, "x")}), 1, epoch)
+        assert rows(serving.sql(query)) == [(1.0 + epoch,)]
+    table.compact(spark)
+    table.drop_replaced(spark)
+    # The files of the view are gone by now, those of a new one are not.
+    assert rows(serving.sql(query)) == [(4.0,)]
+    table.upsert(frame(spark, {("s", day(0)): (9.0, "x")}), 1, 4)
+    assert rows(spark.sql(query)) == [(4.0,)]
+    serving.refresh()
+    assert rows(spark.sql(query)) == [(9.0,)]
+
+
 def test_cassandra_needs_its_connector(spark, tmp_path):
     target = CassandraTable("observations", "speed", ("station",))
     assert target.open_generation(spark) == 0

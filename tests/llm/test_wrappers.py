@@ -207,6 +207,16 @@ def test_slot_is_found_without_names(spark):
     assert got == [want.format(n) for n in range(7)]
 
 
+def test_short_articles_beside_varying_parts_get_no_slot(spark):
+    """Below ``MOST_TEXT`` of the varying text (77 % here) no container is the slot, and nothing of the article goes."""
+    short = LAYOUT.replace("<p>It has more to say than any part around it, on page {n} too.</p>", "")
+    want = (
+        "home {0}\nnews\nTitle {0}\nStory {0} goes on and on, with words of its own.\n"
+        "Part {0}\nMore of story {0}.\nBuy {0} now\n(c) host {0}"
+    )
+    assert texts_of(spark, [short.format(n=n) for n in range(7)]) == [want.format(n) for n in range(7)]
+
+
 def test_partitions_change_nothing(spark):
     htmls = [LAYOUT.format(n=n) if n % 3 else page(n) for n in range(60)]
     assert texts_of(spark, htmls, 1) == texts_of(spark, htmls, 40)

@@ -7,14 +7,16 @@
    texts draw the same one with the probability of their weighted Jaccard similarity.
 3. *Bands.* Four samples are a band, and its value is the key of a bucket.
 4. *Candidates.* Of equal texts one stands for all. All members of a bucket meet each
-   other: large buckets are dealt into blocks, and every two blocks are a group of their
-   own. A pair that draws too few equal samples is put aside, each other one is a
-   candidate of the first bucket that it shares.
-5. *Verification.* A pair is a link if its exact weighted Jaccard similarity, from the
-   whole texts, reaches the threshold. Classes are the connected components of links.
-
-A group holds two blocks at most, whatever the size of its bucket, and gives of its links only
-their number for each text and a tree that joins the same texts.
+   other: large buckets are dealt into blocks of so many members and characters as a task can
+   hold, and every two blocks are a tile. A pair that draws too few equal samples is put
+   aside, each other one is a candidate of the first bucket that it shares.
+5. *Verification.* Texts go to the tiles in which they are candidates, where a pair is a link
+   if its exact weighted Jaccard similarity, from the whole texts, reaches the threshold.
+   Classes are the connected components of links.
+
+Pairs are never written: a tile draws its candidates a stretch at a time, verifies them and gives of
+its links only their number for each text and a tree that joins the same texts. Rows grow in
+proportion to a bucket up to a block, and beyond that by a copy of each member for every further block.
 """
 
 from __future__ import annotations
@@ -45,13 +47,18 @@ SKETCH_BITS, PART_BITS = 22, 14
 RARITY = 0.15
 # Bands, and samples in each: texts of similarity 0.8 meet with probability 0.998.
 BANDS, BAND_ROWS = 12, 4
-# Members of a bucket that are a block. Every two blocks meet in a group.
-BLOCK_MEMBERS = 256
+# Members of a bucket that are a block, and characters of their texts: what a task holds of them is some 200
+# bytes a member and 24 a word. Every two blocks meet in a tile.
+BLOCK_MEMBERS, BLOCK_CHARS = 1 << 12, 1 << 24
 # Two texts of the threshold's similarity that share a band draw fewer equal samples than are
 # asked of a candidate with this probability at most.
 UNDRAWN = 1e-6
-# Characters of texts, and pairs, that are verified at a time.
-VERIFIED_CHARS, VERIFIED_PAIRS = 1 << 22, 1 << 18
+# Characters and texts of small tiles that are verified together.
+VERIFIED_CHARS, VERIFIED_TEXTS = 1 << 22, 1 << 12
+# Pairs that are drawn at a time, and shingles that are compared at a time.
+DRAWN_PAIRS, COMPARED_SHINGLES = 1 << 17, 1 << 17
+# Partners from which on a text's weights are laid out by shingle, instead of looked up pair by pair.
+LAID_OUT = 16
 # Digests (some 40 bytes each) up to which every executor gets a copy to pick the texts by; more
 # are dealt out with the texts.
 BROADCAST_NODES = 1_000_000
@@ -198,7 +205,7 @@ def bucket_keys(samples: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame, weights, id_column: str, text_column: str) -> DataFrame:
-    """Per row its id, the digest of its text, its bucket keys and samples; none for wordless texts."""
+    """Per row its id, the digest and length of its text, its bucket keys and samples; none for wordless texts."""
 
     def make():
         def work(texts):
@@ -208,11 +215,11 @@ def signed(docs: DataFrame, weights, id_column: str, text_column: str) -> DataFr
                 owners, samples = consistent_samples(found, weighted(found, weights.value), BANDS * BAND_ROWS)
                 drawn = dict(zip(owners.tolist(), zip(bucket_keys(samples), map(np.ndarray.tobytes, samples))))
                 for i, text in enumerate(part):
-                    yield [(_digest(text) if i in drawn else None, *drawn.get(i, (None, None)))]
+                    yield [(_digest(text), len(text), *drawn[i]) if i in drawn else (None, None, None, None)]
 
         return work
 
-    return map_texts(docs, [id_column], text_column, "node bigint, keys array<bigint>, samples binary", make)
+    return map_texts(docs, [id_column], text_column, "node bigint, chars int, keys array<bigint>, samples binary", make)
 
 
 def _digest(text: str) -> int:
@@ -238,37 +245,109 @@ def similarities(left: list[str], right: list[str], weights: np.ndarray) -> np.n
     return least / np.maximum(total - least, 1e-300)
 
 
-def pair_similarities(texts: list[str], left: np.ndarray, right: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """As ``similarities`` of pairs among ``texts``, by their places; each text is read once."""
-    kept = []
-    for begin, end in _text_blocks(texts):
-        found = shingles(texts[begin:end])
-        kept.append((found.text + begin, found.hash, weighted(found, weights)))
-    owner, hashes, weight = (np.concatenate(x) for x in zip(*kept))
-    starts = np.searchsorted(owner, np.arange(len(texts) + 1))
-    lengths, total = np.diff(starts), np.bincount(owner, weight, len(texts))
-    sizes = np.cumsum(lengths[left] + lengths[right])
-    out = np.empty(len(left))
-    shift = np.uint64(HASH_BITS)
+class Held:
+    """The shingles of texts, one text behind the other: ``hash`` and ``weight`` from ``starts`` of each."""
+
+    def __init__(self, weights: np.ndarray):
+        self._weights = weights
+        self._waiting: list[str] = []
+        self._chars = 0
+        self._parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def add(self, text: str) -> None:
+        self._waiting.append(text)
+        self._chars += len(text)
+        if self._chars >= 1 << 20 or len(self._waiting) == MOST_TEXTS:
+            self._take()
+
+    def _take(self) -> None:
+        found = shingles(self._waiting)
+        self._parts.append((np.bincount(found.text, minlength=len(self._waiting)), found.hash, weighted(found, self._weights)))
+        self._waiting, self._chars = [], 0
+
+    def close(self) -> None:
+        """All texts are there."""
+        self._take()
+        self.lengths, self.hash, self.weight = (np.concatenate(x) for x in zip(*self._parts))
+        self._parts = []
+        self.starts = np.r_[0, np.cumsum(self.lengths)]
+        self.total = np.bincount(self._owner(0, len(self.lengths)), self.weight, len(self.lengths))
+        self._names: np.ndarray | None = None
+
+    def _owner(self, begin: int, end: int) -> np.ndarray:
+        return np.repeat(np.arange(end - begin), self.lengths[begin:end])
+
+    def similarities(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Weighted Jaccard similarity of each text of ``left``, ascending, with that of ``right``, ascending within it."""
+        least = np.empty(len(left))
+        begins = np.flatnonzero(np.r_[True, left[1:] != left[:-1]]) if len(left) else np.zeros(0, np.int64)
+        ends = np.r_[begins[1:], len(left)]
+        many = ends - begins >= LAID_OUT
+        alone = np.repeat(~many, ends - begins)
+        least[alone] = self._looked_up(left[alone], right[alone])
+        if many.any():
+            if self._names is None:
+                known, self._names = np.unique(self.hash, return_inverse=True)
+                self._laid = np.zeros(len(known))
+            for p, q in zip(begins[many], ends[many]):
+                least[p:q] = self._laid_out(left[p], right[p:q])
+        return least / np.maximum(self.total[left] + self.total[right] - least, 1e-300)
+
+    def _laid_out(self, one: int, others: np.ndarray) -> np.ndarray:
+        """The common weight of ``one`` with each of ``others``, read in stretches of the texts."""
+        own = slice(self.starts[one], self.starts[one + 1])
+        self._laid[self._names[own]] = self.weight[own]
+        out = np.empty(len(others))
+        p = 0
+        while p < len(others):
+            first = others[p]
+            last = max(first + 1, int(np.searchsorted(self.starts, self.starts[first] + COMPARED_SHINGLES, "right")) - 1)
+            q = int(np.searchsorted(others, last))
+            if 4 * (q - p) >= last - first:
+                begin, end = first, others[q - 1] + 1
+                at = slice(self.starts[begin], self.starts[end])
+                owner, place = self._owner(begin, end), others[p:q] - begin
+                n = end - begin
+            else:
+                owner, at = self._places(others[p:q])
+                place, n = slice(None), q - p
+            out[p:q] = np.bincount(owner, np.minimum(self._laid[self._names[at]], self.weight[at]), n)[place]
+            p = q
+        self._laid[self._names[own]] = 0
+        return out
+
+    def _places(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For all shingles of the texts ``which`` the place in ``which`` and their own."""
+        lengths = self.lengths[which]
+        owner = np.repeat(np.arange(len(which)), lengths)
+        return owner, np.arange(len(owner)) + (self.starts[which] - np.cumsum(lengths) + lengths)[owner]
+
+    def _looked_up(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The common weight of each pair."""
+        sizes = np.cumsum(self.lengths[left] + self.lengths[right])
+        out = np.empty(len(left))
+        shift = np.uint64(HASH_BITS)
+        p = 0
+        while p < len(left):
+            done = sizes[p - 1] if p else 0
+            q = min(max(p + 1, int(np.searchsorted(sizes, done + (1 << 20)))), p + MOST_TEXTS, len(left))
+            (pa_, ia), (pb, ib) = self._places(left[p:q]), self._places(right[p:q])
+            ka, kb = (pair.astype(np.uint64) << shift | self.hash[i] for pair, i in ((pa_, ia), (pb, ib)))
+            at = np.searchsorted(ka, kb)
+            at[at == len(ka)] = 0
+            common = ka[at] == kb if len(ka) else np.zeros(len(kb), bool)
+            out[p:q] = np.bincount(pb[common], np.minimum(self.weight[ia[at[common]]], self.weight[ib[common]]), q - p)
+            p = q
+        return out
 
-    def taken(which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        pair = np.repeat(np.arange(len(which)), lengths[which])
-        ends = np.cumsum(lengths[which])
-        at = np.arange(len(pair)) + (starts[which] - ends + lengths[which])[pair]
-        return pair, pair.astype(np.uint64) << shift | hashes[at], weight[at]
-
-    p = 0
-    while p < len(left):
-        done = sizes[p - 1] if p else 0
-        q = min(max(p + 1, int(np.searchsorted(sizes, done + (1 << 20)))), p + MOST_TEXTS, len(left))
-        (_, ka, wa), (pair, kb, wb) = taken(left[p:q]), taken(right[p:q])
-        at = np.searchsorted(ka, kb)
-        at[at == len(ka)] = 0
-        common = ka[at] == kb
-        least = np.bincount(pair[common], np.minimum(wa[at[common]], wb[common]), q - p)
-        out[p:q] = least / np.maximum(total[left[p:q]] + total[right[p:q]] - least, 1e-300)
-        p = q
-    return out
+
+def pair_similarities(texts: list[str], left: np.ndarray, right: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """As ``similarities`` of pairs among ``texts``, by their places in ascending order; each text is read once."""
+    held = Held(weights)
+    for text in texts:
+        held.add(text)
+    held.close()
+    return held.similarities(left, right)
 
 
 @functools.cache
@@ -281,97 +360,129 @@ def least_equal(threshold: float) -> int:
     return BAND_ROWS + k
 
 
-def candidates(groups: DataFrame, threshold: float) -> DataFrame:
-    """One row per group with its candidates: ``lefts`` and ``rights``.
+TILE = ["bucket", "low", "high"]
 
-    ``groups`` has ``bucket``, ``low`` and ``high`` (its blocks), ``band``, ``block``, ``node`` and ``samples``.
+
+def drawn_pairs(samples: np.ndarray, block: np.ndarray, low: int, high: int, band: int, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The candidates of a tile by the places of their texts, ascending, a stretch at a time.
+
+    ``samples`` and ``block`` are those of its texts; ``band`` is that of its bucket.
+    """
+    by_sample = np.ascontiguousarray(samples.T)
+    first, second = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    theirs = by_sample[:, second]
+    step = max(1, DRAWN_PAIRS // max(1, len(second)))
+    for p in range(0, len(first), step):
+        rows = first[p : p + step]
+        # Within a block a text meets those behind it.
+        begin = p if low == high else 0
+        mine, others = by_sample[:, rows, None], theirs[:, None, begin:]
+        # It has been a candidate of an earlier band's bucket if it shares one.
+        equal = mine == others
+        shape = equal.shape[1:]
+        open_ = ~equal[: band * BAND_ROWS].reshape(band, BAND_ROWS, *shape).all(1).any(0)
+        open_ &= equal.view(np.uint8).sum(0, dtype=np.uint8) >= least
+        if low == high:
+            open_ &= rows[:, None] < second[None, begin:]
+        i, j = np.nonzero(open_)
+        if len(i):
+            yield rows[i], second[begin + j]
+
+
+def _tiles(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[tuple, Iterator[tuple]]]:
+    """The rows of each tile; those of one tile stand one behind the other, its names first in ``columns``."""
+    rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in columns)))
+    return itertools.groupby(rows, lambda r: r[: len(TILE)])
+
+
+def _matrix(samples: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(samples), np.uint32).reshape(len(samples), BANDS * BAND_ROWS)
+
+
+def candidates(members: DataFrame, threshold: float) -> DataFrame:
+    """The rows of ``members`` whose text is in a candidate of its tile.
+
+    ``members`` has ``bucket``, ``low`` and ``high`` (the tile's blocks), ``band``, ``block``, ``node`` and ``samples``.
     """
     least = least_equal(threshold)
-    columns = ["bucket", "low", "high", "band", "block", "node", "samples"]
-    # Groups are whole in a task and stand one behind the other.
-    sorted_ = groups.select(*columns).repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "node")
-
-    def met(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        _, low, high, band, *_ = rows[0]
-        block, node = (np.array([r[i] for r in rows], np.int64) for i in (4, 5))
-        samples = np.frombuffer(b"".join(r[6] for r in rows), np.uint32).reshape(len(rows), BANDS, BAND_ROWS)
-        first, second = np.flatnonzero(block == low), np.flatnonzero(block == high)
-        ends = [], []
-        step = max(1, (1 << 19) // max(1, len(second)))
-        for p in range(0, len(first), step):
-            equal = samples[first[p : p + step], None] == samples[None, second]
-            enough = equal.sum((2, 3)) >= least
-            # It has been a candidate of an earlier band's bucket if it shares one.
-            enough &= ~equal[:, :, :band].all(3).any(2)
-            i, j = np.nonzero(enough)
-            i, j = first[p + i], second[j]
-            once = i < j if low == high else np.ones(len(i), bool)
-            ends[0].append(node[i[once]])
-            ends[1].append(node[j[once]])
-        return tuple(np.concatenate(e) if e else np.zeros(0, np.int64) for e in ends)
+    columns = [*TILE, "band", "block", "node", "samples"]
+    own = members.select(*columns)
+    # Tiles are whole in a task and stand one behind the other.
+    sorted_ = own.repartition(*TILE).sortWithinPartitions(*TILE, "node")
+    schema = pa.schema([(c, pa.int32() if c in ("low", "high", "band", "block") else pa.binary() if c == "samples" else pa.int64()) for c in columns])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in columns)))
-        for _, group in itertools.groupby(rows, lambda r: r[:3]):
-            lefts, rights = met(list(group))
-            if len(lefts):
-                yield pa.RecordBatch.from_arrays([pa.array([x], pa.list_(pa.int64())) for x in (lefts, rights)], ["lefts", "rights"])
-
-    return sorted_.mapInArrow(run, "lefts array<bigint>, rights array<bigint>")
+        out: list[tuple] = []
+        for (_, low, high), group in _tiles(batches, columns):
+            rows = list(group)
+            block = np.array([r[4] for r in rows], np.int64)
+            wanted = np.zeros(len(rows), bool)
+            for left, right in drawn_pairs(_matrix([r[6] for r in rows]), block, low, high, rows[0][3], least):
+                wanted[left] = wanted[right] = True
+            out.extend(rows[i] for i in np.flatnonzero(wanted))
+            if len(out) >= VERIFIED_TEXTS:
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema)
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema)
+
+    return sorted_.mapInArrow(run, "bucket bigint, low int, high int, band int, block int, node bigint, samples binary")
+
+
+def joined(root: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """``root``, the least place joined to each place, after the pairs have joined theirs as well."""
+    while True:
+        a, b = root[left], root[right]
+        apart = a != b
+        if not apart.any():
+            return root
+        left, right = left[apart], right[apart]
+        np.minimum.at(root, np.maximum(a, b)[apart], np.minimum(a, b)[apart])
+        while (root != root[root]).any():
+            root = root[root]
 
 
-def links(pairs: DataFrame, texts: DataFrame, weights, threshold: float) -> DataFrame:
-    """What the links among ``pairs`` (``candidates``, with a ``part`` for each row) say of each node in each part.
+def links(found: DataFrame, texts: DataFrame, weights, threshold: float) -> DataFrame:
+    """What the links among the candidates of each tile say of each of its nodes.
 
-    ``n`` is the number of its links, and the edges from ``leader`` to ``node`` join the same nodes as the links do.
+    ``found`` is what ``candidates`` gives. ``n`` is the number of a node's links, and the edges from ``leader`` to
+    ``node`` join the same nodes as the links do.
     """
-    none = F.lit(None)
-    ends = pairs.select("part", F.explode(F.array_distinct(F.concat("lefts", "rights"))).alias("node"))
-    own = ends.join(texts, "node").select("part", "node", "text", none.cast("array<bigint>").alias("lefts"), none.cast("array<bigint>").alias("rights"))
-    both = own.unionByName(pairs.select("part", none.cast("bigint").alias("node"), none.cast("string").alias("text"), "lefts", "rights"))
-    sorted_ = both.repartition("part").sortWithinPartitions("part", F.col("node").isNull())
-
-    def linked(known: dict[int, str], left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
-        names = np.array(sorted(known), np.int64)
-        left, right = np.searchsorted(names, left), np.searchsorted(names, right)
-        good = pair_similarities([known[n] for n in names.tolist()], left, right, weights.value) >= threshold
-        left, right = left[good], right[good]
-        n = np.bincount(left, minlength=len(names)) + np.bincount(right, minlength=len(names))
-        root = np.arange(len(names))
-        while True:
-            before = root.copy()
-            least = np.minimum(root[left], root[right])
-            for ends in (left, right):
-                np.minimum.at(root, root[ends], least)
-            root = root[root]
-            if (root == before).all():
-                break
-        while (root != root[root]).any():
-            root = root[root]
-        has = n > 0
-        columns = [pa.array(names[root[has]]), pa.array(names[has]), pa.array(n[has].astype(np.int64))]
-        return pa.RecordBatch.from_arrays(columns, ["leader", "node", "n"])
+    least = least_equal(threshold)
+    columns = [*TILE, "band", "block", "node", "samples", "text"]
+    sorted_ = found.join(texts, "node").select(*columns).repartition(*TILE).sortWithinPartitions(*TILE, "node")
+
+    def linked(held: Held, tiles: list[tuple], nodes: list[int]) -> pa.RecordBatch:
+        held.close()
+        n, root = np.zeros(len(nodes), np.int64), np.arange(len(nodes))
+        for begin, block, samples, low, high, band in tiles:
+            for left, right in drawn_pairs(samples, block, low, high, band, least):
+                left, right = left + begin, right + begin
+                good = held.similarities(left, right) >= threshold
+                left, right = left[good], right[good]
+                n += np.bincount(left, minlength=len(nodes)) + np.bincount(right, minlength=len(nodes))
+                root = joined(root, left, right)
+        names, has = np.array(nodes, np.int64), n > 0
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (names[root[has]], names[has], n[has])], ["leader", "node", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, str] = {}
-        lefts, rights = [], []
-        chars = n = 0
-        columns = ["node", "text", "lefts", "rights"]
-        for batch in batches:
-            for node, text, left, right in zip(*(batch.column(c) for c in columns)):
-                if node.is_valid:
-                    known[node.as_py()] = text.as_py()
-                    chars += len(known[node.as_py()])
-                    continue
-                # A part ends with its pairs.
-                lefts.append(left.values.to_numpy())
-                rights.append(right.values.to_numpy())
-                n += len(lefts[-1])
-                if chars >= VERIFIED_CHARS or n >= VERIFIED_PAIRS:
-                    yield linked(known, np.concatenate(lefts), np.concatenate(rights))
-                    known, lefts, rights, chars, n = {}, [], [], 0, 0
-        if lefts:
-            yield linked(known, np.concatenate(lefts), np.concatenate(rights))
+        held, tiles, nodes = Held(weights.value), [], []
+        chars = 0
+        for (_, low, high), group in _tiles(batches, columns):
+            begin, block, samples = len(nodes), [], []
+            for *_, band, of, node, drawn, text in group:
+                held.add(text)
+                chars += len(text)
+                block.append(of)
+                nodes.append(node)
+                samples.append(drawn)
+            tiles.append((begin, np.array(block, np.int64), _matrix(samples), low, high, band))
+            if chars >= VERIFIED_CHARS or len(nodes) >= VERIFIED_TEXTS:
+                yield linked(held, tiles, nodes)
+                held, tiles, nodes = Held(weights.value), [], []
+                chars = 0
+        if nodes:
+            yield linked(held, tiles, nodes)
 
     return sorted_.mapInArrow(run, "leader bigint, node bigint, n bigint")
 
@@ -417,19 +528,17 @@ def verified_links(rows: DataFrame, docs: DataFrame, weights, text_column: str,
 
     ``rows`` is the table of ``signed``.
     """
-    one = rows.where("node IS NOT NULL").groupBy("node").agg(F.first("keys").alias("keys"), F.first("samples").alias("samples"))
+    one = rows.where("node IS NOT NULL").groupBy("node").agg(*[F.first(c).alias(c) for c in ("chars", "keys", "samples")])
     one = materialize(one, "one")
-    exploded = one.select("node", F.posexplode("keys").alias("band", "bucket"))
-    sizes = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    blocks_ = F.ceil(F.col("size") / BLOCK_MEMBERS).cast("int")
-    members = exploded.join(sizes, "bucket").join(one.select("node", "samples"), "node")
-    members = members.withColumn("blocks", blocks_).withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int"))
+    exploded = one.select("node", "chars", F.posexplode("keys").alias("band", "bucket"))
+    sizes = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.sum("chars").alias("chars")).where("size > 1")
+    blocks_ = F.greatest(F.ceil(F.col("size") / BLOCK_MEMBERS), F.ceil(F.col("chars") / BLOCK_CHARS)).cast("int")
+    members = exploded.drop("chars").join(sizes.select("bucket", blocks_.alias("blocks")), "bucket").join(one.select("node", "samples"), "node")
+    members = members.withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int"))
     others = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    groups = others.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    pairs = candidates(groups, threshold).withColumn("part", F.monotonically_increasing_id())
-    pairs = materialize(pairs, "pairs")
-    wanted = pairs.select(F.explode(F.array_distinct(F.concat("lefts", "rights"))).alias("node")).distinct()
-    wanted = materialize(wanted, "wanted")
+    tiles = others.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    found = materialize(candidates(tiles, threshold), "candidates")
+    wanted = materialize(found.select("node").distinct(), "wanted")
     few = wanted.count() <= BROADCAST_NODES
     own = docs.select(_node(docs[text_column]).alias("node"), docs[text_column].alias("text"))
     if few:
@@ -439,7 +548,7 @@ def verified_links(rows: DataFrame, docs: DataFrame, weights, text_column: str,
     if not few:
         once = once.join(wanted, "node", "left_semi")
     texts = materialize(once, "texts")
-    found = materialize(links(pairs, texts, weights, threshold), "links")
+    found = materialize(links(found, texts, weights, threshold), "links")
     return found, components(found.select("leader", "node"))
 
 

@@ -560,7 +560,9 @@ def _placed(docs: DataFrame, id_column: str, text_column: str, threshold: float)
         rows = materialize(signed(docs, weights, id_column, text_column), "signed")
         found, roots = verified_links(rows, docs, weights, text_column, threshold)
         degrees = found.groupBy("node").agg(F.sum("n").alias("n_links"))
-        own = rows.select(F.col(id_column), "node").join(roots.join(degrees, "node"), "node", "left")
+        # Written first: a join of plain tables may be split where many rows share a text or a class.
+        classes = materialize(roots.join(degrees, "node"), "classes")
+        own = rows.select(F.col(id_column), "node").join(classes, "node", "left")
     placed = materialize(own.withColumn("root", F.coalesce("root", "node")), "placed")
     scratch.clear()
     return placed
@@ -579,7 +581,7 @@ def near_duplicates(
     """
     placed = _placed(docs, id_column, text_column, threshold)
     least = placed.where("root IS NOT NULL").groupBy("root").agg(F.min(id_column).alias("class_id"))
-    out = placed.join(least, "root", "left")
+    out = placed.join(materialize(least, "least"), "root", "left")
     return out.select(
         id_column,
         F.when(F.col("root").isNull(), F.col(id_column)).otherwise(F.col("class_id")).alias("class_id"),

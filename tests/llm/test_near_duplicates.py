@@ -165,3 +165,65 @@ def test_links_and_chains_of_hot_buckets_equal_brute_force(spark, monkeypatch):
     degrees = [sum(i in p for p in pairs) for i in range(len(texts))]
     # Bands miss two in a thousand of those at the very threshold.
     assert sum(abs(got[i].n_links - n) for i, n in enumerate(degrees)) <= 0.004 * sum(degrees)
+
+
+def near_copies(n, seed=13):
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(4000)}" for _ in range(150)]
+    return [" ".join([*base[: (at := rng.randrange(150))], f"n{i}", *base[at + 1 :]]) for i in range(n)]
+
+
+def written_of(spark, texts, monkeypatch):
+    """Rows that go into tiles, and rows of every table written on the way."""
+    tiled, written = [], []
+    drawn, keep = nd.candidates, nd.materialize
+
+    def counted(members, threshold):
+        tiled.append(members.count())
+        return drawn(members, threshold)
+
+    def kept(df, purpose):
+        out = keep(df, purpose)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(nd, "candidates", counted)
+    monkeypatch.setattr(nd, "materialize", kept)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    rows = nd.near_duplicates(docs).collect()
+    monkeypatch.undo()
+    return tiled[0], max(written), rows
+
+
+def test_rows_of_a_group_of_near_copies_grow_in_proportion(spark, monkeypatch):
+    few, many = (written_of(spark, near_copies(n), monkeypatch) for n in (500, 2000))
+    assert many[0] <= 4.5 * few[0]
+    for tiled, written, rows in (few, many):
+        # Once for each band at most, whatever the number of its partners; in how many bands a text has
+        # a partner of its own rises slowly with the group.
+        assert written <= tiled <= nd.BANDS * len(rows)
+        assert {r.class_id for r in rows} == {0} and min(r.n_links for r in rows) > 0.99 * (len(rows) - 1)
+
+
+def test_blocks_follow_the_length_of_texts(spark, monkeypatch):
+    rng = random.Random(17)
+    base = [f"w{rng.randrange(9000)}" for _ in range(20000)]
+    texts = [" ".join([*base, f"n{i}"]) for i in range(12)] + near_copies(40)
+    one = written_of(spark, texts, monkeypatch)
+    monkeypatch.setattr(nd, "BLOCK_CHARS", 1 << 18)
+    several = written_of(spark, texts, monkeypatch)
+    assert several[0] > one[0] and sorted(several[2]) == sorted(one[2])
+    assert {r.class_id for r in one[2] if r.doc_id < 12} == {0}
+
+
+@pytest.mark.parametrize("laid_out, stretch", [(2, 64), (2, 1 << 17), (10**9, 64)])
+def test_similarities_are_the_same_by_either_way(texts, monkeypatch, laid_out, stretch):
+    monkeypatch.setattr(nd, "LAID_OUT", laid_out)
+    monkeypatch.setattr(nd, "COMPARED_SHINGLES", stretch)
+    own = [t for t in texts if t.split()]
+    weights = np.random.default_rng(2).integers(0, 256, 1 << nd.SKETCH_BITS).astype(np.uint8)
+    pairs = [p for p in itertools.combinations(range(len(own)), 2) if p[0] % 3 or p[1] % 7 == 0]
+    left, right = (np.array(x) for x in zip(*pairs))
+    expected = nd.similarities([own[a] for a in left], [own[b] for b in right], weights)
+    assert np.array_equal(nd.pair_similarities(own, left, right, weights), expected)
+    assert len(nd.pair_similarities(own, left[:0], right[:0], weights)) == 0
